@@ -77,3 +77,272 @@ def future_and_newer_audit(spark, sf):
         *JOB_KEYS, F.col("effdt").alias("cur_effdt"), "effseq", "next_effdt", "audit_newer",
         D.same_day_warning(F.date_add(run, 0), "effdt").alias("audit_effdt_exists"),
     )
+
+
+# ---------------------------------------------------------------- J5 refunds
+from . import refunds as R  # noqa: E402
+
+
+def _refund_parts(spark, sf):
+    return R.parse_refunds(FX.refund_pastes(spark, sf)), R.employee_pick(FX.employees(spark, sf))
+
+
+@query
+def refunds_active(spark, sf):
+    """J5 active paysheet file."""
+    refunds, pick = _refund_parts(spark, sf)
+    return R.active_paysheet(refunds, pick)
+
+
+@query
+def refunds_termed(spark, sf):
+    """J5 former-employee refund list."""
+    refunds, pick = _refund_parts(spark, sf)
+    return R.termed_list(refunds, pick)
+
+
+@query
+def primary_job_pick(spark, sf):
+    """E11+E12: one employment record per person, primary first."""
+    return R.employee_pick(FX.employees(spark, sf))
+
+
+# ------------------------------------------------------- D/E operator queries
+from ..functions import codes as C  # noqa: E402
+from ..functions import oracle as O  # noqa: E402
+from ..operators import diff as X  # noqa: E402
+from ..operators.match import Sort  # noqa: E402
+
+START = "1999-01-01"   # transfer start date (the fixture's :STARTING_DATE)
+OFFICER_EXCLUDED = ["9", "7", "D"]
+
+
+@query
+def manager_by_position(spark, sf):
+    """D7+E4: each incumbent's manager = the latest incumbent of its reports_to slot.
+
+    The manager is picked once per slot (row_number = 1, partial top-1 before
+    the shuffle) and then joined, so a slot with many incumbents never
+    multiplies rows.
+    """
+    cur = active_jobs(spark, sf)
+    mgr = M.pick_one(cur, "position_nbr", [F.col("effdt").desc(), F.col("effseq").desc(),
+                                           F.col("emplid").asc(), F.col("empl_rcd").asc()])
+    mgr = mgr.select(F.col("position_nbr").alias("reports_to"),
+                     F.col("emplid").alias("mgr_emplid"), F.col("empl_rcd").alias("mgr_empl_rcd"))
+    return cur.select("emplid", "empl_rcd", "reports_to").join(mgr, "reports_to", "left")
+
+
+def _manager_rows(spark, sf):
+    job = FX.job(spark, sf)
+    ok = (F.col("hr_status") == "A") & ~F.col("officer_cd").isin(OFFICER_EXCLUDED)
+    return job, ok
+
+
+@query
+def left_asof_drop_quirk(spark, sf):
+    """Candidates left-joined to their manager's active rows, keeping only rows in force.
+
+    Reproduces the reference: a candidate whose manager has active rows but
+    none in force disappears. Planned as (inner join to the in-force rows) ∪
+    (anti join to managers with no active row) — no history fan-out.
+    """
+    cands = FX.candidates(spark, sf).filter(F.col("load_status") == "N")
+    job, ok = _manager_rows(spark, sf)
+    inforce = D.asof_rows(job, JOB_KEYS, "effdt", NOW, "effseq").filter(ok)
+    has_active = job.filter(ok).select(F.col("emplid").alias("manager_id")).distinct()
+    hit = cands.join(inforce.select(F.col("emplid").alias("manager_id"), "empl_rcd", "position_nbr"),
+                     "manager_id", "inner")
+    miss = (cands.join(has_active, "manager_id", "left_anti")
+            .withColumn("empl_rcd", F.lit(None).cast("int")).withColumn("position_nbr", F.lit(None).cast("string")))
+    out = hit.unionByName(miss)
+    return out.select("req_num", "manager_id", F.col("empl_rcd").alias("mgr_empl_rcd"),
+                      F.coalesce("position_nbr", F.lit("XXXXXXXX")).alias("mgr_position_nbr"))
+
+
+@query
+def asof_per_row(spark, sf):
+    """D3: the manager's record (empl_rcd 0) in force at each candidate's own hire date."""
+    cands = FX.candidates(spark, sf).select("req_num", "hire_dt", "manager_id")
+    job = FX.job(spark, sf).filter(F.col("empl_rcd") == 0).withColumnRenamed("emplid", "manager_id")
+    out = D.asof_join(cands, job, "manager_id", "hire_dt", "effdt", "effseq",
+                      right_cols=["position_nbr", "hr_status"], prefix="mgr_")
+    return out
+
+
+POS_FIELDS = ["business_unit", "deptid", "location", "jobcode", "company", "std_hours",
+              "reports_to", "union_cd", "shift", "reg_temp", "flsa_status"]
+
+
+def _positions_with_counts(spark, sf, asof):
+    pos = D.active_asof(FX.position_data(spark, sf), "position_nbr", "effdt", asof, status_col="eff_status")
+    counts = M.headcount(active_jobs(spark, sf, asof))
+    return M.with_headcount(pos, counts, "position_nbr")
+
+
+@query
+def best_position_match(spark, sf):
+    """E7+E8+H2: best other active slot whose 11 fields equal the incumbent's own values."""
+    cur = active_jobs(spark, sf).select("emplid", "empl_rcd", F.col("position_nbr").alias("cur_pos"),
+                                        *POS_FIELDS)
+    pos = _positions_with_counts(spark, sf, ASOF)
+    eligible = (C.is_manager("manager_level") == 0) | (F.col("head_count") == 0)
+    out = M.best_match(
+        cur, pos, on=[(f, f) for f in POS_FIELDS],
+        order_by=[Sort("head_count", desc=True), Sort("max_head_count", desc=True), Sort("position_nbr")],
+        left_id=JOB_KEYS, right_cols=["position_nbr", "head_count", "max_head_count"],
+        eligible=eligible, exclude=("cur_pos", "position_nbr"),
+    )
+    return out.select("emplid", "empl_rcd", "cur_pos", F.col("position_nbr").alias("tfr_pos"),
+                      F.col("head_count").alias("tfr_pos_head_count"),
+                      F.col("max_head_count").alias("tfr_pos_max_head_count"))
+
+
+def _hire_requests(spark, sf):
+    h = FX.hires(spark, sf).filter((F.col("hire_comments") != " ") & (F.col("start_date") == F.lit(START).cast("date")))
+    return h
+
+
+def _unique_managers(spark, sf, hires):
+    inforce = D.active_asof(FX.job(spark, sf), JOB_KEYS, "effdt", START, "effseq")
+    guard = (F.col("mgr_id") != " ") & (F.length("mgr_id") == 6) & O.all_digits("mgr_id")
+    h = hires.withColumn("__mgr_key", F.when(guard, F.col("mgr_id")))
+    h = M.resolve_unique(h, inforce.filter(C.is_manager("officer_cd") == 1),
+                         [("__mgr_key", "emplid")], "position_nbr", "edw_reports_to")
+    h = M.resolve_unique(h, inforce, [("__mgr_key", "emplid")], "position_nbr", "edw_anyvalue_reports_to")
+    return h.drop("__mgr_key")
+
+
+@query
+def unique_manager_resolve(spark, sf):
+    """The hiring manager's slot only when exactly one qualifying in-force row exists."""
+    h = _unique_managers(spark, sf, _hire_requests(spark, sf).select("req_num", "mgr_id"))
+    return h.select("req_num", "mgr_id", "edw_reports_to", "edw_anyvalue_reports_to")
+
+
+def _resolve_names(spark, sf, hires):
+    nm = D.asof_rows(FX.names(spark, sf).filter(F.col("name_type") == "PRI"),
+                     ["emplid", "name_type"], "effdt", NOW)
+    act = D.active_asof(FX.job(spark, sf), JOB_KEYS, "effdt", START, "effseq").filter(F.col("per_org") == "EMP")
+    people = nm.join(act.select("emplid").distinct(), "emplid", "left_semi")
+    return M.resolve_unique(hires, people, [("name", "name_display")], "emplid", "resolved_emplid", distinct=True)
+
+
+@query
+def unique_name_resolve(spark, sf):
+    """E16+G6: blank-emplid requests resolved by exact current name, only when one person matches."""
+    h = _hire_requests(spark, sf).filter(F.col("emplid") == " ").select("req_num", "name")
+    return _resolve_names(spark, sf, h).select("req_num", "name", "resolved_emplid")
+
+
+def _job_vs_position(spark, sf):
+    cur = active_jobs(spark, sf)
+    pos = D.asof_rows(FX.position_data(spark, sf), "position_nbr", "effdt", ASOF)
+    p = pos.select("position_nbr", *[F.col(c).alias("p_" + c) for c in POS_FIELDS + ["update_incumbents", "include_title", "full_part_time"]])
+    return cur.join(p, "position_nbr", "inner")
+
+
+def override_diff_fields(new_prefix: str = "", cur_prefix: str = "p_") -> list:
+    """The 11-field override comparison (labels and paddings of the reference)."""
+    def n(c):
+        return O.num_text(F.col(new_prefix + c)) if c == "std_hours" else F.col(new_prefix + c)
+
+    def c_(c):
+        return O.num_text(F.col(cur_prefix + c)) if c == "std_hours" else F.col(cur_prefix + c)
+    # Labels in output order.
+    labels = [("business_unit", "bu"), ("deptid", "dept"), ("location", "location"), ("jobcode", "jobcode"),
+              ("company", "co"), ("std_hours", "std_hours"), ("reports_to", "reports_to"),
+              ("union_cd", "union_cd"), ("shift", "shift"), ("reg_temp", "reg_temp"),
+              ("flsa_status", "flsa_status")]
+    out = []
+    for i, (c, lab) in enumerate(labels):
+        if c == "business_unit":
+            out.append(X.Field(lab, n(c), c_(c), lead="", new_lpad=5, rpad_total=15))
+        elif c == "std_hours":
+            out.append(X.Field(lab, n(c), c_(c), rpad_value=8))
+        else:
+            out.append(X.Field(lab, n(c), c_(c)))
+    return out
+
+
+@query
+def field_diff(spark, sf):
+    """B32+B33+B18+B30: override diff string and exact-equality flag, job vs its slot."""
+    j = _job_vs_position(spark, sf)
+    pairs = [(F.col(c), F.col("p_" + c)) for c in POS_FIELDS]
+    return j.select("emplid", "empl_rcd", F.col("position_nbr").alias("cur_pos"),
+                    X.fields_equal(pairs).alias("override_diff_check"),
+                    X.field_diff(override_diff_fields()).alias("override_remaining_values_diff"))
+
+
+@query
+def changed_fields_load(spark, sf):
+    """B35+A14+B36: change-only position update line (job values proposed over the slot's)."""
+    j = _job_vs_position(spark, sf)
+    run = F.lit(ASOF).cast("date")
+    slots = [F.col("position_nbr"), O.date_text(run), F.lit("A"), F.lit("REORG")]
+    for c in ["business_unit", "deptid", "jobcode"]:
+        slots.append(X.changed_only(c, "p_" + c))
+    slots.append(F.lit(None).cast("string"))
+    slots.append(O.decode("p_update_incumbents", {"Y": F.lit(None).cast("string")}, "Y"))
+    for c in ["reports_to", "location", "company"]:
+        slots.append(X.changed_only(c, "p_" + c))
+    slots.append(O.num_text(X.changed_only("std_hours", "p_std_hours")))
+    for c in ["union_cd", "shift", "reg_temp"]:
+        slots.append(X.changed_only(c, "p_" + c))
+    slots.append(X.changed_only(C.hours_category("std_hours"), "p_full_part_time"))
+    slots.append(X.changed_only("flsa_status", "p_flsa_status"))
+    slots.append(O.decode("p_include_title", {"Y": F.lit(None).cast("string")}, "Y"))
+    return j.select("emplid", "empl_rcd", X.load_string(*slots).alias("position_update_load"),
+                    X.next_effseq("effdt", run, "effseq").cast("int").alias("next_effseq"))
+
+
+def _hires_with_job(spark, sf):
+    h = _hire_requests(spark, sf).filter(F.col("emplid") != " ")
+    act = D.active_asof(FX.job(spark, sf), JOB_KEYS, "effdt", START, "effseq").filter(F.col("per_org") == "EMP")
+    a = act.select("emplid", "empl_rcd", *[F.col(c).alias("cur_" + c) for c in
+                   ["effdt", "effseq", "deptid", "jobcode", "std_hours", "shift", "reg_temp", "full_part_time",
+                    "company", "union_cd", "hourly_rt", "position_nbr", "officer_cd"]])
+    h = h.select("req_num", F.trim("emplid").alias("emplid"), "name", "hire_comments", "mgr_id",
+                 *[F.col(c).alias("edw_" + c) for c in ["deptid", "jobcode", "std_hours", "shift", "reg_temp", "hourly_rt"]])
+    return h.join(a, "emplid", "inner")
+
+
+@query
+def row_expansion(spark, sf):
+    """E18+I2: primary row, + FT/PT category change row, + reg/temp change row."""
+    j = _hires_with_job(spark, sf)
+    fpc = C.category_change("edw_std_hours", "cur_full_part_time")
+    variants = [
+        (F.lit(True), F.struct(F.lit(1).alias("row_val"), F.lit("Primary Row").alias("row_def"))),
+        (fpc.isNotNull(), F.struct(F.lit(2).alias("row_val"), F.lit("FPC cat change").alias("row_def"))),
+        (F.col("edw_reg_temp") != F.col("cur_reg_temp"),
+         F.struct(F.lit(3).alias("row_val"), F.lit("reg_temp change").alias("row_def"))),
+    ]
+    total_keep = [F.lit(True), fpc.isNotNull(), ~F.col("edw_reg_temp").eqNullSafe(F.col("cur_reg_temp"))]
+    out = M.expand_rows(j, variants, pos_name="row_rn", total_name="row_total", total_keep=total_keep)
+    return out.select("req_num", "emplid", "empl_rcd", F.col("variant.row_val").alias("row_val"),
+                      F.col("variant.row_def").alias("row_def"), "row_rn", "row_total")
+
+
+@query
+def fpc_change(spark, sf):
+    """Hour categories (both NULL rules), transition code, company and rate rules."""
+    j = _hires_with_job(spark, sf)
+    jc = D.asof_rows(FX.jobcode_tbl(spark, sf).filter(F.col("setid") == "SHARE"), ["setid", "jobcode"], "effdt", NOW)
+    e = jc.select(F.col("jobcode").alias("edw_jobcode"), F.col("union_cd").alias("edw_jc_union_cd"))
+    j = j.join(e, "edw_jobcode", "inner")
+    gen = C.hours_category("edw_std_hours")
+    return j.select(
+        "req_num", "emplid", "empl_rcd",
+        gen.alias("edw_generated_fpc"),
+        C.hours_category("edw_std_hours", null_as="P").alias("fpc_null_as_p"),
+        C.category_change("edw_std_hours", "cur_full_part_time").alias("generated_fpc_analysis"),
+        C.category_change("edw_std_hours", "cur_full_part_time", documented=True).alias("documented_fpc_analysis"),
+        C.casual_union_mismatch(gen, "edw_jc_union_cd").alias("fpc_union_mismatch"),
+        C.company_from_union("edw_jc_union_cd").alias("edw_jc_company"),
+        C.company_adjust("cur_company", "edw_std_hours").alias("company_adjusted"),
+        C.snap_rate("edw_hourly_rt", "cur_hourly_rt").alias("corrected_hourly_rt"),
+        C.is_manager("cur_officer_cd").alias("cur_is_mgr"),
+        C.manager_rank("cur_officer_cd").alias("cur_mgr_rank"),
+    )

@@ -204,3 +204,58 @@ def names_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         F.replace(F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")), F.lit("e"), F.lit("i")).alias("name_searched")
     ).distinct()
+
+
+def jobcode_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ps_jobcode_tbl``: each supplier is one effective-dated version of a job code."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    return s.select(
+        F.when(k % 7 == 6, "OTHER").otherwise("SHARE").alias("setid"),
+        _pad(k % 5, 4).alias("jobcode"),
+        F.date_add(F.lit("1990-01-01").cast("date"), (F.floor(k / 5) * 30).cast("int")).alias("effdt"),
+        F.substring(F.lit(LEVEL_CYCLE), (k % 10).cast("int") + 1, 1).alias("manager_level"),
+        F.concat(F.lit("P"), (k % 2).cast("string")).alias("sal_admin_plan"),
+        _pad(k % 9, 3).alias("grade"),
+        F.when(k % 3 == 0, "73").when(k % 3 == 1, "399").otherwise("NON").alias("union_cd"),
+        F.concat(F.lit("B"), (k % 8).cast("string")).alias("job_family"),
+    )
+
+
+def dept_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ps_nmh_dept_tbl``: each supplier is one effective-dated version of a department."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    return s.select(
+        F.when(k % 7 == 6, "OTHER").otherwise("SHARE").alias("setid"),
+        _pad(k % 4, 4).alias("deptid"),
+        F.date_add(F.lit("1990-01-01").cast("date"), (F.floor(k / 4) * 45).cast("int")).alias("effdt"),
+        F.concat(F.lit("BU"), (F.floor(k / 4) % 2).cast("string")).alias("business_unit"),
+    )
+
+
+def pers_nid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ps_pers_nid``: one national id per customer (ids collide across people)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        _pad(k, 6).alias("emplid"),
+        F.lit("USA").alias("country"),
+        F.lit("PR").alias("national_id_type"),
+        _pad((k * 7) % 1000 + F.when(k % 10 == 9, 1).otherwise(0), 9).alias("national_id"),
+    )
+
+
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ps_names``: primary display names; every 10th customer's name is shared by the next person."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    own = F.struct(_pad(k, 6).alias("emplid"), F.lit("1990-01-01").cast("date").alias("effdt"))
+    twin = F.when(k % 10 == 3, F.struct(_pad(k + 1, 6).alias("emplid"), F.lit("1996-01-01").cast("date").alias("effdt")))
+    rows = c.select(F.col("c_name"), F.explode(F.array(own, twin)).alias("r")).filter(F.col("r").isNotNull())
+    return rows.select(
+        F.col("r.emplid").alias("emplid"),
+        F.lit("PRI").alias("name_type"),
+        F.col("r.effdt").alias("effdt"),
+        F.col("c_name").alias("name_display"),
+    )

@@ -114,9 +114,38 @@ from part""",
     "names_searched": """
 select distinct replace(p_name || ' ' || p_type, 'e', 'i') name_searched
 from part""",
+    "jobcode_tbl": """
+select case when s_suppkey % 7 = 6 then 'OTHER' else 'SHARE' end setid,
+       lpad(cast(s_suppkey % 5 as varchar), 4, '0') jobcode,
+       cast(date '1990-01-01' + cast(floor(s_suppkey / 5) * 30 as integer) as date) effdt,
+       substring('1236ABC79D', cast(s_suppkey % 10 as integer) + 1, 1) manager_level,
+       'P' || cast(s_suppkey % 2 as varchar) sal_admin_plan,
+       lpad(cast(s_suppkey % 9 as varchar), 3, '0') grade,
+       case s_suppkey % 3 when 0 then '73' when 1 then '399' else 'NON' end union_cd,
+       'B' || cast(s_suppkey % 8 as varchar) job_family
+from supplier""",
+    "dept_tbl": """
+select case when s_suppkey % 7 = 6 then 'OTHER' else 'SHARE' end setid,
+       lpad(cast(s_suppkey % 4 as varchar), 4, '0') deptid,
+       cast(date '1990-01-01' + cast(floor(s_suppkey / 4) * 45 as integer) as date) effdt,
+       'BU' || cast(cast(floor(s_suppkey / 4) as bigint) % 2 as varchar) business_unit
+from supplier""",
+    "pers_nid": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'USA' country, 'PR' national_id_type,
+       lpad(cast((c_custkey * 7) % 1000 + case when c_custkey % 10 = 9 then 1 else 0 end as varchar), 9, '0') national_id
+from customer""",
+    "names": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'PRI' name_type, date '1990-01-01' effdt, c_name name_display
+from customer
+union all
+select lpad(cast(c_custkey + 1 as varchar), 6, '0'), 'PRI', date '1996-01-01', c_name
+from customer where c_custkey % 10 = 3""",
 }
 
 
-def with_fixtures(sql: str, *names: str) -> str:
-    ctes = ",\n".join(f"{n} as ({FIXTURE_SQL[n]}\n)" for n in names)
-    return f"with {ctes}\n{sql}"
+def with_fixtures(sql: str, *names: str, extra: str = "") -> str:
+    """``with <fixture CTEs>[, <extra CTEs>] <sql>``."""
+    ctes = [f"{n} as ({FIXTURE_SQL[n]}\n)" for n in names]
+    if extra.strip():
+        ctes.append(extra.strip().rstrip(","))
+    return "with " + ",\n".join(ctes) + "\n" + sql
