@@ -87,7 +87,8 @@ def position_data(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(effdt).cast("date").alias("effdt"),
             (F.when(k % 11 == 0, "I").otherwise("A") if ver else F.lit("A")).alias("eff_status"),
             F.concat(F.lit("BU"), (k % 2).cast("string")).alias("business_unit"),
-            _pad((k + ver) % 4, 4).alias("deptid"),
+            # version 1 moves half the slots to departments 0004-0007
+            _pad((k + 4) % 8 if ver else k % 4, 4).alias("deptid"),
             _pad(k % 3, 4).alias("location"),
             _pad(k % 5, 4).alias("jobcode"),
             F.when(k % 4 == 0, "101").otherwise("001").alias("company"),

@@ -41,7 +41,7 @@ select lpad(cast(p_partkey as varchar), 8, '0') position_nbr,
        v.effdt,
        case when p_partkey % 11 = 0 and v.k = 1 then 'I' else 'A' end eff_status,
        'BU' || cast(p_partkey % 2 as varchar) business_unit,
-       lpad(cast((p_partkey + v.k) % 4 as varchar), 4, '0') deptid,
+       lpad(cast(case when v.k = 0 then p_partkey % 4 else (p_partkey + 4) % 8 end as varchar), 4, '0') deptid,
        lpad(cast(p_partkey % 3 as varchar), 4, '0') location,
        lpad(cast(p_partkey % 5 as varchar), 4, '0') jobcode,
        case when p_partkey % 4 = 0 then '101' else '001' end company,
