@@ -133,7 +133,7 @@ def num_text(c: ColumnOrName) -> Column:
 
 def fm_2dp(c: ColumnOrName) -> Column:
     """``to_char(x, 'FM9999999.90')``: two decimals (half-up), no leading zero."""
-    s = F.format_string("%.2f", col(c).cast("decimal(20,2)"))
+    s = col(c).cast("decimal(38,2)").cast("string")  # half-up rounding to 2 places
     return F.regexp_replace(s, r"^(-?)0\.", "$1.")
 
 

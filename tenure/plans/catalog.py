@@ -346,3 +346,90 @@ def fpc_change(spark, sf):
         C.is_manager("cur_officer_cd").alias("cur_is_mgr"),
         C.manager_rank("cur_officer_cd").alias("cur_mgr_rank"),
     )
+
+
+# ------------------------------------------------------------ scalar helpers
+@query
+def clean_phone(spark, sf):
+    """B4+B8+B9: digits-only phone, all-digits predicate, safe numeric sort key."""
+    c = FX.candidates(spark, sf)
+    return c.select("req_num", O.digits_only("home_phone").alias("home_phone"),
+                    O.all_digits("req_num").alias("req_is_number"),
+                    O.to_number_or_zero("req_num", "decimal(20,0)").alias("num_order"))
+
+
+@query
+def trailing_id(spark, sf):
+    """B6+B7+B13+B12: message prefix strip, trailing 6-digit id, 2-decimal rate text."""
+    c = FX.candidates(spark, sf)
+    return c.select("req_num", O.strip_prefix("message_descr").alias("message_descr"),
+                    O.trailing_id("message_descr").alias("lm_emplid"),
+                    O.fm_2dp("hourly_rt").alias("hourly_pay"),
+                    O.date_text("hire_dt").alias("hire_dt"))
+
+
+@query
+def action_reason(spark, sf):
+    """Transfer action reason per expanded row (rules in priority order)."""
+    j = _hires_with_job(spark, sf)
+    jc = D.asof_rows(FX.jobcode_tbl(spark, sf).filter(F.col("setid") == "SHARE"), ["setid", "jobcode"], "effdt", NOW)
+    jc = jc.select("jobcode", C.manager_rank("manager_level").alias("rank"), "sal_admin_plan", "grade")
+    cur = jc.select(F.col("jobcode").alias("cur_jobcode"), *[F.col(c).alias("cur_jc_" + c) for c in ["rank", "sal_admin_plan", "grade"]])
+    new = jc.select(F.col("jobcode").alias("edw_jobcode"), *[F.col(c).alias("edw_jc_" + c) for c in ["rank", "sal_admin_plan", "grade"]])
+    j = j.join(cur, "cur_jobcode", "inner").join(new, "edw_jobcode", "inner")
+    fpc = C.category_change("edw_std_hours", "cur_full_part_time")
+    j = j.withColumn("fpc", fpc)
+    variants = [(F.lit(True), F.lit(1)), (F.col("fpc").isNotNull(), F.lit(2)),
+                (F.col("edw_reg_temp") != F.col("cur_reg_temp"), F.lit(3))]
+    j = M.expand_rows(j, variants, pos_name="row_rn", total_name=None, value_name="row_val")
+    rate = C.snap_rate("edw_hourly_rt", "cur_hourly_rt")
+    keys = ["deptid", "jobcode", "shift", "std_hours"]
+    cur_m = {k: "cur_" + k for k in keys} | {"mgr_rank": "cur_jc_rank", "sal_admin_plan": "cur_jc_sal_admin_plan",
+                                             "grade": "cur_jc_grade", "hourly_rt": "cur_hourly_rt"}
+    new_m = {k: "edw_" + k for k in keys} | {"mgr_rank": "edw_jc_rank", "sal_admin_plan": "edw_jc_sal_admin_plan",
+                                             "grade": "edw_jc_grade", "hourly_rt": rate}
+    return j.select("req_num", "emplid", "empl_rcd", "row_val",
+                    C.action_reason("row_val", "fpc", cur_m, new_m).alias("acn_rsn"))
+
+
+@query
+def complexity_flag(spark, sf):
+    """J2b + G6: complexity flag and reason (different priority orders)."""
+    h = _hire_requests(spark, sf).filter(F.col("emplid") != " ")
+    h = _unique_managers(spark, sf, h)
+    j = _hires_with_job(spark, sf).select("req_num", "emplid", "empl_rcd", "cur_full_part_time", "edw_std_hours",
+                                          "edw_jobcode")
+    j = j.join(h.select("req_num", "edw_reports_to", "hire_comments", "name"), "req_num", "inner")
+    # count(distinct) over a window is rewritten as size(collect_set) per partition
+    from pyspark.sql import Window
+    j = j.withColumn("id_req_count", F.size(F.collect_set("emplid").over(Window.partitionBy("req_num", "name"))))
+    j = j.withColumn("id_empl_rcd_count", F.size(F.collect_set("empl_rcd").over(Window.partitionBy("req_num", "name", "emplid"))))
+    jc = D.asof_rows(FX.jobcode_tbl(spark, sf).filter(F.col("setid") == "SHARE"), ["setid", "jobcode"], "effdt", NOW)
+    j = j.join(jc.select(F.col("jobcode").alias("edw_jobcode"), F.col("union_cd").alias("edw_jc_union_cd")), "edw_jobcode")
+    mism = C.casual_union_mismatch(C.hours_category("edw_std_hours"), "edw_jc_union_cd")
+    flag, reason = C.complexity("id_req_count", "hire_comments", mism, "id_empl_rcd_count", "edw_reports_to")
+    return j.select("req_num", "emplid", "empl_rcd", F.col("id_req_count").cast("long").alias("id_req_count"),
+                    flag.alias("complex_check"), reason.alias("complex_def"))
+
+
+# ------------------------------------------------------------- J6 name search
+from . import name_search as NS  # noqa: E402
+
+
+@query
+def name_similarity(spark, sf):
+    """E10+A6+G11-G14: best historical-name match per person (Jaro-Winkler > 90)."""
+    return NS.search(FX.names_searched(spark, sf), FX.names_hist(spark, sf), scorer="jaro_winkler")
+
+
+@query
+def name_levenshtein(spark, sf):
+    """E10 with the edit-distance scorer (the README's description of the search)."""
+    return NS.search(FX.names_searched(spark, sf), FX.names_hist(spark, sf), scorer="levenshtein", threshold=80)
+
+
+@query
+def name_search_profile(spark, sf):
+    """Best match per person enriched with the current job record (D1) and slot."""
+    best = NS.search(FX.names_searched(spark, sf), FX.names_hist(spark, sf), scorer="jaro_winkler")
+    return NS.profile(best, FX.job(spark, sf), FX.position_data(spark, sf), NOW)
