@@ -433,3 +433,106 @@ def name_search_profile(spark, sf):
     """Best match per person enriched with the current job record (D1) and slot."""
     best = NS.search(FX.names_searched(spark, sf), FX.names_hist(spark, sf), scorer="jaro_winkler")
     return NS.profile(best, FX.job(spark, sf), FX.position_data(spark, sf), NOW)
+
+
+# ------------------------------------------------------------- J7 mail merge
+from ..functions import text as T  # noqa: E402
+from ..sources.csv import tidy_records  # noqa: E402
+from . import mail_merge as MM  # noqa: E402
+
+MAIL_FIELDS = ["employee_id", "full_name", "refund_amount", "segment"]
+MAIL_TRANSFORMS = {"full_name": "capitalize", "refund_amount": "currency_with_symbol"}
+
+
+def _recipients(spark, sf):
+    return tidy_records(FX.recipients_raw(spark, sf), normalise=True)
+
+
+@query
+def csv_normalise(spark, sf):
+    """A9+B39+B49: header normalisation, trimmed values, all-blank rows dropped."""
+    return _recipients(spark, sf)
+
+
+@query
+def capitalize_field(spark, sf):
+    """B40+B43: name capitalisation transformer."""
+    r = _recipients(spark, sf)
+    return r.select("employee_id", T.capitalize("full_name").alias("full_name"))
+
+
+@query
+def currency_field(spark, sf):
+    """B41+B42: money text with and without the symbol."""
+    r = _recipients(spark, sf)
+    return r.select("employee_id", T.currency("refund_amount").alias("amount"),
+                    T.currency("refund_amount", "$").alias("amount_with_symbol"))
+
+
+@query
+def placeholders(spark, sf):
+    """B46+I3: distinct placeholders per letter, first-seen order."""
+    t = FX.letters(spark, sf)
+    return t.select("template_id", T.placeholders(F.concat_ws(" ", "subject", "html_body")).alias("placeholders"))
+
+
+def _rendered(spark, sf):
+    r = MM.apply_transforms(_recipients(spark, sf), MAIL_TRANSFORMS)
+    t = FX.letters(spark, sf).withColumnRenamed("template_id", "employee_id")
+    j = r.join(t, "employee_id", "inner")
+    fields = [(c, F.col(c)) for c in MAIL_FIELDS]
+    return j.select("employee_id", T.render("subject", fields).alias("subject"),
+                    T.render("html_body", fields).alias("body"))
+
+
+@query
+def render_template(spark, sf):
+    """B47+B44: each recipient's letter rendered with its own (transformed) values."""
+    return _rendered(spark, sf)
+
+
+@query
+def unreplaced(spark, sf):
+    """Placeholders left after rendering."""
+    r = _rendered(spark, sf)
+    return r.select("employee_id", F.array_union(T.unreplaced("subject"), T.unreplaced("body")).alias("left_over")) \
+        .select("employee_id", F.array_sort("left_over").alias("unreplaced"))
+
+
+@query
+def placeholder_mapping(spark, sf):
+    """Placeholder -> recipient column by normalised name ('email' skipped)."""
+    t = FX.letters(spark, sf).select(
+        "template_id", F.posexplode(T.placeholders(F.concat_ws(" ", "subject", "html_body"))).alias("pos", "placeholder"))
+    t = t.withColumn("normalized", T.normalise_col("placeholder")).filter(F.col("normalized") != "email")
+    cols = F.array(*[F.lit(c) for c in MAIL_FIELDS])
+    return t.select("template_id", F.col("pos").cast("int").alias("pos"), "placeholder", "normalized",
+                    F.when(F.array_contains(cols, F.col("normalized")), F.col("normalized")).alias("matched_column"))
+
+
+def _individual(spark, sf):
+    r = MM.apply_transforms(_recipients(spark, sf), MAIL_TRANSFORMS)
+    t = FX.letters(spark, sf).withColumnRenamed("template_id", "employee_id")
+    j = r.join(t, "employee_id", "inner")
+    return MM.individual(j, FX.emails(spark, sf), "employee_id", F.col("subject"), F.col("html_body"), MAIL_FIELDS)
+
+
+@query
+def mail_merge_individual(spark, sf):
+    """J7 individual mode: recipient, e-mail lookup (A13), render, validate."""
+    return _individual(spark, sf)
+
+
+@query
+def mail_summary(spark, sf):
+    """F8: run summary by status."""
+    return MM.summary(_individual(spark, sf))
+
+
+@query
+def mail_merge_bcc(spark, sf):
+    """J7 BCC mode: one message per batch of 50 recipients, rendered from its first record."""
+    r = MM.apply_transforms(_recipients(spark, sf), MAIL_TRANSFORMS)
+    subject = F.lit("Refund notice for {{segment}}")
+    body = F.lit("<p>Hello {{full_name}}, your refund of {{refund_amount}} is ready.</p>")
+    return MM.bcc(r, FX.emails(spark, sf), "employee_id", subject, body, MAIL_FIELDS, batch_size=50)

@@ -260,3 +260,46 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r.effdt").alias("effdt"),
         F.col("c_name").alias("name_display"),
     )
+
+
+RECIPIENT_COLUMNS = ["emplid", "full_name", "refund_amount", "segment"]
+
+
+def recipients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recipient sheet as it arrives from a CSV: raw headers, padded values, blank rows."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    blank = k % 29 == 0
+    amount = F.when(k % 13 == 0, F.lit("n/a")).otherwise(
+        F.concat(F.lit("$"), F.col("c_acctbal").cast("decimal(12,2)").cast("string")))
+    vals = [
+        _pad(k, 6),
+        F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(",  "), F.replace("c_name", F.lit("#"), F.lit("-")), F.lit("!")),
+        amount,
+        F.col("c_mktsegment"),
+    ]
+    heads = ["Employee ID", " Full-Name ", "Refund Amount ($)", "Segment"]
+    return c.select(*[F.when(blank, F.lit("  ")).otherwise(v).alias(h) for v, h in zip(vals, heads)])
+
+
+def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ps_email_addresses``: one address per customer; every 5th is HOME, every 23rd malformed."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    addr = F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.org"))
+    return c.select(
+        _pad(k, 6).alias("emplid"),
+        F.when(k % 5 == 0, "HOME").otherwise("BUSN").alias("e_addr_type"),
+        F.when(k % 23 == 0, F.lit("not-an-email")).otherwise(addr).alias("email_addr"),
+    )
+
+
+def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One letter template per customer (subject + HTML body with ``{{field}}`` tokens)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    extra = F.when(k % 3 == 0, F.lit(" {{segment}}")).otherwise(F.lit(" {{missing_field}}"))
+    body = F.concat(F.lit("<p>Dear {{ <b>full_name</b> }},</p><p>Your refund of {{refund_amount}} is ready ("),
+                    F.col("c_mktsegment"), extra, F.lit("). Ref {{employee_id}} {{employee_id}}</p>"))
+    return c.select(_pad(k, 6).alias("template_id"), F.lit("Refund for {{full_name}}").alias("subject"),
+                    body.alias("html_body"))
