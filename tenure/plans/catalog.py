@@ -536,3 +536,35 @@ def mail_merge_bcc(spark, sf):
     subject = F.lit("Refund notice for {{segment}}")
     body = F.lit("<p>Hello {{full_name}}, your refund of {{refund_amount}} is ready.</p>")
     return MM.bcc(r, FX.emails(spark, sf), "employee_id", subject, body, MAIL_FIELDS, batch_size=50)
+
+
+# -------------------------------------------------------- J3/J4 hire staging
+from . import hire_staging as HS  # noqa: E402
+
+STAGE_START = "1998-01-01"
+STAGE_DAYS = 30
+CLINICAL_ASOF = "2000-06-30"
+
+
+def _stage_inputs(spark, sf):
+    return (FX.candidates(spark, sf), FX.job(spark, sf), FX.pers_nid(spark, sf), FX.dept_tbl(spark, sf),
+            FX.jobcode_tbl(spark, sf))
+
+
+@query
+def hire_window_report(spark, sf):
+    """J3+C2+B9+B13+G10+B38+F6+F7: hire staging for the window [start, start + days]."""
+    return HS.hire_staging(*_stage_inputs(spark, sf), STAGE_START, STAGE_DAYS, NOW)
+
+
+@query
+def combined_history_listagg(spark, sf):
+    """E17+F3+F4+E20: per-person ordered roll-up of in-force records with rehire flag."""
+    h = HS.person_history(FX.job(spark, sf), FX.pers_nid(spark, sf), NOW)
+    return h.select("emplid", "history", "rehire", "person_nid")
+
+
+@query
+def clinical_report(spark, sf):
+    """J4+B14: clinical families, hire date within +-100 days, days until hire."""
+    return HS.clinical_report(*_stage_inputs(spark, sf), CLINICAL_ASOF)
