@@ -568,3 +568,20 @@ def combined_history_listagg(spark, sf):
 def clinical_report(spark, sf):
     """J4+B14: clinical families, hire date within +-100 days, days until hire."""
     return HS.clinical_report(*_stage_inputs(spark, sf), CLINICAL_ASOF)
+
+
+# --------------------------------------------------------------- J1 bulk PAF
+from . import bulk_paf as BP  # noqa: E402
+
+
+@query
+def paste_fields_keep_empty(spark, sf):
+    """A3+A4+B1+B3: header row (effdt, reason) and empty-keeping request fields."""
+    return BP.parse_requests(FX.bulk_lines(spark, sf))
+
+
+@query
+def bulk_paf(spark, sf):
+    """Bulk position change — status, load strings, capacity and override audits."""
+    return BP.bulk_paf(FX.bulk_lines(spark, sf), FX.job(spark, sf), FX.position_data(spark, sf),
+                       FX.dept_tbl(spark, sf), ASOF, NOW)

@@ -303,3 +303,31 @@ def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_mktsegment"), extra, F.lit("). Ref {{employee_id}} {{employee_id}}</p>"))
     return c.select(_pad(k, 6).alias("template_id"), F.lit("Refund for {{full_name}}").alias("subject"),
                     body.alias("html_body"))
+
+
+BULK_HEADER = "1998-06-30|REORG"
+
+
+def bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bulk position-change request: header line 0 (effdt|reason), one request line per customer.
+
+    Request fields: emplid|empl_rcd|deptid|location|jobcode|std_hours|shift|mgr_position;
+    an empty field keeps the current value.
+    """
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    fields = [
+        F.concat(F.lit("'"), _pad(k, 6)),
+        (k % 2).cast("string"),
+        F.when(k % 3 == 0, _pad((k + 1) % 4, 4)).otherwise(F.lit("")),
+        F.lit(""),
+        F.when(k % 5 == 0, _pad((k + 2) % 5, 4)).otherwise(F.lit("")),
+        F.when(k % 4 == 0, F.lit("12")).otherwise(F.lit("")),
+        F.when(k % 7 == 0, F.lit("2")).otherwise(F.lit("")),
+        F.lit(""),
+    ]
+    lines = c.select(F.lit(0).cast("long").alias("paste_id"), (k + 1).alias("line_no"),
+                     F.concat_ws("|", *fields).alias("text"))
+    header = c.limit(1).select(F.lit(0).cast("long").alias("paste_id"), F.lit(0).cast("long").alias("line_no"),
+                               F.lit(BULK_HEADER).alias("text"))
+    return header.unionByName(lines)

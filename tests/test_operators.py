@@ -113,3 +113,55 @@ def test_resolve_unique_and_expand(spark):
     df = spark.createDataFrame([(1, True, None)], "k int, a boolean, b boolean")
     out = M.expand_rows(df, [(F.lit(True), F.lit("p")), (F.col("a"), F.lit("a")), (F.col("b"), F.lit("b"))])
     assert [(r.row_val, r.variant, r.row_total) for r in out.collect()] == [(1, "p", 2), (2, "a", 2)]
+
+
+def test_streaming_runs_batch_plan(spark, tmp_path):
+    from tenure.plans.refunds import parse_refunds
+    from tenure.streaming import run_per_batch
+
+    src = tmp_path / "in"
+    src.mkdir()
+    spark.createDataFrame([(1, "'000001|001|PARK|A|REF|5.25")], "paste_id long, text string") \
+        .write.mode("overwrite").parquet(str(src / "p1"))
+    stream = spark.readStream.schema("paste_id long, text string").parquet(str(src / "p1"))
+    seen = []
+    q = run_per_batch(spark, stream, parse_refunds, lambda df, e: seen.extend(df.collect()),
+                      str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    assert [r.emplid for r in seen] == ["000001"] and str(seen[0].amount).startswith("5.25")
+
+
+def test_similarity_pairs_match_brute_force(spark):
+    from tenure.functions.similarity import jaro_winkler, to_int
+    from tenure.operators.similarity import name_pairs
+
+    left = spark.createDataFrame([("shackleford",), ("martha",), ("dwayne",), ("x",)], "n string")
+    right = spark.createDataFrame([("shackelford",), ("marhta",), ("duane",), ("dixon",), ("xy",)], "n string")
+    got = {(r["__lname"], r["__rname"], r["similarity"]) for r in name_pairs(left, right, 80).collect()}
+    want = set()
+    for a in ["shackleford", "martha", "dwayne", "x"]:
+        for b in ["shackelford", "marhta", "duane", "dixon", "xy"]:
+            s = to_int(jaro_winkler(a, b))
+            if s > 80:
+                want.add((a, b, s))
+    assert got == want and ("shackleford", "shackelford", 98) in got
+
+
+def test_csv_source_roundtrip(spark, tmp_path):
+    from tenure.sources.csv import read_csv_records
+
+    p = tmp_path / "r.csv"
+    p.write_text("﻿Employee ID, Full-Name ,Amount ($)\n 000001 , john doe ,\"$3,218\"\n , , \n")
+    df = read_csv_records(spark, str(p), normalise=True)
+    rows = df.collect()
+    assert df.columns == ["employee_id", "full_name", "amount"]
+    assert [(r.employee_id, r.full_name, r.amount) for r in rows] == [("000001", "john doe", "$3,218")]
+
+
+def test_text_transformers_examples(spark):
+    from tenure.functions import text as T
+
+    df = spark.createDataFrame([("john doe", "$3,218", "500", "  ")], "a string, b string, c string, d string")
+    r = df.select(T.capitalize("a").alias("a"), T.currency("b").alias("b"), T.currency("c").alias("c"),
+                  T.currency("d", "$").alias("d"), T.capitalize("d").alias("e")).first()
+    assert (r.a, r.b, r.c, r.d, r.e) == ("John Doe", "3218.00", "500.00", "$0.00", "  ")
