@@ -21,6 +21,7 @@ from ..functions import oracle as O
 from ..operators import diff as X
 from ..operators import effdt as D
 from ..operators import match as M
+from ..session import cut_lineage
 from ..sources.paste import clean_token, field_kept, split_rows
 
 JOB_KEYS = ["emplid", "empl_rcd"]
@@ -113,6 +114,9 @@ def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataF
     a = a.withColumn("future_key", O.cat(*[x for i, c in enumerate(key_cols + ["std_hours_new", "reports_to_new", "flsa_status_new"])
                                           for x in ((F.lit("|"),) if i else ()) + ((nt(c) if c == "std_hours_new" else F.col(c)),)]))
     a = a.withColumn("missing_head_count", F.col("cur_pos_head_count") - F.col("cur_incumbent_count"))
+    # the request frame feeds three grouped counts and the match: materialise it
+    # once in the shared checkpoint folder instead of recomputing its lineage
+    a = cut_lineage(a)
     # G2/G3 as grouped aggregates joined back
     g2 = a.groupBy("paste_id", "cur_pos", "future_key").agg(F.count(F.lit(1)).alias("cur_incumbent_fut_matching"))
     g3 = a.groupBy("paste_id", "cur_pos").agg(
@@ -138,6 +142,7 @@ def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataF
         exclude=("cur_pos", "position_nbr"), left_gate=gate,
     ).withColumnRenamed("position_nbr", "tfr_pos").withColumnRenamed("head_count", "tfr_pos_head_count") \
         .withColumnRenamed("max_head_count", "tfr_pos_max_head_count")
+    a = cut_lineage(a)
     moves = a.filter(F.col("tfr_pos").isNotNull()).groupBy("paste_id", "tfr_pos").agg(F.count(F.lit(1)).alias("tfr_moves"))
     a = a.join(moves, ["paste_id", "tfr_pos"], "left")
     return _finish(a)
