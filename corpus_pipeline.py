@@ -14,8 +14,10 @@ from tenure.llm import stages
 from tenure.llm.common import written
 
 STAGES = [
+    ("toxicity", stages.drop_toxic),
     ("line_dedup", stages.drop_shared_lines),
     ("near_dedup", stages.drop_near_duplicates),
+    ("mixing", stages.mix_sources),
     ("byte_bpe", stages.encode_texts),
 ]
 

@@ -155,15 +155,17 @@ class ByteBpe:
 
 
 class Memo(dict):
-    """A dict that computes what it lacks and starts anew once it is full."""
+    """A dict that computes what it lacks. Once full it starts anew, and what is met
+    again comes over from the generation before."""
 
     def __init__(self, make, limit: int = MEMO):
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.before = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.before = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self[key] = self.before[key] if key in self.before else self.make(key)
         return value
 
 

@@ -28,15 +28,20 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/tenure-llm/{uuid.uuid4().hex}/{name}"
+
+
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts lineage: the plan is computed once, and a lost executor costs no
     recomputation of what stands before.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tenure-llm/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    path = shared_path(spark, name)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
