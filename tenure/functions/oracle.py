@@ -108,14 +108,15 @@ def to_number_or_zero(c: ColumnOrName, dtype: str = "decimal(38,10)") -> Column:
     return F.coalesce(col(c).try_cast(dtype), F.lit(0).cast(dtype))
 
 
-def to_number(c: ColumnOrName, dtype: str = "decimal(38,10)", on_error: str = "null") -> Column:
-    """Numeric conversion (B10): ``on_error='null'`` or ``'fail'`` (ANSI cast)."""
+def to_number(c: ColumnOrName, dtype: str = "decimal(38,10)", on_error: str = "fail") -> Column:
+    """Numeric conversion (B10): a text that is no number fails the query, or gives
+    NULL with ``on_error='null'``."""
     c = col(c)
-    if on_error == "fail":
-        return F.when(c.isNull(), F.lit(None).cast(dtype)).otherwise(
-            F.when(c.try_cast(dtype).isNull(), F.raise_error(F.concat(F.lit("invalid number: "), c)))
-            .otherwise(c.try_cast(dtype)))
-    return c.try_cast(dtype)
+    n = F.trim(c).try_cast(dtype)
+    if on_error == "null":
+        return n
+    bad = F.raise_error(F.concat(F.lit("invalid number: "), c)).cast(dtype)
+    return F.when(c.isNotNull(), F.coalesce(n, bad))
 
 
 def date_text(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:

@@ -14,7 +14,7 @@ it into one Column expression (no UDF):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -30,22 +30,30 @@ class Field:
     cur: object
     lead: str = " "           # text before the label (the first field has none)
     new_lpad: int | None = None  # lpad the new value to this width
-    rpad_total: int | None = None  # rpad the whole "label:new(cur)" piece (truncating)
-    rpad_value: int | None = None  # rpad "new(cur)" (truncating)
+    rpad_total: int | None = None  # pad the whole "label:new(cur)" piece to this width
+    rpad_value: int | None = None  # pad "new(cur)" to this width
+    cut: bool = False              # also cut what is wider (the fixed-width layout)
+    fmt: Callable[[Column], Column] | None = None  # text form of a value; values are compared as they are
+
+
+def _padded(c: Column, width: int, cut: bool, left: bool = False) -> Column:
+    to = F.lit(width) if cut else F.greatest(F.length(c), F.lit(width))
+    return F.lpad(c, to, F.lit(" ")) if left else F.rpad(c, to, F.lit(" "))
 
 
 def _piece(f: Field) -> Column:
-    new, cur = col(f.new).cast("string"), col(f.cur).cast("string")
+    text = f.fmt or (lambda c: c.cast("string"))
+    new, cur = text(col(f.new)), text(col(f.cur))
     if f.new_lpad:
-        new = F.lpad(new, f.new_lpad, " ")
+        new = _padded(new, f.new_lpad, f.cut, left=True)
     body = cat(new, F.lit("("), cur, F.lit(")"))
     if f.rpad_value:
-        body = F.rpad(body, f.rpad_value, " ")
+        body = _padded(body, f.rpad_value, f.cut)
     piece = cat(F.lit(f.lead), F.lit(f.label + ":"), body)
     differs = ~col(f.new).eqNullSafe(col(f.cur))
     piece = F.when(differs, piece)
     if f.rpad_total:
-        piece = F.rpad(piece, f.rpad_total, " ")
+        piece = _padded(piece, f.rpad_total, f.cut)
     return piece
 
 
@@ -66,19 +74,6 @@ def changed_only(new, cur) -> Column:
     return F.when(~col(new).eqNullSafe(col(cur)), col(new))
 
 
-def pick(flag, when_value: str, left_cols: Sequence[str], right_cols: Sequence[str],
-         names: Sequence[str]) -> list[Column]:
-    """Per field, the left column when ``flag = when_value`` else the right one."""
-    f = col(flag)
-    return [F.when(f.eqNullSafe(F.lit(when_value)), col(a)).otherwise(col(b)).alias(n)
-            for a, b, n in zip(left_cols, right_cols, names)]
-
-
-def merge_new(new_cols: Sequence[str], cur_cols: Sequence[Column | str], names: Sequence[str]) -> list[Column]:
-    """``nvl(new, current)`` per field."""
-    return [F.coalesce(col(a), col(b)).alias(n) for a, b, n in zip(new_cols, cur_cols, names)]
-
-
 def load_string(*slots, sep: str = "|") -> Column:
     """Delimited load line; NULL slots stay as empty slots.
 

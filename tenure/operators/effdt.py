@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -171,6 +172,13 @@ def asof_join(
     payload = F.struct(*[F.col(c).alias(c) for c in carry])
 
     lcols = left.columns
+    # a NULL key or date equals nothing: such history rows are never in force, such
+    # driving rows match none and stay out of the window
+    right = right.dropna(subset=[*keys, right_effdt])
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, left_date]])
+    unmatched = left.filter(~known).select(
+        *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(prefix + c) for c in carry])
+    left = left.filter(known)
     l = left.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         F.col(left_date).cast("date").alias("__d"),
@@ -193,8 +201,6 @@ def asof_join(
     )
     both = l.unionByName(r).withColumn("__m", F.last("__r", ignorenulls=True).over(w))
     out = both.filter(F.col("__side") == 1)
-    # left rows with a NULL date never match (Oracle: effdt <= NULL is unknown)
-    matched = F.when(F.col("__d").isNotNull(), F.col("__m"))
     sel = [F.col("__l")[c].alias(c) for c in lcols]
-    sel += [matched[c].alias(prefix + c) for c in carry]
-    return out.select(*sel)
+    sel += [F.col("__m")[c].alias(prefix + c) for c in carry]
+    return out.select(*sel).union(unmatched)

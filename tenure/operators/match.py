@@ -2,11 +2,8 @@
 
 * ``headcount``: incumbents per slot, one partial-aggregated shuffle.
 * ``best_match``: the "lateral top-1" (best existing row with all fields
-  equal) as a multi-key equi-join followed by ``row_number() = 1`` over the
-  driving row. Candidates are first cut to the top few per field
-  combination (their order does not depend on the driving row), so a
-  combination shared by many slots contributes a bounded number of rows
-  to the join.
+  equal) as one multi-key left join to the top one or two candidates per
+  field combination.
 * ``pick_one``: best row per key with an optional "prefer flagged rows" rule.
 * ``resolve_unique``: a value only when exactly one qualifying row exists.
 * ``expand_rows``: conditional row generation (lateral union all).
@@ -53,57 +50,48 @@ def best_match(
     exclude: tuple[str, str] | None = None,
     prefer: tuple[str, str] | None = None,
     left_gate: Column | None = None,
-    keep_per_combo: int | None = None,
 ) -> DataFrame:
     """Left join each driving row to its single best right row.
 
-    ``on``: (left column, right column) equality pairs — NULL never matches.
-    ``order_by``: ``Sort`` keys on right columns (ends with a unique key so
-    the choice is deterministic).
-    ``eligible``: predicate on right columns (e.g. manager-capacity rule).
-    ``exclude``: (left col, right col) — drop candidates equal to the left
-    value (the driving row's own slot).
-    ``prefer``: (left col, right col) — rank the candidate equal to the left
-    value first (prefer the own slot).
-    ``left_gate``: only rows satisfying it look up a match (others get NULLs).
-    ``keep_per_combo``: candidates kept per equality combination before the
-    join; defaults to 2 with ``exclude`` (one can be removed), 1 otherwise.
-    With ``prefer`` the own slot is looked up separately.
+    ``on``: (left column, right column) equality pairs; NULL never matches.
+    ``order_by``: ``Sort`` keys on right columns, ending with a unique key.
+    ``left_id`` names what tells driving rows apart; equal ones get equal matches.
+    ``eligible``: predicate on right columns (e.g. the manager-capacity rule).
+    ``exclude``: (left, right): candidates equal to the left value do not count
+    (the driving row's own slot). ``prefer``: (left, right): the candidate equal
+    to the left value wins, eligible or not (an occupied own slot stays a match);
+    the right column must be unique. ``left_gate``: only rows that satisfy it
+    look a match up.
+
+    The candidates' order does not depend on the driving row, so the first one
+    of a combination of equality fields wins (the second, if the first can be
+    excluded). These are kept as a short array per combination; one left join on
+    the combination and an expression do the rest.
     """
-    lk = [a for a, _ in on]
+    keep = 2 if exclude else 1
     rk = [b for _, b in on]
-    cand = right if eligible is None else right.filter(eligible)
-    for c in rk:
-        cand = cand.filter(F.col(c).isNotNull())
-    cand = cand.select(*[F.col(c).alias("__r_" + c) for c in cand.columns])
-    r_on = [(a, "__r_" + b) for a, b in on]
-    r_order = [_rename_sort(o) for o in order_by]
-    r_cols = ["__r_" + c for c in right_cols]
-
-    if keep_per_combo is None:
-        keep_per_combo = 2 if exclude else 1
-    # The candidate order does not depend on the driving row, so only the top
-    # few of each equality combination can ever win.
-    w_combo = Window.partitionBy(*[b for _, b in r_on]).orderBy(*r_order)
-    top = cand.withColumn("__crk", F.row_number().over(w_combo)).filter(F.col("__crk") <= keep_per_combo)
-
-    drivers = left if left_gate is None else left.filter(left_gate)
-    extra = ([exclude[0]] if exclude else []) + ([prefer[0]] if prefer else [])
-    drivers = drivers.select(*dict.fromkeys(list(left_id) + lk + extra))
-    joined = drivers.join(top, on=[drivers[a] == top[b] for a, b in r_on], how="inner")
+    cols = list(dict.fromkeys([*right_cols, *([exclude[1]] if exclude else [])]))
+    cand = right.dropna(subset=rk)
+    best = cand if eligible is None else cand.filter(eligible)
+    best = best.withColumn("__rn", F.row_number().over(Window.partitionBy(*rk).orderBy(*[o.column() for o in order_by])))
+    best = best.filter(F.col("__rn") <= keep).groupBy(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(rk)]).agg(
+        F.array_sort(F.collect_list(F.struct("__rn", *cols))).alias("__best"))
+    gate = F.lit(True) if left_gate is None else F.coalesce(left_gate, F.lit(False))
+    out = left.withColumn("__gate", gate)
+    met = [(out[a] == best[f"__c{i}"]) for i, (a, _) in enumerate(on)]
+    out = out.join(best, on=[out["__gate"], *met], how="left").drop(*[f"__c{i}" for i in range(len(on))])
+    found = F.col("__best")
     if exclude:
-        joined = joined.filter(F.col(exclude[0]) != F.col("__r_" + exclude[1]))
-    allc = joined.select(*dict.fromkeys(list(left_id) + r_cols + ["__r_" + c for c in _sort_names(order_by)])).withColumn("__pref", F.lit(1))
+        found = F.filter(found, lambda x: F.col(exclude[0]) != x[exclude[1]])
+    found = F.get(found, 0)
+    picked = {c: found[c] for c in right_cols}
     if prefer:
-        # the own slot, if it qualifies, wins regardless of the per-combo cut
-        own = drivers.join(cand, on=[drivers[a] == cand[b] for a, b in r_on]
-                           + [drivers[prefer[0]] == cand["__r_" + prefer[1]]], how="inner")
-        own = own.select(*[c for c in allc.columns if c != "__pref"]).withColumn("__pref", F.lit(0))
-        allc = allc.unionByName(own)
-    w = Window.partitionBy(*left_id).orderBy(F.col("__pref"), *r_order)
-    best = allc.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") == 1)
-    best = best.select(*left_id, *[F.col("__r_" + c).alias(c) for c in right_cols])
-    return left.join(best, on=list(left_id), how="left")
+        own = cand.select(F.col(prefer[1]).alias("__own"), *[F.col(c).alias(f"__c{i}") for i, c in enumerate(rk)],
+                          F.struct(*[F.col(c) for c in right_cols]).alias("__slot"))
+        met = [out[a] == own[f"__c{i}"] for i, (a, _) in enumerate(on)]
+        out = out.join(own, on=[out["__gate"], out[prefer[0]] == own["__own"], *met], how="left")
+        picked = {c: F.when(F.col("__slot").isNotNull(), F.col("__slot")[c]).otherwise(v) for c, v in picked.items()}
+    return out.select(*left.columns, *[v.alias(c) for c, v in picked.items()])
 
 
 class Sort:
@@ -121,26 +109,17 @@ class Sort:
         return c.asc_nulls_first() if self.nulls_first else c.asc_nulls_last()
 
 
-def _rename_sort(o) -> Column:
-    return o.column("__r_")
-
-
-def _sort_names(order_by) -> list[str]:
-    return [o.name for o in order_by]
-
-
 def pick_one(df: DataFrame, keys, order_by: Sequence[Column], prefer: Column | None = None) -> DataFrame:
     """Best row per key.
 
     With ``prefer``: if any row of the key satisfies it, only such rows
-    compete; otherwise all rows do (``flag = P or not exists(P)``).
-    ``row_number() = 1`` becomes a partial WindowGroupLimit before the shuffle.
+    compete; otherwise all rows do (``flag = P or not exists(P)``), so it is the
+    first sort key. ``row_number() = 1`` becomes a partial WindowGroupLimit
+    before the shuffle.
     """
     keys = _keys(keys)
-    if prefer is not None:
-        has = F.max(prefer.cast("int")).over(Window.partitionBy(*keys))
-        df = df.withColumn("__has", has).filter(prefer | (F.col("__has") == 0) | F.col("__has").isNull()).drop("__has")
-    w = Window.partitionBy(*keys).orderBy(*order_by)
+    first = [] if prefer is None else [F.coalesce(prefer, F.lit(False)).desc()]
+    w = Window.partitionBy(*keys).orderBy(*first, *order_by)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
@@ -158,17 +137,15 @@ def resolve_unique(
     distinct emplid for a name). The count is a grouped aggregate on the
     right's key — partial-aggregated, so a hot key costs one row per map task.
     """
-    rk = [b for _, b in on]
     agg = (F.count_distinct(value) if distinct else F.count(F.lit(1)))
     uniq = (
-        right.groupBy(*rk)
-        .agg(agg.alias("__n"), F.min(value).alias("__v"))
+        right.groupBy(*[F.col(b).alias(f"__u{i}") for i, (_, b) in enumerate(on)])
+        .agg(agg.alias("__n"), F.min(value).alias(name))
         .filter(F.col("__n") == 1)
-        .select(*rk, F.col("__v").alias(name))
+        .drop("__n")
     )
-    cond = [left[a] == uniq[b] for a, b in on]
-    out = left.join(uniq, on=cond, how="left")
-    return out.drop(*[uniq[b] for b in rk])
+    cond = [F.col(a) == F.col(f"__u{i}") for i, (a, _) in enumerate(on)]
+    return left.join(uniq, on=cond, how="left").drop(*[f"__u{i}" for i in range(len(on))])
 
 
 def expand_rows(df: DataFrame, variants: Sequence[tuple[Column, Column]], pos_name: str = "row_val",

@@ -43,7 +43,7 @@ def parse_requests(lines: DataFrame) -> DataFrame:
     cols = [clean_token(field_kept(v, i)).alias(n) for i, n in enumerate(REQ_FIELDS)]
     req = req.select("paste_id", "line_no", "row_pos", *cols)
     req = req.withColumn("empl_rcd", F.col("empl_rcd").cast("int")) \
-        .withColumn("raw_std_hours_new", O.to_number("raw_std_hours_new", "decimal(6,2)"))
+        .withColumn("raw_std_hours_new", O.to_number("raw_std_hours_new"))
     return req.join(hdr, "paste_id", "inner")
 
 
@@ -104,7 +104,7 @@ def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataF
         X.Field("location", F.col("location_new"), F.col("cur_location_proper")),
         X.Field("jobcode", F.col("jobcode_new"), F.col("cur_jobcode_proper")),
         X.Field("company", F.col("company_new"), F.col("cur_company_proper")),
-        X.Field("std_hours", nt("std_hours_new"), nt("cur_std_hours_proper"), rpad_value=8),
+        X.Field("std_hours", "std_hours_new", "cur_std_hours_proper", rpad_value=8, fmt=O.num_text),
         X.Field("reports_to", F.col("reports_to_new"), F.col("cur_reports_to_proper")),
         X.Field("shift", F.col("shift_new"), F.col("cur_shift_proper")),
     ]
@@ -133,11 +133,10 @@ def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataF
     pos = M.with_headcount(pos, counts, "position_nbr")
     gate = F.col("remaining_value_diff").isNotNull() & (
         (F.col("missing_head_count") > 0) | ((F.col("missing_head_count") == 0) & (F.col("tfr_retain_one") > 1)))
-    a = a.withColumn("__rid", F.struct("paste_id", "line_no", "row_pos"))
     a = M.best_match(
         a, pos, on=[(c + "_new", c) for c in FIELDS],
         order_by=[M.Sort("head_count", desc=True), M.Sort("max_head_count", desc=True), M.Sort("position_nbr")],
-        left_id=["__rid"], right_cols=["position_nbr", "head_count", "max_head_count"],
+        left_id=["paste_id", "line_no", "row_pos"], right_cols=["position_nbr", "head_count", "max_head_count"],
         eligible=(C.is_manager("manager_level") == 0) | (F.col("head_count") == 0),
         exclude=("cur_pos", "position_nbr"), left_gate=gate,
     ).withColumnRenamed("position_nbr", "tfr_pos").withColumnRenamed("head_count", "tfr_pos_head_count") \

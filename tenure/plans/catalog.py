@@ -244,11 +244,6 @@ def _job_vs_position(spark, sf):
 
 def override_diff_fields(new_prefix: str = "", cur_prefix: str = "p_") -> list:
     """The 11-field override comparison (labels and paddings of the reference)."""
-    def n(c):
-        return O.num_text(F.col(new_prefix + c)) if c == "std_hours" else F.col(new_prefix + c)
-
-    def c_(c):
-        return O.num_text(F.col(cur_prefix + c)) if c == "std_hours" else F.col(cur_prefix + c)
     # Labels in output order.
     labels = [("business_unit", "bu"), ("deptid", "dept"), ("location", "location"), ("jobcode", "jobcode"),
               ("company", "co"), ("std_hours", "std_hours"), ("reports_to", "reports_to"),
@@ -257,11 +252,11 @@ def override_diff_fields(new_prefix: str = "", cur_prefix: str = "p_") -> list:
     out = []
     for i, (c, lab) in enumerate(labels):
         if c == "business_unit":
-            out.append(X.Field(lab, n(c), c_(c), lead="", new_lpad=5, rpad_total=15))
+            out.append(X.Field(lab, new_prefix + c, cur_prefix + c, lead="", new_lpad=5, rpad_total=15))
         elif c == "std_hours":
-            out.append(X.Field(lab, n(c), c_(c), rpad_value=8))
+            out.append(X.Field(lab, new_prefix + c, cur_prefix + c, rpad_value=8, fmt=O.num_text))
         else:
-            out.append(X.Field(lab, n(c), c_(c)))
+            out.append(X.Field(lab, new_prefix + c, cur_prefix + c))
     return out
 
 
@@ -297,13 +292,21 @@ def changed_fields_load(spark, sf):
                     X.next_effseq("effdt", run, "effseq").cast("int").alias("next_effseq"))
 
 
+def _identified(spark, sf) -> DataFrame:
+    """Requests with the person's id, given or found by an unambiguous name."""
+    h = _hire_requests(spark, sf)
+    given = h.filter(F.col("emplid") != " ").withColumn("emplid", F.trim("emplid"))
+    found = _resolve_names(spark, sf, h.filter(F.col("emplid") == " ")).filter(F.col("resolved_emplid").isNotNull())
+    return given.unionByName(found.withColumn("emplid", F.col("resolved_emplid")).drop("resolved_emplid"))
+
+
 def _hires_with_job(spark, sf):
-    h = _hire_requests(spark, sf).filter(F.col("emplid") != " ")
+    h = _identified(spark, sf)
     act = D.active_asof(FX.job(spark, sf), JOB_KEYS, "effdt", START, "effseq").filter(F.col("per_org") == "EMP")
     a = act.select("emplid", "empl_rcd", *[F.col(c).alias("cur_" + c) for c in
                    ["effdt", "effseq", "deptid", "jobcode", "std_hours", "shift", "reg_temp", "full_part_time",
                     "company", "union_cd", "hourly_rt", "position_nbr", "officer_cd"]])
-    h = h.select("req_num", F.trim("emplid").alias("emplid"), "name", "hire_comments", "mgr_id",
+    h = h.select("req_num", "emplid", "name", "hire_comments", "mgr_id",
                  *[F.col(c).alias("edw_" + c) for c in ["deptid", "jobcode", "std_hours", "shift", "reg_temp", "hourly_rt"]])
     return h.join(a, "emplid", "inner")
 
@@ -395,15 +398,14 @@ def action_reason(spark, sf):
 @query
 def complexity_flag(spark, sf):
     """J2b + G6: complexity flag and reason (different priority orders)."""
-    h = _hire_requests(spark, sf).filter(F.col("emplid") != " ")
-    h = _unique_managers(spark, sf, h)
+    h = _unique_managers(spark, sf, _identified(spark, sf))
     j = _hires_with_job(spark, sf).select("req_num", "emplid", "empl_rcd", "cur_full_part_time", "edw_std_hours",
                                           "edw_jobcode")
     j = j.join(h.select("req_num", "edw_reports_to", "hire_comments", "name"), "req_num", "inner")
-    # count(distinct) over a window is rewritten as size(collect_set) per partition
-    from pyspark.sql import Window
-    j = j.withColumn("id_req_count", F.size(F.collect_set("emplid").over(Window.partitionBy("req_num", "name"))))
-    j = j.withColumn("id_empl_rcd_count", F.size(F.collect_set("empl_rcd").over(Window.partitionBy("req_num", "name", "emplid"))))
+    # count(distinct) over a window becomes a grouped count joined back
+    j = j.join(j.groupBy("req_num", "name").agg(F.countDistinct("emplid").alias("id_req_count")), ["req_num", "name"])
+    j = j.join(j.groupBy("req_num", "name", "emplid").agg(F.countDistinct("empl_rcd").alias("id_empl_rcd_count")),
+               ["req_num", "name", "emplid"])
     jc = D.asof_rows(FX.jobcode_tbl(spark, sf).filter(F.col("setid") == "SHARE"), ["setid", "jobcode"], "effdt", NOW)
     j = j.join(jc.select(F.col("jobcode").alias("edw_jobcode"), F.col("union_cd").alias("edw_jc_union_cd")), "edw_jobcode")
     mism = C.casual_union_mismatch(C.hours_category("edw_std_hours"), "edw_jc_union_cd")
@@ -412,6 +414,52 @@ def complexity_flag(spark, sf):
                     flag.alias("complex_check"), reason.alias("complex_def"))
 
 
+# -------------------------------------------------------------- J2 transfers
+from . import transfers as TR  # noqa: E402
+
+
+def _transfer_slots(spark, sf) -> DataFrame:
+    """The slots, and a fitting vacant one for every third request, so that moves occur."""
+    in_force = D.active_asof(FX.job(spark, sf), JOB_KEYS, "effdt", START, "effseq")
+    req = TR.requests(FX.hires(spark, sf), in_force, FX.dept_tbl(spark, sf), START, NOW)
+    employed = in_force.filter(F.col("per_org") == "EMP")
+    req = TR.identified(req, employed, FX.names(spark, sf), NOW)
+    jc = D.asof_rows(FX.jobcode_tbl(spark, sf).filter(F.col("setid") == "SHARE"), ["setid", "jobcode"], "effdt", NOW)
+    req = req.join(jc.select(F.col("jobcode").alias("edw_jobcode"), "union_cd"), "edw_jobcode")
+    k = F.col("req_num").cast("long")
+    made = req.filter(k % 3 == 0).select(
+        F.concat(F.lit("T"), F.lpad("req_num", 7, "0")).alias("position_nbr"), F.lit("1998-01-01").cast("date").alias("effdt"),
+        F.lit("A").alias("eff_status"), F.col("edw_bus_unit").alias("business_unit"), F.col("edw_deptid").alias("deptid"),
+        F.col("edw_jobcode").alias("jobcode"), C.company_from_union("union_cd").alias("company"),
+        F.col("edw_std_hours").alias("std_hours"), F.col("edw_reports_to").alias("reports_to"), "union_cd",
+        F.col("edw_shift").alias("shift"), F.col("edw_reg_temp").alias("reg_temp"), F.col("edw_flsa_status").alias("flsa_status"),
+        (k % 4 + 1).cast("int").alias("max_head_count"),
+        F.substring(F.lit(FX.LEVEL_CYCLE), (k % 10).cast("int") + 1, 1).alias("manager_level"))
+    return FX.position_data(spark, sf).select(*made.columns).unionByName(made)
+
+
+@query
+def transfers(spark, sf):
+    """The transfer list over both branches, with load strings, status and retention."""
+    return TR.transfers(FX.hires(spark, sf), FX.job(spark, sf), FX.names(spark, sf), FX.jobcode_tbl(spark, sf),
+                       _transfer_slots(spark, sf), FX.dept_tbl(spark, sf), FX.person_assignment(spark, sf), START, NOW)
+
+
+@query
+def transfer_status(spark, sf):
+    """J2b+J2c: rows, slots found and people per status and complexity."""
+    t = transfers(spark, sf)
+    return t.groupBy(F.coalesce("status", F.lit("")).alias("status"), "complex_check").agg(
+        F.count(F.lit(1)).alias("n"), F.count("tfr_pos").alias("n_slots"), F.countDistinct("emplid").alias("people"))
+
+
+@query
+def dual_employment(spark, sf):
+    """J2d+E19: second-employment load strings."""
+    t = transfers(spark, sf).filter(F.col("dual_emp_exceltoci").isNotNull())
+    return t.select("req_num", "emplid", "empl_rcd", "tfr_pos", "dual_emp_exceltoci")
+
+
 # ------------------------------------------------------------- J6 name search
 from . import name_search as NS  # noqa: E402
 

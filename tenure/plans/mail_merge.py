@@ -10,10 +10,9 @@ narrow projection plus one join for the lookup; BCC groups are bounded by
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -63,24 +62,23 @@ def summary(messages: DataFrame) -> DataFrame:
 
 
 def bcc(records: DataFrame, emails: DataFrame, id_col: str, subject: Column, body: Column,
-        field_cols: list[str], batch_size: int = 500) -> DataFrame:
-    """One BCC message per batch of recipients, rendered from the batch's first record.
+        field_cols: list[str], batch_size: int = 500, parts: int = 64) -> DataFrame:
+    """BCC messages of at most ``batch_size`` recipients, rendered from each one's first record.
 
-    Recipients are batched by their numeric id (``id // batch_size``) or, for
-    non-numeric ids, by hash into ``ceil(n / batch_size)`` buckets, so no
-    group grows beyond a batch.
+    Records are dealt to ``parts`` by a hash of the id, numbered in each part in
+    order of the id, and cut into batches, so no group holds more than a batch.
+    Any address with ``@`` counts as a recipient; they stand in record order.
     """
     r = business_email(records, id_col, emails)
-    num = F.col(id_col).try_cast("long")
-    n = r.count()
-    buckets = max(1, math.ceil(n / batch_size))
-    batch = F.coalesce(F.floor(num / batch_size), F.lit(-1) - F.pmod(F.hash(id_col), F.lit(buckets)))
-    r = r.withColumn("batch", batch.cast("long"))
+    part = (F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 6), 16, 10).cast("long") % parts)
+    r = r.withColumn("part", F.coalesce(part, F.lit(0)))
+    order = Window.partitionBy("part").orderBy(F.col(id_col).asc_nulls_last(), *[F.col(c) for c in field_cols], "email")
+    r = r.withColumn("__n", F.row_number().over(order)).withColumn("batch", F.floor((F.col("__n") - 1) / batch_size))
     fields = [(c, F.col(c)) for c in field_cols]
-    first = F.min_by(F.struct(T.render(subject, fields).alias("s"), T.render(body, fields).alias("b")), F.col(id_col))
-    valid = F.when(T.valid_email("email"), F.trim("email"))
-    return r.groupBy("batch").agg(
-        F.array_join(F.array_sort(F.collect_list(valid)), ";").alias("bcc"),
+    first = F.min_by(F.struct(T.render(subject, fields).alias("s"), T.render(body, fields).alias("b")), "__n")
+    valid = F.when(F.col("email").contains("@"), F.struct("__n", F.trim("email").alias("to")))
+    return r.groupBy("part", "batch").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(valid)), lambda x: x["to"]), ";").alias("bcc"),
         F.count(valid).alias("recipients"),
         first["s"].alias("subject"), first["b"].alias("body"),
     )

@@ -1,21 +1,26 @@
 """CSV and directory sources — SURVEY A9-A12.
 
-``read_csv_records``: header row, every column a string, values trimmed,
-all-blank rows dropped, headers cleaned of BOM/NUL characters and checked
-(non-empty, unique, <= 100 chars). The reference's row/column/size caps are
-off by default (``max_rows`` etc. are opt-in) — at scale the whole file is
-read.
+``read_csv_records``: header row, every column a string, values trimmed of all
+white space, all-blank rows dropped, headers cleaned of BOM/NUL characters and
+checked (non-empty, unique, <= 100 chars). Files of a folder may have their
+columns in different orders: every file is read by its own header.
 """
 
 from __future__ import annotations
 
+import csv as _csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_name
 
-BOM_CHARS = "﻿￾\x00"
+BOM_CHARS = "\ufeff\ufffe\x00"
 MAX_HEADER_LEN = 100
+# Byte order marks and their encodings; a file without one that is no UTF-8 is read as the fallback.
+BOMS = ((b"\xef\xbb\xbf", "UTF-8"), (b"\xff\xfe", "UTF-16"), (b"\xfe\xff", "UTF-16"))
+HEAD_BYTES = 1 << 16
 
 
 def clean_header(name: str) -> str:
@@ -37,6 +42,20 @@ def validate_headers(names: list[str]) -> list[str]:
     return problems
 
 
+def detect_encoding(head: bytes, fallback: str = "windows-1252") -> str:
+    """Encoding from a file's first bytes (A10): byte order mark, else UTF-8 where they
+    are valid UTF-8 (the last character may be cut), else ``fallback``."""
+    for mark, name in BOMS:
+        if head.startswith(mark):
+            return name
+    try:
+        head.decode("utf-8")
+    except UnicodeDecodeError as e:
+        if e.start < len(head) - 4:
+            return fallback
+    return "UTF-8"
+
+
 def tidy_records(df: DataFrame, normalise: bool = False) -> DataFrame:
     """Trim every value, drop rows whose values are all blank, clean headers."""
     names = [clean_header(c) for c in df.columns]
@@ -46,34 +65,37 @@ def tidy_records(df: DataFrame, normalise: bool = False) -> DataFrame:
     if problems:
         raise ValueError("; ".join(problems))
     df = df.toDF(*names)
-    trimmed = [F.trim(F.col(f"`{c}`").cast("string")).alias(c) for c in names]
-    df = df.select(*trimmed)
+    df = df.select(*[F.regexp_replace(F.col(f"`{c}`").cast("string"), r"(?U)^\s+|\s+$", "").alias(c) for c in names])
     if names:
-        any_value = F.greatest(*[F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)) for c in names]) if len(names) > 1 \
-            else F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0))
-        df = df.filter(any_value > 0)
+        df = df.filter(reduce(lambda a, b: a | b, [F.coalesce(F.col(f"`{c}`") != "", F.lit(False)) for c in names]))
     return df
 
 
-def read_csv_records(spark: SparkSession, path: str, encoding: str = "UTF-8", normalise: bool = False,
-                     max_rows: int | None = None, max_columns: int | None = None,
-                     glob: str | None = None, with_file: bool = False) -> DataFrame:
+def read_csv_records(spark: SparkSession, path: str, encoding: str | None = None, normalise: bool = False,
+                     glob: str | None = None, with_file: bool = False, multi_line: bool = True,
+                     fallback: str = "windows-1252") -> DataFrame:
     """CSV file(s) -> all-string records.
 
-    ``encoding`` covers the reference's UTF-8 / UTF-16 / latin-1 / cp1252
-    cases; ``glob='*.csv'`` reads every matching file of a folder and
-    ``with_file`` keeps the source file name.
+    ``encoding=None`` detects it per file. ``glob='*.csv'`` reads every matching file
+    of a folder (columns matched by name, missing ones NULL) and ``with_file`` keeps the
+    source file name. ``multi_line=False`` lets Spark split large files when no
+    value holds a line end. The driver reads the first bytes of each file only.
     """
-    r = spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
-    r = r.option("multiLine", True).option("escape", '"')
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.csv(path)
-    if max_columns is not None:
-        df = df.select(*df.columns[:max_columns])
-    if with_file:
-        df = df.withColumn("source_file", F.input_file_name())
-    out = tidy_records(df, normalise)
-    if max_rows is not None:
-        out = out.limit(max_rows)
-    return out
+    heads = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*").load(path)
+    heads = heads.select("path", F.substring("content", 1, HEAD_BYTES).alias("head")).orderBy("path").collect()
+    parts = []
+    for h in heads:
+        enc = encoding or detect_encoding(bytes(h["head"]), fallback)
+        first = bytes(h["head"]).decode(enc, errors="replace").lstrip("\ufeff")
+        names = next(_csv.reader(first.splitlines(keepends=True)), [])
+        problems = validate_headers([clean_header(n) for n in names])
+        if problems:
+            raise ValueError(f"{h['path']}: " + "; ".join(problems))
+        r = spark.read.option("header", True).option("inferSchema", False).option("encoding", enc)
+        df = r.option("multiLine", multi_line).option("escape", '"').option("enforceSchema", True).schema(
+            ", ".join(f"`{clean_header(n).replace('`', '``')}` string" for n in names)).csv(h["path"])
+        df = tidy_records(df, normalise)
+        parts.append(df.withColumn("source_file", F.lit(h["path"])) if with_file else df)
+    if not parts:
+        raise ValueError(f"no file at {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

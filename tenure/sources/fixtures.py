@@ -69,6 +69,7 @@ def job(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 == 0, "F").when(k % 3 == 1, "P").otherwise("C").alias("full_part_time"),
         F.when(k % 2 == 0, "N").otherwise("E").alias("flsa_status"),
         F.when(k % 2 == 0, "P").otherwise("S").alias("job_indicator"),
+        F.when(k % 19 == 0, "L").when(k % 23 == 0, "P").otherwise("A").alias("empl_status"),
         F.substring(F.lit(LEVEL_CYCLE), (k % 10).cast("int") + 1, 1).alias("officer_cd"),
         F.when(k % 17 == 0, "N").otherwise("Y").alias("elig_rehire"),
         F.when(F.col("o_orderstatus") == "F", day).alias("termination_dt"),
@@ -126,6 +127,25 @@ def hires(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 0, "T").otherwise("R").alias("reg_temp"),
         F.col("c_acctbal").cast("decimal(12,2)").alias("hourly_rt"),
         F.lit("1999-01-01").cast("date").alias("start_date"),
+        F.concat(F.lit("Manager "), ((k + 1) % 150).cast("string")).alias("mgr_name"),
+        F.when(k % 9 == 0, F.lit(None)).when(k % 2 == 0, "N").otherwise("E").alias("flsa_status"),
+        F.when(k % 6 != 0, F.date_add(F.lit("1985-01-01").cast("date"), (k % 900).cast("int"))).alias("prof_experience_dt"),
+    )
+
+
+def person_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Organisational instance of each employment record (dates of seniority and service)."""
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").withColumn("empl_rcd", F.explode(F.array(F.lit(0), F.lit(1))))
+    c = c.filter((k % 14 != 0) | (F.col("empl_rcd") == 0))
+    day = lambda y, n: F.date_add(F.lit(f"{y}-01-01").cast("date"), (k % n).cast("int"))
+    return c.select(
+        _pad(k, 6).alias("emplid"), F.col("empl_rcd").cast("int").alias("empl_rcd"),
+        F.lit("EMP").alias("per_org"), F.col("empl_rcd").cast("int").alias("org_instance_ern"),
+        (k % 3).cast("int").alias("benefit_rcd_nbr"),
+        F.when(k % 4 != 0, day(1985, 900)).alias("prof_experience_dt"),
+        day(1986, 700).alias("cmpny_seniority_dt"), day(1987, 500).alias("service_dt"),
+        F.when(k % 5 != 0, day(1988, 300)).alias("seniority_pay_dt"),
     )
 
 
@@ -270,7 +290,8 @@ def recipients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     blank = k % 29 == 0
-    amount = F.when(k % 13 == 0, F.lit("n/a")).otherwise(
+    amount = F.when(k % 13 == 0, F.lit("n/a")).when(k % 31 == 0, "1.2.3").when(k % 37 == 0, "5-").when(
+        k % 17 == 0, "$12345678901234567890123456789012.345").when(k % 19 == 0, "9" * 60).when(k % 23 == 0, "555-1234").otherwise(
         F.concat(F.lit("$"), F.col("c_acctbal").cast("decimal(12,2)").cast("string")))
     vals = [
         _pad(k, 6),

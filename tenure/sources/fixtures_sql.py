@@ -31,6 +31,7 @@ select lpad(cast(o_custkey as varchar), 6, '0') emplid,
        case o_orderkey % 3 when 0 then 'F' when 1 then 'P' else 'C' end full_part_time,
        case when o_orderkey % 2 = 0 then 'N' else 'E' end flsa_status,
        case when o_orderkey % 2 = 0 then 'P' else 'S' end job_indicator,
+       case when o_orderkey % 19 = 0 then 'L' when o_orderkey % 23 = 0 then 'P' else 'A' end empl_status,
        substring('1236ABC79D', cast(o_orderkey % 10 as integer) + 1, 1) officer_cd,
        case when o_orderkey % 17 = 0 then 'N' else 'Y' end elig_rehire,
        case when o_orderstatus = 'F' then cast(o_orderdate as date) end termination_dt,
@@ -70,8 +71,20 @@ select cast(c_custkey as varchar) req_num,
        cast(c_nationkey % 2 + 1 as varchar) shift,
        case when c_custkey % 7 = 0 then 'T' else 'R' end reg_temp,
        cast(c_acctbal as decimal(12,2)) hourly_rt,
-       date '1999-01-01' start_date
+       date '1999-01-01' start_date,
+       'Manager ' || cast((c_custkey + 1) % 150 as varchar) mgr_name,
+       case when c_custkey % 9 = 0 then null when c_custkey % 2 = 0 then 'N' else 'E' end flsa_status,
+       case when c_custkey % 6 <> 0 then date '1985-01-01' + cast(c_custkey % 900 as integer) end prof_experience_dt
 from customer""",
+    "person_assignment": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, r.empl_rcd, 'EMP' per_org, r.empl_rcd org_instance_ern,
+       cast(c_custkey % 3 as integer) benefit_rcd_nbr,
+       case when c_custkey % 4 <> 0 then date '1985-01-01' + cast(c_custkey % 900 as integer) end prof_experience_dt,
+       date '1986-01-01' + cast(c_custkey % 700 as integer) cmpny_seniority_dt,
+       date '1987-01-01' + cast(c_custkey % 500 as integer) service_dt,
+       case when c_custkey % 5 <> 0 then date '1988-01-01' + cast(c_custkey % 300 as integer) end seniority_pay_dt
+from customer, (select cast(0 as integer) empl_rcd union all select 1) r
+where c_custkey % 14 <> 0 or r.empl_rcd = 0""",
     "employees": """
 select lpad(cast(c_custkey as varchar), 6, '0') emplid,
        r.empl_rcd,
