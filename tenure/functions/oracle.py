@@ -126,9 +126,7 @@ def date_text(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
 
 def num_text(c: ColumnOrName) -> Column:
     """Oracle number-to-text: no trailing zeros, no leading zero (``2.50``->``2.5``, ``0.5``->``.5``)."""
-    s = col(c).cast("string")
-    s = F.regexp_replace(s, r"(\.[0-9]*?)0+$", "$1")
-    s = F.regexp_replace(s, r"\.$", "")
+    s = F.regexp_replace(col(c).cast("string"), r"\.0*$|(\.[0-9]*[1-9])0+$", "$1")
     return F.regexp_replace(s, r"^(-?)0\.", "$1.")
 
 

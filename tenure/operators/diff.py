@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.oracle import all_of, cat, col, empty_to_null
+from ..functions.oracle import all_of, col, empty_to_null
 
 
 @dataclass
@@ -41,15 +41,19 @@ def _padded(c: Column, width: int, cut: bool, left: bool = False) -> Column:
     return F.lpad(c, to, F.lit(" ")) if left else F.rpad(c, to, F.lit(" "))
 
 
+def _text(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
 def _piece(f: Field) -> Column:
     text = f.fmt or (lambda c: c.cast("string"))
     new, cur = text(col(f.new)), text(col(f.cur))
     if f.new_lpad:
         new = _padded(new, f.new_lpad, f.cut, left=True)
-    body = cat(new, F.lit("("), cur, F.lit(")"))
+    body = F.concat(_text(new), F.lit("("), _text(cur), F.lit(")"))
     if f.rpad_value:
         body = _padded(body, f.rpad_value, f.cut)
-    piece = cat(F.lit(f.lead), F.lit(f.label + ":"), body)
+    piece = F.concat(F.lit(f"{f.lead}{f.label}:"), body)
     differs = ~col(f.new).eqNullSafe(col(f.cur))
     piece = F.when(differs, piece)
     if f.rpad_total:
@@ -80,7 +84,9 @@ def load_string(*slots, sep: str = "|") -> Column:
     Numbers should be passed through ``num_text`` and dates through
     ``date_text`` by the caller when the Oracle text form matters.
     """
-    return cat(*[x for i, s in enumerate(slots) for x in ((F.lit(sep),) if i else ()) + (col(s) if not isinstance(s, str) else F.lit(s),)])
+    parts = [_text(col(s).cast("string")) if not isinstance(s, str) else F.lit(s) for s in slots]
+    line = F.concat(*[x for i, p in enumerate(parts) for x in ((F.lit(sep), p) if i else (p,))])
+    return line if len(parts) > 1 else empty_to_null(line)
 
 
 def next_effseq(cur_effdt, new_effdt, cur_effseq, offset=None) -> Column:

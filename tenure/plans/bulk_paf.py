@@ -13,6 +13,8 @@ load strings, audits and the status.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,16 @@ REQ_FIELDS = ["emplid", "empl_rcd", "raw_deptid_new", "raw_location_new", "raw_j
               "raw_std_hours_new", "raw_shift_new", "raw_mgr_position_new"]
 
 
+def override_fields(new: str, cur: str) -> list[X.Field]:
+    """The eleven fields of the override comparison, by column prefix."""
+    # Labels in output order.
+    labels = [("business_unit", "bu"), ("deptid", "dept"), ("location", "location"), ("jobcode", "jobcode"),
+              ("company", "co"), ("std_hours", "std_hours"), ("reports_to", "reports_to"), ("union_cd", "union_cd"),
+              ("shift", "shift"), ("reg_temp", "reg_temp"), ("flsa_status", "flsa_status")]
+    layout = {"business_unit": {"lead": "", "new_lpad": 5, "rpad_total": 15}, "std_hours": {"rpad_value": 8, "fmt": O.num_text}}
+    return [X.Field(label, new + c, cur + c, **layout.get(c, {})) for c, label in labels]
+
+
 def parse_requests(lines: DataFrame) -> DataFrame:
     rows = split_rows(lines, "text", ",", keep_tab=False)
     v = F.col("value")
@@ -47,9 +59,19 @@ def parse_requests(lines: DataFrame) -> DataFrame:
     return req.join(hdr, "paste_id", "inner")
 
 
-def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFrame, run_date, now) -> DataFrame:
-    """Bulk position change for requests dated ``run_date`` (one as-of date per run)."""
+def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFrame, now, run_date=None) -> DataFrame:
+    """Bulk position change, each paste as of the date in its header.
+
+    The few distinct header dates come to the driver and each gets its own as-of
+    frames; ``run_date`` limits the run to the pastes of that date.
+    """
     req = parse_requests(lines)
+    dates = [run_date] if run_date else [r[0] for r in req.select("effdt").distinct().orderBy("effdt").collect() if r[0]]
+    parts = [_for_date(req.filter(F.col("effdt") == F.lit(d).cast("date")), job, positions, dept, d, now) for d in dates or [now]]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _for_date(req: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFrame, run_date, now) -> DataFrame:
     cur_job = D.active_asof(job, JOB_KEYS, "effdt", run_date, "effseq")
     cur_pos = D.asof_rows(positions, "position_nbr", "effdt", run_date)
     counts = M.headcount(cur_job)
@@ -62,6 +84,7 @@ def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataF
                        F.col("max_head_count").alias("p_max_head_count"), F.col("update_incumbents").alias("p_update_incumbents"),
                        F.col("manager_level").alias("p_manager_level"))
     a = req.join(b, JOB_KEYS, "inner").join(p, "cur_pos", "inner")
+    a = D.newer_record_audit(a, job, JOB_KEYS, run_date=run_date, now=now, picked_effdt="cur_job_effdt")
     a = M.with_headcount(a, counts.withColumnRenamed("position_nbr", "cur_pos")
                          .withColumnRenamed("head_count", "cur_pos_head_count"), "cur_pos", "cur_pos_head_count")
 
@@ -95,6 +118,7 @@ def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataF
     g1 = a.groupBy("paste_id", "cur_pos").agg(F.count(F.lit(1)).alias("cur_incumbent_count"))
     a = a.join(g1, ["paste_id", "cur_pos"])
     a = a.withColumn("override_diff_check", X.fields_equal([("b_" + c, "p_" + c) for c in FIELDS]))
+    a = a.withColumn("override_remaining_values_diff", X.field_diff(override_fields("b_", "p_")))
 
     def nt(c):
         return O.num_text(F.col(c))
@@ -137,7 +161,8 @@ def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataF
         a, pos, on=[(c + "_new", c) for c in FIELDS],
         order_by=[M.Sort("head_count", desc=True), M.Sort("max_head_count", desc=True), M.Sort("position_nbr")],
         left_id=["paste_id", "line_no", "row_pos"], right_cols=["position_nbr", "head_count", "max_head_count"],
-        eligible=(C.is_manager("manager_level") == 0) | (F.col("head_count") == 0),
+        # a slot without a manager level is no candidate here
+        eligible=F.col("manager_level").isNotNull() & ((C.is_manager("manager_level") == 0) | (F.col("head_count") == 0)),
         exclude=("cur_pos", "position_nbr"), left_gate=gate,
     ).withColumnRenamed("position_nbr", "tfr_pos").withColumnRenamed("head_count", "tfr_pos_head_count") \
         .withColumnRenamed("max_head_count", "tfr_pos_max_head_count")
@@ -179,10 +204,12 @@ def _finish(a: DataFrame) -> DataFrame:
     odc = F.col("override_diff_check")
     reverse = (
         F.when((ov == "N") & ((diff.isNull() & (odc == 0)) | diff.isNotNull()), F.lit(None).cast("string"))
-        .when((ov == "N") & diff.isNull() & (odc == 1), F.lit("!!Override reversal UNSAFE. Leave Unresolved. "
-                                                               "Position Override is N but there are remaining differences"))
+        .when((ov == "N") & diff.isNull() & (odc == 1), O.cat(
+            F.lit("!!Override reversal UNSAFE. Leave Unresolved. Position Override is N but there are remaining differences: "),
+            "override_remaining_values_diff"))
         .when((ov == "Y") & diff.isNotNull(), F.lit("Override reversal pending. Must complete position moves."))
-        .when((ov == "Y") & diff.isNull() & (odc == 1), F.lit("!!Override reversal UNSAFE. Leave Unresolved."))
+        .when((ov == "Y") & diff.isNull() & (odc == 1), O.cat(
+            F.lit("!!Override reversal UNSAFE. Leave Unresolved. Remaining differences: "), "override_remaining_values_diff"))
         .otherwise(X.load_string(F.col("emplid"), F.col("empl_rcd").cast("string"), eff, seq.cast("string"),
                                  F.lit("N"), F.lit("POS"), F.lit("UPD"))))
     capacity = F.when(diff.isNotNull() & (mh == 0) & (retain == 1) & (mhf != 0), F.lit("Pending pos update after transfers.")) \
@@ -206,5 +233,15 @@ def _finish(a: DataFrame) -> DataFrame:
         reverse.alias("job_update_override_position_exceltoci"),
         D.same_day_warning("effdt", "cur_job_effdt", diff.isNotNull()).alias("audit_effdt_exists"),
         "missing_head_count", F.col("tfr_retain_one").cast("int").alias("tfr_retain_one"),
-        "cur_pos_head_count", "cur_incumbent_count", "total_pos_remaining_value_diffs",
+        "cur_pos_head_count", "cur_incumbent_count", "total_pos_remaining_value_diffs", "audit_newer",
+        *[c + "_new" for c in ("business_unit", "deptid", "location", "jobcode", "company", "reports_to", "shift", "fpc")],
+        nt("std_hours_new").alias("std_hours_new"),
     )
+
+
+def in_report_order(t: DataFrame) -> DataFrame:
+    """Open slots first; of the completed, rows with an override step first (H1)."""
+    done = F.col("total_pos_remaining_value_diffs") == 0
+    step = F.col("job_update_override_position_exceltoci")
+    return t.orderBy(done.cast("int"), F.when(done, step.isNull().cast("int")).asc_nulls_last(),
+                     F.when(done, step).asc_nulls_last(), O.asc("status"), "cur_pos", "emplid", "empl_rcd")

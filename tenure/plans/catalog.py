@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import effdt as D
 from ..operators import match as M
 from ..sources import fixtures as FX
+from . import bulk_paf as BP
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -186,7 +187,7 @@ def best_position_match(spark, sf):
     cur = active_jobs(spark, sf).select("emplid", "empl_rcd", F.col("position_nbr").alias("cur_pos"),
                                         *POS_FIELDS)
     pos = _positions_with_counts(spark, sf, ASOF)
-    eligible = (C.is_manager("manager_level") == 0) | (F.col("head_count") == 0)
+    eligible = F.col("manager_level").isNotNull() & ((C.is_manager("manager_level") == 0) | (F.col("head_count") == 0))
     out = M.best_match(
         cur, pos, on=[(f, f) for f in POS_FIELDS],
         order_by=[Sort("head_count", desc=True), Sort("max_head_count", desc=True), Sort("position_nbr")],
@@ -242,24 +243,6 @@ def _job_vs_position(spark, sf):
     return cur.join(p, "position_nbr", "inner")
 
 
-def override_diff_fields(new_prefix: str = "", cur_prefix: str = "p_") -> list:
-    """The 11-field override comparison (labels and paddings of the reference)."""
-    # Labels in output order.
-    labels = [("business_unit", "bu"), ("deptid", "dept"), ("location", "location"), ("jobcode", "jobcode"),
-              ("company", "co"), ("std_hours", "std_hours"), ("reports_to", "reports_to"),
-              ("union_cd", "union_cd"), ("shift", "shift"), ("reg_temp", "reg_temp"),
-              ("flsa_status", "flsa_status")]
-    out = []
-    for i, (c, lab) in enumerate(labels):
-        if c == "business_unit":
-            out.append(X.Field(lab, new_prefix + c, cur_prefix + c, lead="", new_lpad=5, rpad_total=15))
-        elif c == "std_hours":
-            out.append(X.Field(lab, new_prefix + c, cur_prefix + c, rpad_value=8, fmt=O.num_text))
-        else:
-            out.append(X.Field(lab, new_prefix + c, cur_prefix + c))
-    return out
-
-
 @query
 def field_diff(spark, sf):
     """B32+B33+B18+B30: override diff string and exact-equality flag, job vs its slot."""
@@ -267,7 +250,7 @@ def field_diff(spark, sf):
     pairs = [(F.col(c), F.col("p_" + c)) for c in POS_FIELDS]
     return j.select("emplid", "empl_rcd", F.col("position_nbr").alias("cur_pos"),
                     X.fields_equal(pairs).alias("override_diff_check"),
-                    X.field_diff(override_diff_fields()).alias("override_remaining_values_diff"))
+                    X.field_diff(BP.override_fields("", "p_")).alias("override_remaining_values_diff"))
 
 
 @query
@@ -619,7 +602,6 @@ def clinical_report(spark, sf):
 
 
 # --------------------------------------------------------------- J1 bulk PAF
-from . import bulk_paf as BP  # noqa: E402
 
 
 @query
@@ -632,4 +614,4 @@ def paste_fields_keep_empty(spark, sf):
 def bulk_paf(spark, sf):
     """Bulk position change — status, load strings, capacity and override audits."""
     return BP.bulk_paf(FX.bulk_lines(spark, sf), FX.job(spark, sf), FX.position_data(spark, sf),
-                       FX.dept_tbl(spark, sf), ASOF, NOW)
+                       FX.dept_tbl(spark, sf), NOW)

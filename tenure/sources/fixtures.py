@@ -103,7 +103,7 @@ def position_data(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(k % 3 == 0, "N").otherwise("Y").alias("include_title"),
             F.when(F.col("p_size") % 5 == 0, 1).otherwise(99).cast("int").alias("max_head_count"),
             F.when(k % 4 == 1, "N").otherwise("Y").alias("update_incumbents"),
-            F.substring(F.lit(LEVEL_CYCLE), (k % 10).cast("int") + 1, 1).alias("manager_level"),
+            F.when(k % 21 != 0, F.substring(F.lit(LEVEL_CYCLE), (k % 10).cast("int") + 1, 1)).alias("manager_level"),
         )
 
     return version(0, "1994-01-01").unionByName(version(1, "1998-01-01"))
@@ -326,11 +326,12 @@ def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
                     body.alias("html_body"))
 
 
-BULK_HEADER = "1998-06-30|REORG"
+# Header line of each paste: date|reason.
+BULK_HEADERS = ["1998-06-30|REORG", "1996-06-30|REALIGN"]
 
 
 def bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A bulk position-change request: header line 0 (effdt|reason), one request line per customer.
+    """Two bulk position-change requests: header line 0 (effdt|reason), one request line per customer.
 
     Request fields: emplid|empl_rcd|deptid|location|jobcode|std_hours|shift|mgr_position;
     an empty field keeps the current value.
@@ -347,8 +348,9 @@ def bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 0, F.lit("2")).otherwise(F.lit("")),
         F.lit(""),
     ]
-    lines = c.select(F.lit(0).cast("long").alias("paste_id"), (k + 1).alias("line_no"),
+    lines = c.select(F.when(k % 5 == 0, 1).otherwise(0).cast("long").alias("paste_id"), (k + 1).alias("line_no"),
                      F.concat_ws("|", *fields).alias("text"))
-    header = c.limit(1).select(F.lit(0).cast("long").alias("paste_id"), F.lit(0).cast("long").alias("line_no"),
-                               F.lit(BULK_HEADER).alias("text"))
+    header = spark.range(len(BULK_HEADERS)).select(
+        F.col("id").alias("paste_id"), F.lit(0).cast("long").alias("line_no"),
+        F.element_at(F.array(*[F.lit(h) for h in BULK_HEADERS]), (F.col("id") + 1).cast("int")).alias("text"))
     return header.unionByName(lines)

@@ -56,7 +56,7 @@ select lpad(cast(p_partkey as varchar), 8, '0') position_nbr,
        case when p_partkey % 3 = 0 then 'N' else 'Y' end include_title,
        cast(case when p_size % 5 = 0 then 1 else 99 end as integer) max_head_count,
        case when p_partkey % 4 = 1 then 'N' else 'Y' end update_incumbents,
-       substring('1236ABC79D', cast(p_partkey % 10 as integer) + 1, 1) manager_level
+       case when p_partkey % 21 <> 0 then substring('1236ABC79D', cast(p_partkey % 10 as integer) + 1, 1) end manager_level
 from part,
      (select 0 k, date '1994-01-01' effdt union all select 1 k, date '1998-01-01' effdt) v""",
     "hires": """
