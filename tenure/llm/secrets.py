@@ -223,41 +223,56 @@ def taught_tags(text: str) -> tuple[list[str], np.ndarray]:
     return tokens, np.array(tags, np.int64)
 
 
-def lessons(text: str, near: int = 15, most: int = 6) -> list[tuple[list[list[str]], np.ndarray]]:
-    """Stretches of a text to learn from, as (features per token, tags): around base
-    spans, around other numbers and symbols, and elsewhere."""
+#: A stretch to learn from: its tokens with those around it, its tags, the file's features.
+Lesson = tuple[list[str], np.ndarray, list[str]]
+
+
+def lessons(text: str, near: int = 15, most: int = 4) -> list[Lesson]:
+    """Stretches of a text to learn from: around base spans, around other numbers and
+    symbols, and elsewhere, at most ``most`` of each kind."""
     tokens, tags = taught_tags(text)
     file = file_features(text, len(tokens))
+    padded = [EDGE] * -AROUND[0] + tokens + [EDGE] * AROUND[-1]
     taught = np.flatnonzero(tags == BEGIN).tolist()
     other = [i for i, t in enumerate(tokens) if tags[i] == OUTSIDE and not t.strip().isalpha()]
-    plain = [int(xxhash.xxh64_intdigest(text.encode(), k) % max(1, len(tokens))) for k in range(2)] if tokens else []
+    plain = [int(xxhash.xxh64_intdigest(text.encode(), k) % len(tokens)) for k in range(2)] if tokens else []
     out, done = [], -1
     for i in sorted(taught[:most] + other[:: max(1, len(other) // most)][:most] + plain):
         first, last = max(i - near, done + 1), min(i + near, len(tokens) - 1)
-        if first > last:
-            continue
-        done = last
-        rows = [[f"{o}{f}" for o in AROUND for f in token_features(tokens[j + o] if 0 <= j + o < len(tokens) else EDGE)] + file for j in range(first, last + 1)]
-        out.append((rows, tags[first : last + 1]))
+        if first <= last:
+            done = last
+            out.append((padded[first : last + 1 + len(AROUND) - 1], tags[first : last + 1], file))
     return out
 
 
-def fit(stretches: list[tuple[list[list[str]], np.ndarray]], least: int = 3, rounds: int = 6, rate: float = 0.3, seed: int = 5) -> Field:
+def fit(stretches: list[Lesson], least: int = 3, rounds: int = 6, rate: float = 0.3, seed: int = 5) -> Field:
     """Maximum likelihood by forward-backward and AdaGrad over small batches.
 
     Features met fewer than ``least`` times are left out. The same stretches give the same field.
     """
-    seen: dict[str, int] = {}
-    for rows, _ in stretches:
-        for fs in rows:
-            for f in fs:
-                seen[f] = seen.get(f, 0) + 1
-    index = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= least))}
-    none = len(index)
+    index: dict[str, int] = {}
+    number = lambda f: index.setdefault(f, len(index))
+    of_token: dict[str, np.ndarray] = {}
+    coded = []
+    for padded, tags, file in stretches:
+        for t in padded:
+            if t not in of_token:
+                fs = token_features(t)
+                of_token[t] = np.array([[number(f"{o}{f}") for f in fs] for o in AROUND], np.int32)
+        own, n = np.stack([of_token[t] for t in padded]), len(tags)
+        parts = [own[o - AROUND[0] : o - AROUND[0] + n, k] for k, o in enumerate(AROUND)]
+        whole = np.broadcast_to(np.array([number(f) for f in file], np.int32), (n, len(file)))
+        coded.append((np.concatenate([*parts, whole], 1), tags))
+    seen = np.zeros(len(index), np.int64)
+    for x, _ in coded:
+        np.add.at(seen, x.ravel(), 1)
+    kept = np.flatnonzero(seen >= least)
+    none = len(kept)
+    place = np.full(len(index), none, np.int32)
+    place[kept] = np.arange(none)
+    coded = [(place[x], tags) for x, tags in coded]
     w, g2 = np.zeros((none + 1, 3)), np.full((none + 1, 3), 1e-2)
-    w[none] = 0
     steps, s2 = np.zeros((3, 3)), np.full((3, 3), 1e-2)
-    coded = [(np.array([[index.get(f, none) for f in fs] for fs in rows]), tags) for rows, tags in stretches]
     rnd = np.random.default_rng(seed)
     for _ in range(rounds):
         for part in np.array_split(rnd.permutation(len(coded)), max(1, len(coded) // 64)):
@@ -268,7 +283,7 @@ def fit(stretches: list[tuple[list[list[str]], np.ndarray]], least: int = 3, rou
             s2 += ds**2
             w += rate * dw / np.sqrt(g2)
             steps += rate * ds / np.sqrt(s2)
-    return Field({f: w[i] for f, i in index.items() if np.abs(w[i]).max() > 1e-3}, steps)
+    return Field({f: w[place[i]] for f, i in index.items() if place[i] != none and np.abs(w[place[i]]).max() > 1e-3}, steps)
 
 
 def _gradient(part, w: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -307,12 +322,12 @@ def _gradient(part, w: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.nd
     return dw, ds
 
 
-def train(docs: DataFrame, text_col: str = "text", max_texts: int = 1_200) -> Field | None:
+def train(docs: DataFrame, text_col: str = "text", max_texts: int = 1_000) -> Field | None:
     """A field from at most ``max_texts`` distinct texts with an assignment, key or hex run
     and half as many others (least text hashes first); None where no text has one.
 
-    The sample is all that comes to the driver; which texts are in it depends on
-    the texts alone.
+    The sample is all that comes to the driver, as a few short stretches of tokens
+    per text; which texts are in it depends on the texts alone.
     """
     own = picked(docs, text=text_col).filter("text is not null").withColumn("th", F.xxhash64("text"))
     likely = r"(?i)(?:passw|secret|token|api_?key)[^\n]{0,4}[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
@@ -323,13 +338,16 @@ def train(docs: DataFrame, text_col: str = "text", max_texts: int = 1_200) -> Fi
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for th, t in zip(b.column("th").to_pylist(), b.column("text").to_pylist(), strict=True):
-                for k, (rows, tags) in enumerate(lessons(t)):
-                    yield pa.RecordBatch.from_pydict({"th": [th], "k": [k], "rows": pa.array([rows]), "tags": [tags.tolist()]})
+                found = lessons(t)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([th] * len(found), pa.int64()), pa.array(range(len(found)), pa.int64()), pa.array([x[0] for x in found], pa.list_(pa.string())),
+                     pa.array([x[1].tolist() for x in found], pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.list_(pa.string()))],
+                    ["th", "k", "tokens", "tags", "file"])
 
-    shape_ = "th bigint, k bigint, rows array<array<string>>, tags array<bigint>"
-    taught = rows.select("th", "text").mapInArrow(teach, shape_).collect()
-    stretches = [(r["rows"], np.array(r["tags"], np.int64)) for r in sorted(taught, key=lambda r: (r["th"], r["k"]))]
-    return fit(stretches) if any((t == BEGIN).any() for _, t in stretches) else None
+    shape_ = "th bigint, k bigint, tokens array<string>, tags array<bigint>, file array<string>"
+    taught = sorted(rows.select("th", "text").mapInArrow(teach, shape_).collect(), key=lambda r: (r["th"], r["k"]))
+    stretches = [(r["tokens"], np.array(r["tags"], np.int64), r["file"]) for r in taught]
+    return fit(stretches) if any((t == BEGIN).any() for _, t, _ in stretches) else None
 
 
 def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -376,7 +394,7 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(by, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_texts: int = 1_200) -> DataFrame:
+def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_texts: int = 1_000) -> DataFrame:
     """Train on a sample of ``docs``, scan all of them, and list the spans of every row."""
     found = scan(docs, train(docs, text_col, max_texts), id_col, text_col)
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
