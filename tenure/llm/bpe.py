@@ -8,8 +8,9 @@ its linked bytes. Bounded memos in front keep what a worker has met.
 from __future__ import annotations
 
 import base64
-import heapq
+import struct
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,14 @@ from pyspark.sql import functions as F
 from tenure.llm.common import picked
 from tenure.llm.pieces import cut
 
-#: Entries that a worker's memo holds before it starts anew.
-MEMO = 150_000
+#: Entries that each of two generations of a worker's memos holds: of pre-tokens, and of
+#: pieces that are found among these with little work.
+MEMO, MEMO_PIECES = 350_000, 60_000
 #: Ids decoded at once.
 DECODE_IDS = 1 << 18
+#: Low bits of a heap entry that hold the position in a pre-token (below 2**40 bytes).
+_AT = 40
+_AT_MASK = (1 << _AT) - 1
 _ODD_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,9 +104,10 @@ class ByteBpe:
         tokens = sorted(ranks, key=ranks.__getitem__)
         self.ids = [ranks[t] for t in tokens]
         self.hash = PerfectHash(tokens)
-        #: id of a pair's merge by left id << 32 | right id, from every split of every token
+        self.shift = self.ids[-1].bit_length()
+        #: id of a pair's merge by the ids of its two sides, from every split of every token
         self.pairs = {
-            ranks[t[:k]] << 32 | ranks[t[k:]]: r for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
+            ranks[t[:k]] << self.shift | ranks[t[k:]]: r for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
         }
         self.of_byte = [ranks[bytes([b])] for b in range(256)]
         top = self.ids[-1] + 1
@@ -111,32 +117,49 @@ class ByteBpe:
         self.blob = np.frombuffer(b"".join(by_id), np.uint8)
         self.lengths = np.fromiter(map(len, by_id), np.int64, top)
         self.starts = np.cumsum(self.lengths) - self.lengths
+        self._encoder: Encoder | None = None
+
+    def encoder(self) -> Encoder:
+        """One encoder for all tasks of a worker, so that its memos stay warm."""
+        self._encoder = self._encoder or Encoder(self)
+        return self._encoder
 
     def __getstate__(self):
-        return self.__dict__ | {"pattern": self.pattern.pattern}
+        return self.__dict__ | {"pattern": self.pattern.pattern, "_encoder": None}
 
     def __setstate__(self, state):
         self.__dict__ = state | {"pattern": regex.compile(state["pattern"])}
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: again and again the pair of least rank (leftmost first) is merged."""
-        ids = [self.of_byte[b] for b in piece]
-        n, pairs = len(ids), self.pairs
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
-        heapq.heapify(heap)
+        ids, get, shift = [*map(self.of_byte.__getitem__, piece)], self.pairs.get, self.shift
+        n = len(ids)
+        # rank of the pair that starts at a position (-1: none), and the positions beside it
+        rank = [get(a << shift | b, -1) for a, b in zip(ids, ids[1:], strict=False)]
+        nxt, prv = [*range(1, n + 1)], [*range(-1, n - 1)]
+        heap = [r << _AT | i for i, r in enumerate(rank) if r >= 0]
+        rank.append(-1)
+        heapify(heap)
         while heap:
-            r, i = heapq.heappop(heap)
-            j = nxt[i]
-            if ids[i] < 0 or j >= n or pairs.get(ids[i] << 32 | ids[j]) != r:
+            least = heappop(heap)
+            i = least & _AT_MASK
+            r = rank[i]
+            if r != least >> _AT:
                 continue  # one of the two has been merged meanwhile
-            ids[i], ids[j], nxt[i] = r, -1, nxt[j]
-            if nxt[i] < n:
-                prv[nxt[i]] = i
-                if (q := pairs.get(r << 32 | ids[nxt[i]])) is not None:
-                    heapq.heappush(heap, (q, i))
-            if prv[i] >= 0 and (q := pairs.get(ids[prv[i]] << 32 | r)) is not None:
-                heapq.heappush(heap, (q, prv[i]))
+            j = nxt[i]
+            k, p = nxt[j], prv[i]
+            ids[i], ids[j], rank[j], nxt[i] = r, -1, -1, k
+            if k < n:
+                prv[k] = i
+                rank[i] = q = get(r << shift | ids[k], -1)
+                if q >= 0:
+                    heappush(heap, q << _AT | i)
+            else:
+                rank[i] = -1
+            if p >= 0:
+                rank[p] = q = get(ids[p] << shift | r, -1)
+                if q >= 0:
+                    heappush(heap, q << _AT | p)
         return [x for x in ids if x >= 0]
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -170,12 +193,20 @@ class Memo(dict):
 
 
 class Encoder:
-    """Encodes texts to little-endian 32-bit ids; a worker keeps one."""
+    """Encodes texts to little-endian 32-bit ids."""
 
     def __init__(self, bpe: ByteBpe):
         self.find = bpe.pattern.findall
-        self.tokens = Memo(lambda p: np.array(bpe.encode_piece(p.encode()), "<u4").tobytes())
-        self.pieces = Memo(lambda p: self.whole(p if p[:1] == "\n" else " " + p))
+        self.tokens = Memo(lambda p: struct.pack(f"<{len(x)}I", *x) if (x := bpe.encode_piece(p.encode())) else b"")
+        self.pieces = Memo(self.piece, MEMO_PIECES)
+
+    def piece(self, p: str) -> bytes:
+        """A piece of ``cut``; one of letters alone, or with a mark behind them, needs no matching."""
+        if p.isalpha():
+            return self.tokens[" " + p]
+        if p[-1:] in (",", ".") and p[:-1].isalpha():
+            return self.tokens[" " + p[:-1]] + self.tokens[p[-1]]
+        return self.whole(p if p[:1] == "\n" else " " + p)
 
     def whole(self, text: str) -> bytes:
         return b"".join([self.tokens[p] for p in self.find(text)])
@@ -225,13 +256,13 @@ def encode(docs: DataFrame, bpe: ByteBpe, id_col: str = "doc_id", text_col: str
     table; other columns are ignored. Texts of any length are encoded whole.
 
     Scale: one narrow pass, no shuffle. Per task the memory is one Arrow batch,
-    two memos of at most ``MEMO`` entries and the broadcast vocabulary.
+    memos of bounded size and the broadcast vocabulary.
     """
     own = picked(docs, doc_id=id_col, text=text_col)
     shared = own.sparkSession.sparkContext.broadcast(bpe)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(shared.value)
+        enc = shared.value.encoder()
         for whole in batches:
             for b in slices(whole, "text"):
                 bufs = [enc(t) if t else b"" for t in b.column("text").to_pylist()]

@@ -7,6 +7,9 @@ import re
 #: Two white-space characters side by side, or one at the end: only there does
 #: the pre-tokenising pattern look beyond a single space or line end.
 _ODD = re.compile(r"\s\s|\s\Z")
+#: ASCII white space beside space and line end, and pairs of these two: quicker to look for.
+_OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
 
 
 def cut(text: str) -> tuple[str, list[str]] | None:
@@ -20,7 +23,10 @@ def cut(text: str) -> tuple[str, list[str]] | None:
     own, so in all other texts every cut lies between two matches and no match
     looks across it.
     """
-    if _ODD.search(text):
+    if text.isascii() and not any(c in text for c in _OTHER):
+        if any(pair in text for pair in _PAIRS) or text[-1:] in (" ", "\n"):
+            return None
+    elif _ODD.search(text):
         return None
     head, *rest = text.replace("\n", " \n").split(" ")
     return head, rest
