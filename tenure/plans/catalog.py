@@ -120,18 +120,17 @@ OFFICER_EXCLUDED = ["9", "7", "D"]
 
 @query
 def manager_by_position(spark, sf):
-    """D7+E4: each incumbent's manager = the latest incumbent of its reports_to slot.
-
-    The manager is picked once per slot (row_number = 1, partial top-1 before
-    the shuffle) and then joined, so a slot with many incumbents never
-    multiplies rows.
-    """
-    cur = active_jobs(spark, sf)
-    mgr = M.pick_one(cur, "position_nbr", [F.col("effdt").desc(), F.col("effseq").desc(),
-                                           F.col("emplid").asc(), F.col("empl_rcd").asc()])
-    mgr = mgr.select(F.col("position_nbr").alias("reports_to"),
-                     F.col("emplid").alias("mgr_emplid"), F.col("empl_rcd").alias("mgr_empl_rcd"))
-    return cur.select("emplid", "empl_rcd", "reports_to").join(mgr, "reports_to", "left")
+    """D7+E4: each incumbent's managers: whoever's record is the latest dated one of the
+    reports_to slot up to the incumbent's own date, in any status, ties kept."""
+    job = FX.job(spark, sf)
+    cur = active_jobs(spark, sf).select("emplid", "empl_rcd", "reports_to", "effdt")
+    dates = job.select(F.col("position_nbr").alias("reports_to"), F.col("effdt")).distinct()
+    cur = D.asof_join(cur, dates, "reports_to", "effdt", "effdt", prefix="mgr_")
+    last = D.asof_rows(job, [*JOB_KEYS, "effdt"], "effseq")
+    last = last.select(F.col("position_nbr").alias("reports_to"), F.col("effdt").alias("mgr_effdt"),
+                       F.col("emplid").alias("mgr_emplid"), F.col("empl_rcd").alias("mgr_empl_rcd"))
+    return cur.join(last, ["reports_to", "mgr_effdt"], "left").select(
+        "emplid", "empl_rcd", "reports_to", "mgr_emplid", "mgr_empl_rcd")
 
 
 def _manager_rows(spark, sf):
@@ -585,14 +584,15 @@ def _stage_inputs(spark, sf):
 @query
 def hire_window_report(spark, sf):
     """J3+C2+B9+B13+G10+B38+F6+F7: hire staging for the window [start, start + days]."""
-    return HS.hire_staging(*_stage_inputs(spark, sf), STAGE_START, STAGE_DAYS, NOW)
+    return HS.hire_staging(*_stage_inputs(spark, sf), FX.person(spark, sf), FX.names(spark, sf), STAGE_START, STAGE_DAYS, NOW)
 
 
 @query
 def combined_history_listagg(spark, sf):
     """E17+F3+F4+E20: per-person ordered roll-up of in-force records with rehire flag."""
-    h = HS.person_history(FX.job(spark, sf), FX.pers_nid(spark, sf), NOW)
-    return h.select("emplid", "history", "rehire", "person_nid")
+    h = HS.person_history(FX.job(spark, sf), FX.pers_nid(spark, sf), FX.person(spark, sf), FX.names(spark, sf), NOW)
+    return h.select("emplid", HS.history_text("records", F.get("ids", 0)).alias("history"), "rehire",
+                    F.get("ids", 0).alias("person_nid"))
 
 
 @query

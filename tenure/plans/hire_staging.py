@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes as C
 from ..functions import oracle as O
+from ..operators import diff as X
 from ..operators import effdt as D
 
 JOB_KEYS = ["emplid", "empl_rcd"]
@@ -31,27 +32,48 @@ def valid_nids(nid: DataFrame) -> DataFrame:
                       & O.all_digits("national_id"))
 
 
-def person_history(job: DataFrame, nid: DataFrame, asof) -> DataFrame:
-    """Per person: ordered roll-up of the in-force records, rehire flag, own national id."""
+def person_history(job: DataFrame, nid: DataFrame, person: DataFrame, names: DataFrame, asof,
+                   people: DataFrame | None = None) -> DataFrame:
+    """Per person: in-force records in report order, rehire flags, own national ids.
+
+    ``people`` (one column ``emplid``) limits the work to these before anything is
+    rolled up. A person's records are few, so they stay together as an array.
+    """
+    if people is not None:
+        job, nid, person, names = (x.join(people, "emplid", "left_semi") for x in (job, nid, person, names))
     cur = D.asof_rows(job, JOB_KEYS, "effdt", asof, "effseq")
+    name = D.asof_rows(names.filter(F.col("name_type") == "PRI"), ["emplid", "name_type"], "effdt", asof, ties="any",
+                       tiebreak=["last_name", "first_name"])
+    cur = cur.join(person.select("emplid", "birthdate"), "emplid").join(name.select("emplid", "last_name", "first_name"), "emplid")
+    head = _joined("hr_status", "per_org", "emplid", F.col("empl_rcd").cast("string"), O.date_text("effdt"))
+    tail = _joined(O.date_text("birthdate"), "deptid", "jobcode", "last_name", "first_name")
+    # nulls first: a record without an end stands before ended ones
+    order = ["per_org", "hr_status", (-F.unix_date("termination_dt")).alias("ended"), "job_indicator", "empl_rcd"]
+    rows = cur.groupBy("emplid").agg(
+        F.array_sort(F.collect_list(F.struct(*order, head.alias("head"), tail.alias("tail"), "elig_rehire"))).alias("records"))
     ids = nid.filter((F.col("country") == "USA") & (F.col("national_id_type") == "PR")
                      & F.col("national_id").isNotNull() & (F.col("national_id") != "XXXXXXXXX")) \
-        .groupBy("emplid").agg(F.min("national_id").alias("person_nid"))
-    cur = cur.join(ids, "emplid", "left")
-    line = F.rpad(F.concat_ws("/", "hr_status", "per_org", "emplid", F.col("empl_rcd").cast("string"),
-                              O.date_text("effdt"), F.coalesce("person_nid", F.lit("no_ssn_in_system")),
-                              "deptid", "jobcode"), HISTORY_WIDTH, " ")
-    cur = cur.withColumn("__line", line)
-    order = ("within group (order by per_org, hr_status, termination_dt desc nulls first, "
-             "job_indicator, emplid, empl_rcd)")
-    first_rehire = F.expr("min_by(elig_rehire, struct(per_org, hr_status, "
-                          "(termination_dt is not null), -unix_date(termination_dt), job_indicator, emplid, empl_rcd))")
-    return cur.groupBy("emplid").agg(
-        F.expr(f"listagg(__line, '{HISTORY_SEP}') {order}").alias("history"),
-        F.max(F.when(F.col("elig_rehire") == "N", "N")).alias("rehire"),
-        first_rehire.alias("first_rehire"),
-        F.first("person_nid", ignorenulls=True).alias("person_nid"),
-    )
+        .groupBy("emplid").agg(F.array_sort(F.collect_set("national_id")).alias("ids"))
+    return rows.join(ids, "emplid", "left").select(
+        "emplid", "records", "ids",
+        F.when(F.exists("records", lambda r: r["elig_rehire"] == "N"), "N").alias("rehire"),
+        F.get("records", 0)["elig_rehire"].alias("first_rehire"))
+
+
+def _joined(*cols) -> F.Column:
+    """Slash-joined slots; NULL leaves its slot empty."""
+    return F.concat(*[x for i, c in enumerate(cols) for x in ((F.lit("/"),) if i else ()) + (F.coalesce(O.col(c), F.lit("")),)])
+
+
+def history_text(records, national_id, cut: bool = False) -> F.Column:
+    """The roll-up as text; lines are padded to the layout's width (and cut to it with ``cut``)."""
+    nid = F.coalesce(O.col(national_id), F.lit("no_ssn_in_system"))
+
+    def line(r: F.Column) -> F.Column:
+        whole = F.concat(r["head"], F.lit("/"), nid, F.lit("/"), r["tail"])
+        return F.rpad(whole, F.lit(HISTORY_WIDTH) if cut else F.greatest(F.length(whole), F.lit(HISTORY_WIDTH)), F.lit(" "))
+
+    return F.array_join(F.transform(records, line), HISTORY_SEP)
 
 
 def _combine(lm: F.Column, ssn: F.Column) -> F.Column:
@@ -92,48 +114,56 @@ def base(candidates: DataFrame, job: DataFrame, nid: DataFrame, dept: DataFrame,
     return c.join(d.select("deptid", "business_unit"), "deptid", "left")
 
 
-def with_history(c: DataFrame, job: DataFrame, nid: DataFrame, asof) -> DataFrame:
-    h = person_history(job, nid, asof)
-    lm = h.select(F.col("emplid").alias("lm_emplid"), F.col("history").alias("lm_hist"),
-                  F.col("rehire").alias("lm_rehire"), F.col("first_rehire").alias("lm_first_rehire"),
-                  F.col("person_nid").alias("lm_nid"))
-    ss = h.select(F.col("emplid").alias("ssn_matching_emplid"), F.col("history").alias("ssn_hist"),
-                  F.col("rehire").alias("ssn_rehire"))
+def with_history(c: DataFrame, job: DataFrame, nid: DataFrame, person: DataFrame, names: DataFrame, asof) -> DataFrame:
+    people = c.select(F.col("lm_emplid").alias("emplid")).union(c.select("ssn_matching_emplid")).distinct()
+    h = person_history(job, nid, person, names, asof, people.filter("emplid is not null"))
+    lm = h.select(F.col("emplid").alias("lm_emplid"), *[F.col(x).alias("lm_" + x) for x in ("records", "rehire", "first_rehire", "ids")])
+    ss = h.select(F.col("emplid").alias("ssn_matching_emplid"), F.col("records").alias("ssn_records"), F.col("rehire").alias("ssn_rehire"))
     c = c.join(lm, "lm_emplid", "left").join(ss, "ssn_matching_emplid", "left")
-    mismatch = F.col("lm_nid").isNotNull() & (F.col("lm_nid") != F.col("national_id"))
-    lm_text = F.when(mismatch, F.concat(F.lit("SSN MISMATCH! "), F.col("lm_nid"), F.lit(" <> "), F.col("national_id"))) \
-        .otherwise(F.col("lm_hist"))
+    # A mismatch only if none of the person's ids is the candidate's
+    mine = F.coalesce(F.array_contains("lm_ids", F.col("national_id")), F.lit(False))
+    mismatch = F.col("lm_records").isNotNull() & F.col("lm_ids").isNotNull() & ~mine
+    lm_text = F.when(mismatch, F.concat(F.lit("SSN MISMATCH! "), F.get("lm_ids", 0), F.lit(" <> "), F.coalesce("national_id", F.lit("")))) \
+        .otherwise(history_text("lm_records", F.when(mine, F.col("national_id"))))
     lm_rehire = F.when(mismatch, F.when(F.col("lm_first_rehire") == "N", "N")).otherwise(F.col("lm_rehire"))
-    same = F.col("ssn_matching_emplid").isNotNull() & (F.col("ssn_matching_emplid") == F.col("lm_emplid"))
-    ssn_text = F.when(~same | same.isNull(), F.col("ssn_hist"))
-    ssn_rehire = F.when(~same | same.isNull(), F.col("ssn_rehire"))
+    same = F.coalesce(F.col("ssn_matching_emplid") == F.col("lm_emplid"), F.lit(False))
+    ssn_text = F.when(~same, history_text("ssn_records", "national_id"))
+    ssn_rehire = F.when(~same, F.col("ssn_rehire"))
     lm_id, ssn_id = F.col("lm_emplid"), F.col("ssn_matching_emplid")
+    c = c.withColumn("__lm", lm_text).withColumn("__ssn", ssn_text)
     return c.select(
-        "*",
+        *[x for x in c.columns if not x.startswith("__")],
         F.when(lm_id.isNull(), ssn_id).when(ssn_id.isNull(), lm_id).when(lm_id == ssn_id, lm_id)
         .otherwise(F.concat(lm_id, F.lit("-"), ssn_id)).alias("emplid_lm_ssn"),
         F.when((lm_rehire == "N") | (ssn_rehire == "N"), "N").alias("rehire_eligibility"),
-        _combine(lm_text, ssn_text).alias("lm_ssn_combined_records"),
+        _combine(F.col("__lm"), F.col("__ssn")).alias("lm_ssn_combined_records"),
     )
 
 
-def hire_staging(candidates, job, nid, dept, jobcode, start, days, asof) -> DataFrame:
-    c = with_history(base(candidates, job, nid, dept, jobcode, asof, start=start, days=days), job, nid, asof)
+def hire_staging(candidates, job, nid, dept, jobcode, person, names, start, days, asof) -> DataFrame:
+    c = with_history(base(candidates, job, nid, dept, jobcode, asof, start=start, days=days), job, nid, person, names, asof)
     fpc = C.hours_category("std_hours", null_as="P")
-    position_ci = O.cat(F.lit("00000000|"), O.date_text("hire_dt"), F.lit("|A| | |UPD|"), "business_unit", F.lit("|"),
-                        "deptid", F.lit("|"), "jobcode", F.lit("|Y|99|Y|"), "mgr_position_nbr",
-                        F.lit("| | |CMPY - Def101|"),
-                        O.num_text(F.when(F.col("std_hours") == 0, F.lit(1.2).cast("decimal(6,2)")).otherwise(F.col("std_hours"))),
-                        F.lit("| |"), F.lit("|"), F.lit("T"), F.lit("|"), fpc, F.lit("| | |Y|N|Y"))
+    hours = F.when(F.col("std_hours") == 0, F.lit(1.2).cast("decimal(6,2)")).otherwise(F.col("std_hours"))
+    # Slot order and constants of the load layout.
+    position_ci = X.load_string(
+        "00000000", O.date_text("hire_dt"), "A", " ", " ", "UPD", F.col("business_unit"), F.col("deptid"), F.col("jobcode"),
+        "Y", "99", "Y", F.col("mgr_position_nbr"), " ", " ", "CMPY - Def101", O.num_text(hours), " ", F.col("shift"),
+        O.decode("reg_temp", {"R": "R"}, "T"), fpc, " ", " ", "Y", "N", "Y")
     return c.select(
         F.col("load_status").alias("load"), F.col("req_num").alias("req"), "emplid_lm_ssn", "rehire_eligibility",
         "lm_ssn_combined_records", F.col("national_id").alias("ssn"), F.col("phone").alias("home_phone"),
         O.fm_2dp("hourly_rt").alias("hourly_pay"), "std_hours", F.col("manager_id").alias("mgrid"), "deptid",
-        "job_family", "jobcode", F.count(F.lit(1)).over(Window.partitionBy("req_num")).alias("req_count"),
+        "job_family", "jobcode", "shift",
+        F.count(F.lit(1)).over(Window.partitionBy("req_num")).alias("req_count"),
         O.date_text("hire_dt").alias("hire_dt"), position_ci.alias("position_ci"), "num_order",
     )
 
 
+def in_report_order(t: DataFrame) -> DataFrame:
+    """By hire date, numeric request order, request (H1)."""
+    return t.orderBy("hire_dt", "num_order", "req")
+
+
 def clinical_report(candidates, job, nid, dept, jobcode, asof, families=("B1", "B2", "B6"),
                     window_days: int = 100) -> DataFrame:
     """The J3 base limited to clinical job families and a +-100 day hire window."""

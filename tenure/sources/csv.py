@@ -21,6 +21,9 @@ MAX_HEADER_LEN = 100
 # Byte order marks and their encodings; a file without one that is no UTF-8 is read as the fallback.
 BOMS = ((b"\xef\xbb\xbf", "UTF-8"), (b"\xff\xfe", "UTF-16"), (b"\xfe\xff", "UTF-16"))
 HEAD_BYTES = 1 << 16
+# The bytes 80-9F as ISO-8859-1 and as windows-1252 read them.
+_C1 = [bytes([b]) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+CP1252 = ("".join(b.decode("latin-1") for b in _C1), "".join(b.decode("cp1252") for b in _C1))
 
 
 def clean_header(name: str) -> str:
@@ -91,9 +94,12 @@ def read_csv_records(spark: SparkSession, path: str, encoding: str | None = None
         problems = validate_headers([clean_header(n) for n in names])
         if problems:
             raise ValueError(f"{h['path']}: " + "; ".join(problems))
-        r = spark.read.option("header", True).option("inferSchema", False).option("encoding", enc)
+        single = enc.lower() in ("windows-1252", "cp1252")
+        r = spark.read.option("header", True).option("inferSchema", False).option("encoding", "iso-8859-1" if single else enc)
         df = r.option("multiLine", multi_line).option("escape", '"').option("enforceSchema", True).schema(
             ", ".join(f"`{clean_header(n).replace('`', '``')}` string" for n in names)).csv(h["path"])
+        if single:  # Spark reads ISO-8859-1; the two differ in these characters only
+            df = df.select(*[F.translate(F.col(f"`{c}`"), *CP1252).alias(c) for c in df.columns])
         df = tidy_records(df, normalise)
         parts.append(df.withColumn("source_file", F.lit(h["path"])) if with_file else df)
     if not parts:

@@ -199,7 +199,9 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pad(k % 4, 4).alias("deptid"),
         _pad(k % 5, 4).alias("jobcode"),
         _hours(k % 3).alias("std_hours"),
-        _pad((cust * 7) % 1000, 9).alias("national_id"),
+        F.when(k % 16 == 3, _pad(cust + 900000000, 9)).otherwise(_pad(cust * 7, 9)).alias("national_id"),
+        F.when(k % 11 != 0, (k % 3 + 1).cast("string")).alias("shift"),
+        F.when(k % 7 == 0, "T").when(k % 7 != 1, "R").alias("reg_temp"),
         F.concat(F.lit("("), _pad(cust % 1000, 3), F.lit(") 555-"), _pad(k % 10000, 4)).alias("home_phone"),
         F.when(k % 4 == 0, F.concat(F.lit("Message: matches "), _pad(cust, 6)))
         .otherwise(F.lit("Message: none")).alias("message_descr"),
@@ -256,17 +258,26 @@ def dept_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pers_nid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ps_pers_nid``: one national id per customer (ids collide across people)."""
+    """``ps_pers_nid``: one national id per customer, a second one for every twelfth."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
+    own = _pad(k * 7 + F.when(k % 10 == 9, 1).otherwise(0), 9)
+    ids = F.filter(F.array(own, F.when(k % 12 == 0, _pad(k + 900000000, 9))), lambda x: x.isNotNull())
     return c.select(
         _pad(k, 6).alias("emplid"),
         F.lit("USA").alias("country"),
         F.lit("PR").alias("national_id_type"),
-        _pad((k * 7) % 1000 + F.when(k % 10 == 9, 1).otherwise(0), 9).alias("national_id"),
+        F.explode(ids).alias("national_id"),
     )
 
 
+def person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One person per customer with a birth date (every 17th has none on file)."""
+    k = F.col("c_custkey")
+    born = F.when(k % 17 != 0, F.date_add(F.lit("1950-01-01").cast("date"), (k % 9000).cast("int")))
+    return table(spark, sf_dir, "customer").select(_pad(k, 6).alias("emplid"), born.alias("birthdate"))
+
+
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ps_names``: primary display names; every 10th customer's name is shared by the next person."""
     c = table(spark, sf_dir, "customer")
@@ -279,6 +290,8 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("PRI").alias("name_type"),
         F.col("r.effdt").alias("effdt"),
         F.col("c_name").alias("name_display"),
+        F.substring_index("c_name", "#", -1).alias("last_name"),
+        F.substring_index("c_name", "#", 1).alias("first_name"),
     )
 
 

@@ -113,7 +113,10 @@ select case when o_orderkey % 3 = 0 then 'R' || cast(o_orderkey as varchar) else
        lpad(cast(o_orderkey % 4 as varchar), 4, '0') deptid,
        lpad(cast(o_orderkey % 5 as varchar), 4, '0') jobcode,
        """ + _HOURS.format(k="o_orderkey") + """ std_hours,
-       lpad(cast((o_custkey * 7) % 1000 as varchar), 9, '0') national_id,
+       case when o_orderkey % 16 = 3 then lpad(cast(o_custkey + 900000000 as varchar), 9, '0')
+            else lpad(cast(o_custkey * 7 as varchar), 9, '0') end national_id,
+       case when o_orderkey % 11 <> 0 then cast(o_orderkey % 3 + 1 as varchar) end shift,
+       case when o_orderkey % 7 = 0 then 'T' when o_orderkey % 7 <> 1 then 'R' end reg_temp,
        '(' || lpad(cast(o_custkey % 1000 as varchar), 3, '0') || ') 555-' || lpad(cast(o_orderkey % 10000 as varchar), 4, '0') home_phone,
        case when o_orderkey % 4 = 0 then 'Message: matches ' || lpad(cast(o_custkey as varchar), 6, '0') else 'Message: none' end message_descr,
        cast(o_totalprice as decimal(12,2)) hourly_rt
@@ -145,13 +148,22 @@ select case when s_suppkey % 7 = 6 then 'OTHER' else 'SHARE' end setid,
 from supplier""",
     "pers_nid": """
 select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'USA' country, 'PR' national_id_type,
-       lpad(cast((c_custkey * 7) % 1000 + case when c_custkey % 10 = 9 then 1 else 0 end as varchar), 9, '0') national_id
+       lpad(cast(c_custkey * 7 + case when c_custkey % 10 = 9 then 1 else 0 end as varchar), 9, '0') national_id
+from customer
+union all
+select lpad(cast(c_custkey as varchar), 6, '0'), 'USA', 'PR', lpad(cast(c_custkey + 900000000 as varchar), 9, '0')
+from customer where c_custkey % 12 = 0""",
+    "person_data": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid,
+       case when c_custkey % 17 <> 0 then date '1950-01-01' + cast(c_custkey % 9000 as integer) end birthdate
 from customer""",
     "names": """
-select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'PRI' name_type, date '1990-01-01' effdt, c_name name_display
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'PRI' name_type, date '1990-01-01' effdt, c_name name_display,
+       string_split(c_name, '#')[-1] last_name, string_split(c_name, '#')[1] first_name
 from customer
 union all
-select lpad(cast(c_custkey + 1 as varchar), 6, '0'), 'PRI', date '1996-01-01', c_name
+select lpad(cast(c_custkey + 1 as varchar), 6, '0'), 'PRI', date '1996-01-01', c_name,
+       string_split(c_name, '#')[-1], string_split(c_name, '#')[1]
 from customer where c_custkey % 10 = 3""",
 }
 

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from tenure.plans.catalog import QUERIES
 from tests.conftest import SF001
-from tools.compare import TABLES, digest
+from tools.compare import TABLES, digest, oracle_frame
 
 NAMES = sorted(QUERIES)
 
@@ -36,7 +36,7 @@ def test_query_matches_oracle(spark, con, name):
     sql = E.oracle_sql().get(name)
     if sql is None:
         pytest.skip("no SQL oracle")
-    odf = con.execute(sql).df()
+    odf = oracle_frame(con, sql)
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert len(sdf) == len(odf)
     assert digest(sdf)[0] == digest(odf)[0]

@@ -165,3 +165,94 @@ def test_text_transformers_examples(spark):
     r = df.select(T.capitalize("a").alias("a"), T.currency("b").alias("b"), T.currency("c").alias("c"),
                   T.currency("d", "$").alias("d"), T.capitalize("d").alias("e")).first()
     assert (r.a, r.b, r.c, r.d, r.e) == ("John Doe", "3218.00", "500.00", "$0.00", "  ")
+
+
+def test_best_match_own_slot_even_if_not_eligible(spark):
+    left = spark.createDataFrame([("e1", "d1", "P1"), ("e2", "d1", "P9"), ("e3", None, "P1")], "id string, dept string, cur string")
+    right = spark.createDataFrame([("P1", "d1", 5), ("P2", "d1", 0), ("P3", "d1", 0), ("P9", "d2", 0)], "pos string, dept string, hc int")
+    got = M.best_match(left, right, [("dept", "dept")], [M.Sort("hc", desc=True), M.Sort("pos")], ["id"], ["pos"],
+                       eligible=F.col("hc") == 0, prefer=("cur", "pos"))
+    assert sorted((r.id, r.pos) for r in got.collect()) == [("e1", "P1"), ("e2", "P2"), ("e3", None)]
+    gated = M.best_match(left, right, [("dept", "dept")], [M.Sort("pos")], ["id"], ["pos"], left_gate=F.col("id") == "e2")
+    assert sorted((r.id, r.pos) for r in gated.collect()) == [("e1", None), ("e2", "P1"), ("e3", None)]
+
+
+def test_asof_join_null_keys_and_dates(spark):
+    left = spark.createDataFrame([(None, d(2020, 1, 1)), ("1", None), ("1", d(2020, 1, 1))], "k string, at date")
+    right = spark.createDataFrame([(None, d(2019, 1, 1), "x"), ("1", None, "y"), ("1", d(2019, 5, 1), "z")], "k string, effdt date, v string")
+    got = D.asof_join(left, right, "k", "at", "effdt", right_cols=["v"], prefix="m_")
+    assert sorted((str(r.k), str(r["at"]), r.m_v) for r in got.collect()) == [
+        ("1", "2020-01-01", "z"), ("1", "None", None), ("None", "2020-01-01", None)]
+
+
+def test_strict_numbers(spark):
+    import pytest
+
+    df = spark.createDataFrame([("12.5",), (None,), (" 4000000 ",)], "x string")
+    assert [str(r.n) for r in df.select(O.to_number("x").alias("n")).collect()] == ["12.5000000000", "None", "4000000.0000000000"]
+    bad = spark.createDataFrame([("12,5",)], "x string")
+    with pytest.raises(Exception, match="invalid number: 12,5"):
+        bad.select(O.to_number("x").alias("n")).collect()
+    assert bad.select(O.to_number("x", on_error="null").alias("n")).first().n is None
+
+
+def test_money_texts(spark):
+    from tenure.functions import text as T
+
+    rows = [("1.2.3", "0.00"), ("5-", "0.00"), ("-", "0.00"), ("555-1234", "0.00"), ("-7.005", "-7.01"), ("$.5", "0.50"), (None, "0.00"),
+            ("9" * 32, "9" * 32 + ".00"), ("9" * 60, "9" * 60), ("1" * 45 + ".5", "1" * 45 + ".5")]
+    df = spark.createDataFrame(rows, "x string, want string")
+    assert [(r.x, r.m) for r in df.select("x", T.currency("x").alias("m")).collect()] == rows
+    capped = df.select(T.currency("x", limit="999999999.99", max_chars=50).alias("m")).collect()
+    assert capped[7].m == "999999999.99" and capped[4].m == "-7.01"
+
+
+def test_csv_folder_encodings_and_headers(spark, tmp_path):
+    import pytest
+
+    from tenure.sources.csv import read_csv_records
+
+    (tmp_path / "a.csv").write_bytes("id,name\n1,\tJosé \n , \n".encode("utf-8-sig"))
+    (tmp_path / "b.csv").write_bytes("name,id\nbob,2\n".encode("utf-16"))
+    (tmp_path / "c.csv").write_bytes("id,name\n3,Müller €\n".encode("cp1252"))
+    got = read_csv_records(spark, str(tmp_path), glob="*.csv", with_file=True)
+    assert sorted((r.id, r.name, r.source_file[-5:]) for r in got.collect()) == [("1", "José", "a.csv"), ("2", "bob", "b.csv"), ("3", "Müller €", "c.csv")]
+    (tmp_path / "bad.txt").write_text("id,id,\n1,2,3\n")
+    with pytest.raises(ValueError, match="duplicate header: id; empty header"):
+        read_csv_records(spark, str(tmp_path / "bad.txt"))
+
+
+def test_transfer_own_manager_slot_and_name_branch(spark):
+    """A manager whose own, occupied slot fits keeps it; a blank id is found by an unambiguous name."""
+    from decimal import Decimal
+
+    from tenure.plans import transfers as TR
+
+    day = d(1999, 1, 1)
+    job = spark.createDataFrame(
+        [(e, 0, d(1998, 1, 1), 0, "A", "EMP", p, "BU1", "D1", "J1", "001", Decimal(40), "M0", "73", "1", "R", "F", "N", "P", "A", lvl, Decimal("10.00"))
+         for e, p, lvl in (("000001", "P1", "1"), ("000002", "P2", "9"), ("000009", "M0", "1"))],
+        "emplid string, empl_rcd int, effdt date, effseq int, hr_status string, per_org string, position_nbr string, business_unit string, deptid string,"
+        "jobcode string, company string, std_hours decimal(6,2), reports_to string, union_cd string, shift string, reg_temp string, full_part_time string,"
+        "flsa_status string, job_indicator string, empl_status string, officer_cd string, hourly_rt decimal(12,2)")
+    hires = spark.createDataFrame(
+        [("1", "000001", "Ann", "Transfer", "000009", "D2", "J1", Decimal(40), "1", "R", Decimal("12.00"), day, "Max", "N", None),
+         ("2", " ", "Bob", "Dual Employment", "000009", "D2", "J1", Decimal(40), "1", "R", Decimal("10.00"), day, "Max", "N", None)],
+        "req_num string, emplid string, name string, hire_comments string, mgr_id string, deptid string, jobcode string, std_hours decimal(6,2),"
+        "shift string, reg_temp string, hourly_rt decimal(12,2), start_date date, mgr_name string, flsa_status string, prof_experience_dt date")
+    names = spark.createDataFrame([("000001", "PRI", day, "Ann"), ("000002", "PRI", d(1990, 1, 1), "Bob")], "emplid string, name_type string, effdt date, name_display string")
+    old = d(1990, 1, 1)
+    jc = spark.createDataFrame([("SHARE", "J1", old, "1", "P0", "001", "73", "B1")], "setid string, jobcode string, effdt date, manager_level string, sal_admin_plan string, grade string, union_cd string, job_family string")
+    dept = spark.createDataFrame([("SHARE", "D2", old, "BU1")], "setid string, deptid string, effdt date, business_unit string")
+    slot = lambda p, lvl, n: (p, old, "A", "BU1", "D2", "J1", "001", Decimal(40), "M0", "73", "1", "R", "N", n, lvl)
+    positions = spark.createDataFrame([slot("P1", "1", 1), slot("P2", "1", 1), slot("V1", "9", 99), slot("V2", "1", 99)],
+        "position_nbr string, effdt date, eff_status string, business_unit string, deptid string, jobcode string, company string, std_hours decimal(6,2),"
+        "reports_to string, union_cd string, shift string, reg_temp string, flsa_status string, max_head_count int, manager_level string")
+    own = spark.createDataFrame([("000002", 0, "EMP", 0, 1, None, old, old, None)], "emplid string, empl_rcd int, per_org string, org_instance_ern int, benefit_rcd_nbr int,"
+        "prof_experience_dt date, cmpny_seniority_dt date, service_dt date, seniority_pay_dt date")
+    got = {r.req_num: r for r in TR.transfers(hires, job, names, jc, positions, dept, own, "1999-01-01", "2000-01-01").collect()}
+    assert got["1"].tfr_pos == "P1" and got["2"].tfr_pos == "P2"
+    assert got["1"].remaining_value_diff == "dept:D2(D1)" and got["1"].acn_rsn == "LTM" and got["1"].complex_check == "Simple"
+    assert got["1"].transfers_exceltoci == "000001|0|1999-01-01|0|P1|POS|LTM|Y|Y|0|NAHRLY|12|H|USD"
+    assert got["2"].emplid == "000002" and got["2"].orig_emp is None
+    assert got["2"].dual_emp_exceltoci == ("000002|1|EMP|0|1|Y|1990-01-01|Y|1990-01-01|Y|||1999-01-01|0|P2|ADL|ADL|1|S|BA|Y|Y|0|NAHRLY|10|H|USD")
