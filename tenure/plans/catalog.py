@@ -587,6 +587,25 @@ def hire_window_report(spark, sf):
     return HS.hire_staging(*_stage_inputs(spark, sf), FX.person(spark, sf), FX.names(spark, sf), STAGE_START, STAGE_DAYS, NOW)
 
 
+@query
+def first_match_string(spark, sf):
+    """E9+D5+H3: the first fitting slot of each staged hire as descriptive text.
+
+    Every third hire gets a fitting slot of its own beside the given ones, so that matches occur.
+    """
+    c = HS.base(*_stage_inputs(spark, sf), NOW, start=STAGE_START, days=STAGE_DAYS)
+    digits = F.regexp_replace("req_num", "[^0-9]", "")
+    made = c.filter(digits.cast("long") % 3 != 1).select(
+        F.concat(F.lit("H"), F.lpad(digits, 9, "0"), F.substring("mgr_position_nbr", -2, 2)).alias("position_nbr"),
+        F.lit("1990-01-01").cast("date").alias("effdt"), F.lit("A").alias("eff_status"), "business_unit", "deptid",
+        F.lit("0001").alias("location"), "jobcode", F.lit("001").alias("company"), "std_hours", F.col("mgr_position_nbr").alias("reports_to"),
+        F.lit("73").alias("union_cd"), "shift", "reg_temp", C.hours_category("std_hours", null_as="P").alias("full_part_time"),
+        F.lit(7).alias("max_head_count"), F.when(F.col("location") == "RMOTE", "Y").otherwise("N").alias("avail_telework_pos")).distinct()
+    slots = FX.position_data(spark, sf).select(*made.columns).unionByName(made)
+    out = HS.first_slot(c, slots, M.headcount(active_jobs(spark, sf, NOW), count_col="emplid"))
+    return out.select("req_num", "mgr_position_nbr", "post_chg_pos_use")
+
+
 @query
 def combined_history_listagg(spark, sf):
     """E17+F3+F4+E20: per-person ordered roll-up of in-force records with rehire flag."""

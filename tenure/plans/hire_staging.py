@@ -140,6 +140,42 @@ def with_history(c: DataFrame, job: DataFrame, nid: DataFrame, person: DataFrame
     )
 
 
+# candidate column -> slot column: all must be equal for a slot to be shown
+SLOT_FIELDS = [("deptid", "deptid"), ("jobcode", "jobcode"), ("mgr_position_nbr", "reports_to"), ("std_hours", "std_hours"),
+               ("slot_shift", "shift"), ("reg_temp", "reg_temp"), ("fpc", "full_part_time"), ("telework", "avail_telework_pos")]
+
+
+def first_slot(c: DataFrame, positions: DataFrame, counts: DataFrame, key: str = "req_num") -> DataFrame:
+    """``c`` with ``post_chg_pos_use``: the first slot (by number) that fits the hire, in force
+    on the hire date, as descriptive text (E9, D5, H3). ``counts``: head count per slot.
+
+    A version holds from its date to the next one, so the candidate's own date picks the
+    version inside the equi-join; one row per candidate is kept before and after the shuffle.
+    """
+    life = Window.partitionBy("position_nbr").orderBy("effdt")
+    p = positions.withColumn("until", F.lead("effdt").over(life)).filter(F.col("eff_status") == "A")
+    p = p.join(counts, "position_nbr", "left")
+    pad = lambda x, n: F.lpad(F.coalesce(x, F.lit("")), F.greatest(F.length(F.coalesce(x, F.lit(""))), F.lit(n)), F.lit(" "))
+    t = lambda x: F.coalesce(F.col(x).cast("string"), F.lit(""))
+    # Slot order and constants of the text.
+    text = F.concat(
+        t("position_nbr"), F.lit("|cur/in-"), pad(F.coalesce("head_count", F.lit(0)).cast("string"), 3), F.lit("|"), O.date_text("effdt"),
+        F.lit("|"), t("eff_status"), F.lit("| | |UPD|"), pad(t("business_unit"), 6), F.lit("|"), t("deptid"), F.lit("|"), t("jobcode"),
+        F.lit("|Y|HEAD?|"), pad(t("max_head_count"), 3), F.lit("|Y|"), t("reports_to"), F.lit("|"), pad(t("location"), 11),
+        F.lit("|Maildrop?|"), t("company"), F.lit("|"), pad(O.num_text("std_hours"), 4), F.lit("|"), pad(t("union_cd"), 2), F.lit("|"),
+        t("shift"), F.lit("|"), t("reg_temp"), F.lit("|"), t("full_part_time"), F.lit("| | |Y|"), t("avail_telework_pos"),
+        F.lit("--Available telework|Y"))
+    p = p.select("position_nbr", "effdt", "until", text.alias("post_chg_pos_use"), *[F.col(b).alias(f"__s{i}") for i, (_, b) in enumerate(SLOT_FIELDS)])
+    own = c.filter(F.col("mgr_position_nbr") != "XXXXXXXX").withColumn("fpc", C.hours_category("std_hours", null_as="P"))
+    own = own.withColumn("slot_shift", O.decode("shift", {"N": "1"}, F.col("shift")))
+    own = own.withColumn("telework", O.decode("location", {"RMOTE": "Y"}, "N")).select(key, "hire_dt", *[a for a, _ in SLOT_FIELDS]).distinct()
+    met = [own[a] == p[f"__s{i}"] for i, (a, _) in enumerate(SLOT_FIELDS)]
+    met += [p["effdt"] <= own["hire_dt"], p["until"].isNull() | (own["hire_dt"] < p["until"])]
+    best = own.join(p, met).withColumn("__n", F.row_number().over(Window.partitionBy(key, "mgr_position_nbr").orderBy("position_nbr")))
+    best = best.filter("__n = 1").select(F.col(key).alias("__k"), F.col("mgr_position_nbr").alias("__m"), "post_chg_pos_use")
+    return c.join(best, (c[key] == best["__k"]) & (c["mgr_position_nbr"] == best["__m"]), "left").drop("__k", "__m")
+
+
 def hire_staging(candidates, job, nid, dept, jobcode, person, names, start, days, asof) -> DataFrame:
     c = with_history(base(candidates, job, nid, dept, jobcode, asof, start=start, days=days), job, nid, person, names, asof)
     fpc = C.hours_category("std_hours", null_as="P")

@@ -103,6 +103,7 @@ def position_data(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(k % 3 == 0, "N").otherwise("Y").alias("include_title"),
             F.when(F.col("p_size") % 5 == 0, 1).otherwise(99).cast("int").alias("max_head_count"),
             F.when(k % 4 == 1, "N").otherwise("Y").alias("update_incumbents"),
+            F.when(k % 5 == 0, "Y").otherwise("N").alias("avail_telework_pos"),
             F.when(k % 21 != 0, F.substring(F.lit(LEVEL_CYCLE), (k % 10).cast("int") + 1, 1)).alias("manager_level"),
         )
 
@@ -202,6 +203,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 16 == 3, _pad(cust + 900000000, 9)).otherwise(_pad(cust * 7, 9)).alias("national_id"),
         F.when(k % 11 != 0, (k % 3 + 1).cast("string")).alias("shift"),
         F.when(k % 7 == 0, "T").when(k % 7 != 1, "R").alias("reg_temp"),
+        F.when(k % 5 == 0, "RMOTE").otherwise(_pad(k % 3, 4)).alias("location"),
         F.concat(F.lit("("), _pad(cust % 1000, 3), F.lit(") 555-"), _pad(k % 10000, 4)).alias("home_phone"),
         F.when(k % 4 == 0, F.concat(F.lit("Message: matches "), _pad(cust, 6)))
         .otherwise(F.lit("Message: none")).alias("message_descr"),

@@ -56,6 +56,7 @@ select lpad(cast(p_partkey as varchar), 8, '0') position_nbr,
        case when p_partkey % 3 = 0 then 'N' else 'Y' end include_title,
        cast(case when p_size % 5 = 0 then 1 else 99 end as integer) max_head_count,
        case when p_partkey % 4 = 1 then 'N' else 'Y' end update_incumbents,
+       case when p_partkey % 5 = 0 then 'Y' else 'N' end avail_telework_pos,
        case when p_partkey % 21 <> 0 then substring('1236ABC79D', cast(p_partkey % 10 as integer) + 1, 1) end manager_level
 from part,
      (select 0 k, date '1994-01-01' effdt union all select 1 k, date '1998-01-01' effdt) v""",
@@ -117,6 +118,7 @@ select case when o_orderkey % 3 = 0 then 'R' || cast(o_orderkey as varchar) else
             else lpad(cast(o_custkey * 7 as varchar), 9, '0') end national_id,
        case when o_orderkey % 11 <> 0 then cast(o_orderkey % 3 + 1 as varchar) end shift,
        case when o_orderkey % 7 = 0 then 'T' when o_orderkey % 7 <> 1 then 'R' end reg_temp,
+       case when o_orderkey % 5 = 0 then 'RMOTE' else lpad(cast(o_orderkey % 3 as varchar), 4, '0') end location,
        '(' || lpad(cast(o_custkey % 1000 as varchar), 3, '0') || ') 555-' || lpad(cast(o_orderkey % 10000 as varchar), 4, '0') home_phone,
        case when o_orderkey % 4 = 0 then 'Message: matches ' || lpad(cast(o_custkey as varchar), 6, '0') else 'Message: none' end message_descr,
        cast(o_totalprice as decimal(12,2)) hourly_rt
