@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm.bpe import slices
+from tenure.llm.bpe import Memo, slices
 from tenure.llm.common import picked, written
 from tenure.llm.huffman import Coder, code_lengths
 from tenure.llm.pieces import cut
@@ -26,7 +26,9 @@ CODE_BITS = 16
 BLOCK_IDS = 1 << 20
 CHECKPOINT = 512
 #: Pieces in each of the two generations of a worker's memo.
-MEMO = 250_000
+MEMO = 350_000
+#: Marks that a word mostly has behind it.
+_MARKS = (",", ".")
 
 
 class LibraryEncoder:
@@ -48,6 +50,8 @@ class LibraryEncoder:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.starts = np.fromiter((t[:1] in ("Ġ", "Ċ") for t in tokens), bool, size)  # space, line end
+        self.marks = {m: self.encode(m) for m in _MARKS}
+        self.heads = Memo(self.encode, 20_000)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -55,18 +59,26 @@ class LibraryEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def learn(self, pieces: set[str]) -> None:
-        """Have all these pieces in the memo's newer generation."""
-        if len(self.new) + len(pieces) > MEMO:
+        """Have all these pieces, none of which it holds, in the memo's newer generation."""
+        if len(self.new) > MEMO:
             self.old, self.new = self.new, {}
-        missing = []
+        new, old, missing, marked = self.new, self.old, set(), []
         for p in pieces:
-            if p not in self.new:
-                if (known := self.old.get(p)) is None:
-                    missing.append(p)
-                else:
-                    self.new[p] = known
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
+            if (known := old.get(p)) is not None:
+                new[p] = known
+            elif p[-1:] in _MARKS and p[:-1].isalpha():  # letters and the mark behind them are two matches
+                core = p[:-1]
+                marked.append(core)
+                if core not in new:
+                    if (known := old.get(core)) is not None:
+                        new[core] = known
+                    else:
+                        missing.add(core)
+            else:
+                missing.add(p)
+        todo = list(missing)
+        for at in range(0, len(todo), 4096):
+            part = todo[at : at + 4096]
             texts = [p if p[:1] == "\n" else " " + p for p in part]
             ids = np.array(self.tokenizer.encode("".join(texts), add_special_tokens=False).ids, self.kind)
             first = np.flatnonzero(self.starts[ids])
@@ -74,23 +86,45 @@ class LibraryEncoder:
                 data, ends = ids.tobytes(), [*(first[1:] * self.kind.itemsize).tolist(), len(ids) * self.kind.itemsize]
                 start = 0
                 for p, end in zip(part, ends, strict=True):
-                    self.new[p] = data[start:end]
+                    new[p] = data[start:end]
                     start = end
             else:
-                self.new.update((p, self.encode(t)) for p, t in zip(part, texts, strict=True))
+                new.update((p, self.encode(t)) for p, t in zip(part, texts, strict=True))
+        for core in marked:
+            for mark, ids in self.marks.items():
+                if core + mark in pieces:
+                    new[core + mark] = new[core] + ids
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of the texts; memos are looked up once, what is missing is learnt and filled in."""
         cuts = [cut(t) if t else None for t in texts]
-        self.learn({p for c in cuts if c for p in c[1]})
+        found = [[*map(self.new.get, c[1])] if c else [] for c in cuts]
+        gaps = [[i for i, v in enumerate(f) if v is None] for f in found]
+        if any(gaps):
+            self.learn({c[1][i] for c, g in zip(cuts, gaps, strict=True) if g for i in g})
         out = []
-        for t, c in zip(texts, cuts, strict=True):
+        for t, c, f, g in zip(texts, cuts, found, gaps, strict=True):
             if c:
-                out.append((self.encode(c[0]) if c[0] else b"") + b"".join(map(self.new.__getitem__, c[1])))
+                for i in g:
+                    f[i] = self.new[c[1][i]]
+                f.insert(0, self.heads[c[0]])
+                out.append(b"".join(f))
             else:
                 out.append(self.encode(t) if t else b"")
         return out
 
 
+_KEPT: dict[str, LibraryEncoder] = {}
+
+
+def kept_encoder(spec: str) -> LibraryEncoder:
+    """One encoder for all tasks of a worker, so that its memo stays warm."""
+    if spec not in _KEPT:
+        _KEPT.clear()
+        _KEPT[spec] = LibraryEncoder(spec)
+    return _KEPT[spec]
+
+
 def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, append ``end_id`` to each, and write the store at ``path``.
 
@@ -112,7 +146,7 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
     tail = np.array([end_id])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, at = LibraryEncoder(shared.value), 0
+        enc, at = kept_encoder(shared.value), 0
         end = tail.astype(enc.kind).tobytes()
         for whole in batches:
             for b in slices(whole, "text"):
