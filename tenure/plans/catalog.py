@@ -540,6 +540,14 @@ def placeholder_mapping(spark, sf):
                     F.when(F.array_contains(cols, F.col("normalized")), F.col("normalized")).alias("matched_column"))
 
 
+@query
+def unused_columns(spark, sf):
+    """B50+B51: recipient columns that a letter doesn't use (the id column is found by its name)."""
+    t = FX.letters(spark, sf)
+    names = T.unused_columns(F.concat_ws(" ", "subject", "html_body"), MAIL_FIELDS, T.default_id_column(MAIL_FIELDS))
+    return t.select("template_id", F.array_join(names, ",").alias("unused"))
+
+
 def _individual(spark, sf):
     r = MM.apply_transforms(_recipients(spark, sf), MAIL_TRANSFORMS)
     t = FX.letters(spark, sf).withColumnRenamed("template_id", "employee_id")

@@ -256,3 +256,13 @@ def test_transfer_own_manager_slot_and_name_branch(spark):
     assert got["1"].transfers_exceltoci == "000001|0|1999-01-01|0|P1|POS|LTM|Y|Y|0|NAHRLY|12|H|USD"
     assert got["2"].emplid == "000002" and got["2"].orig_emp is None
     assert got["2"].dual_emp_exceltoci == ("000002|1|EMP|0|1|Y|1990-01-01|Y|1990-01-01|Y|||1999-01-01|0|P2|ADL|ADL|1|S|BA|Y|Y|0|NAHRLY|10|H|USD")
+
+
+def test_id_and_unused_columns(spark):
+    from tenure.functions import text as T
+
+    assert T.default_id_column(["Name", "Emp-Number", "EMPLID"]) == "Emp-Number"
+    assert T.default_id_column(["Name", "Mail"]) == "Name" and T.default_id_column([]) is None
+    df = spark.createDataFrame([("Dear {{Full Name}} {{ <b>x</b> }}",), ("",)], "t string")
+    got = df.select(T.unused_columns("t", ["id", "full_name", "x", "y"], "id").alias("u")).collect()
+    assert [list(r.u) for r in got] == [["y"], ["full_name", "x", "y"]]
