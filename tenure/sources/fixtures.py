@@ -111,7 +111,7 @@ def position_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hires(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ps_nmh_edw_hires``: transfer requests; every 8th has a blank emplid."""
+    """Transfer requests; every 8th has a blank emplid."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     return c.select(
@@ -188,7 +188,7 @@ def refund_pastes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ps_nmh_taleo``: hire-staging candidates, one per order."""
+    """Hire-staging candidates, one per order."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
@@ -248,7 +248,7 @@ def jobcode_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dept_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ps_nmh_dept_tbl``: each supplier is one effective-dated version of a department."""
+    """Departments: each supplier is one effective-dated version of a department."""
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     return s.select(
