@@ -122,15 +122,8 @@ OFFICER_EXCLUDED = ["9", "7", "D"]
 def manager_by_position(spark, sf):
     """D7+E4: each incumbent's managers: whoever's record is the latest dated one of the
     reports_to slot up to the incumbent's own date, in any status, ties kept."""
-    job = FX.job(spark, sf)
     cur = active_jobs(spark, sf).select("emplid", "empl_rcd", "reports_to", "effdt")
-    dates = job.select(F.col("position_nbr").alias("reports_to"), F.col("effdt")).distinct()
-    cur = D.asof_join(cur, dates, "reports_to", "effdt", "effdt", prefix="mgr_")
-    last = D.asof_rows(job, [*JOB_KEYS, "effdt"], "effseq")
-    last = last.select(F.col("position_nbr").alias("reports_to"), F.col("effdt").alias("mgr_effdt"),
-                       F.col("emplid").alias("mgr_emplid"), F.col("empl_rcd").alias("mgr_empl_rcd"))
-    return cur.join(last, ["reports_to", "mgr_effdt"], "left").select(
-        "emplid", "empl_rcd", "reports_to", "mgr_emplid", "mgr_empl_rcd")
+    return NS.slot_holders(cur, FX.job(spark, sf)).select("emplid", "empl_rcd", "reports_to", "mgr_emplid", "mgr_empl_rcd")
 
 
 def _manager_rows(spark, sf):
@@ -465,6 +458,14 @@ def name_search_profile(spark, sf):
     return NS.profile(best, FX.job(spark, sf), FX.position_data(spark, sf), NOW)
 
 
+@query
+def name_search_full_profile(spark, sf):
+    """J6+E22+D7: best match per person with current name, records in force, manager, location, contacts."""
+    best = NS.search(FX.names_searched(spark, sf), FX.names_hist(spark, sf), scorer="jaro_winkler")
+    return NS.full_profile(best, FX.names(spark, sf), FX.job(spark, sf), FX.location_tbl(spark, sf), FX.addresses(spark, sf),
+                           FX.phones(spark, sf), FX.emails(spark, sf), FX.pers_nid(spark, sf), FX.user_ids(spark, sf), NOW)
+
+
 # ------------------------------------------------------------- J7 mail merge
 from ..functions import text as T  # noqa: E402
 from ..sources.csv import tidy_records  # noqa: E402

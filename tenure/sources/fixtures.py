@@ -297,6 +297,38 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phone numbers by type: HOME for two thirds of the customers, CELL for half of them."""
+    k = F.col("c_custkey")
+    number = F.concat(F.lit("555"), _pad(k, 7))
+    kinds = F.filter(F.array(F.when(k % 3 != 0, "HOME"), F.when(k % 2 == 0, "CELL")), lambda x: x.isNotNull())
+    return table(spark, sf_dir, "customer").select(_pad(k, 6).alias("emplid"), F.explode(kinds).alias("phone_type"), number.alias("number")) \
+        .select("emplid", "phone_type", F.concat("number", F.substring("phone_type", 1, 1)).alias("phone"))
+
+
+def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HOME addresses of three quarters of the customers."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").filter(k % 4 != 0).select(
+        _pad(k, 6).alias("emplid"), F.lit("HOME").alias("address_type"), F.concat((k % 99).cast("string"), F.lit(" Main St")).alias("address1"),
+        F.concat(F.lit("City"), F.col("c_nationkey").cast("string")).alias("city"), _pad(k % 1000, 5).alias("postal"))
+
+
+def user_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User ids of four fifths of the customers."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").filter(k % 5 != 0).select(_pad(k, 6).alias("emplid"), F.concat(F.lit("U"), k.cast("string")).alias("oprid"))
+
+
+def location_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations: each supplier is one effective-dated version."""
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        F.when(k % 7 == 6, "OTHER").otherwise("SHARE").alias("setid"), _pad(k % 3, 4).alias("location"),
+        F.date_add(F.lit("1990-01-01").cast("date"), (F.floor(k / 3) * 20).cast("int")).alias("effdt"),
+        F.col("s_name").alias("descr"), F.concat(F.lit("B"), (k % 11).cast("string")).alias("building"))
+
+
 RECIPIENT_COLUMNS = ["emplid", "full_name", "refund_amount", "segment"]
 
 

@@ -159,6 +159,24 @@ from customer where c_custkey % 12 = 0""",
 select lpad(cast(c_custkey as varchar), 6, '0') emplid,
        case when c_custkey % 17 <> 0 then date '1950-01-01' + cast(c_custkey % 9000 as integer) end birthdate
 from customer""",
+    "phones": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, t.phone_type, '555' || lpad(cast(c_custkey as varchar), 7, '0') || t.phone_type[1] phone
+from customer, (values ('HOME'), ('CELL')) t(phone_type)
+where (t.phone_type = 'HOME' and c_custkey % 3 <> 0) or (t.phone_type = 'CELL' and c_custkey % 2 = 0)""",
+    "addresses": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'HOME' address_type, (c_custkey % 99) || ' Main St' address1,
+       'City' || c_nationkey city, lpad(cast(c_custkey % 1000 as varchar), 5, '0') postal
+from customer where c_custkey % 4 <> 0""",
+    "user_ids": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'U' || c_custkey oprid from customer where c_custkey % 5 <> 0""",
+    "emails": """
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, case when c_custkey % 5 = 0 then 'HOME' else 'BUSN' end e_addr_type,
+       case when c_custkey % 23 = 0 then 'not-an-email' else lower(replace(c_name, '#', '.')) || '@example.org' end email_addr
+from customer""",
+    "location_tbl": """
+select case when s_suppkey % 7 = 6 then 'OTHER' else 'SHARE' end setid, lpad(cast(s_suppkey % 3 as varchar), 4, '0') location,
+       cast(date '1990-01-01' + cast(floor(s_suppkey / 3) * 20 as integer) as date) effdt, s_name descr, 'B' || (s_suppkey % 11) building
+from supplier""",
     "names": """
 select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'PRI' name_type, date '1990-01-01' effdt, c_name name_display,
        string_split(c_name, '#')[-1] last_name, string_split(c_name, '#')[1] first_name
