@@ -95,7 +95,7 @@ def strip_prefix(c: ColumnOrName, pattern: str = r"^Message: ") -> Column:
 
 def trailing_id(c: ColumnOrName, width: int = 6) -> Column:
     """Last ``width`` characters when they are all digits, else NULL."""
-    return empty_to_null(F.regexp_extract(col(c), r"([0-9]{%d})$" % width, 1))
+    return empty_to_null(F.regexp_extract(col(c), r"([0-9]{%d})\z" % width, 1))
 
 
 def all_digits(c: ColumnOrName) -> Column:

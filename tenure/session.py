@@ -6,6 +6,8 @@ helpers only read the session's configuration.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are tuned for. AQE re-plans joins from runtime sizes,
@@ -49,8 +51,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used where a frame is reused by several branches of a long plan. The
     checkpoint lives on shared storage, so it survives executor loss
     (``localCheckpoint`` would not). Without a configured folder the frame is
-    returned unchanged and Spark recomputes it from lineage.
+    returned unchanged, with a warning, and Spark recomputes it from lineage.
     """
     if checkpoint_dir(df.sparkSession) is None:
+        warnings.warn("spark.checkpoint.dir is not set: lineage is not cut and may be recomputed", stacklevel=2)
         return df
     return df.checkpoint(eager=True)

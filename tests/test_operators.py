@@ -266,3 +266,8 @@ def test_id_and_unused_columns(spark):
     df = spark.createDataFrame([("Dear {{Full Name}} {{ <b>x</b> }}",), ("",)], "t string")
     got = df.select(T.unused_columns("t", ["id", "full_name", "x", "y"], "id").alias("u")).collect()
     assert [list(r.u) for r in got] == [["y"], ["full_name", "x", "y"]]
+
+
+def test_trailing_id_is_at_the_very_end(spark):
+    df = spark.createDataFrame([("Message: 123456",), ("x 123456\n",), ("12345",), ("1234567",)], "m string")
+    assert [r.i for r in df.select(O.trailing_id("m").alias("i")).collect()] == ["123456", None, None, "234567"]
