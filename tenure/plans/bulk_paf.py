@@ -234,7 +234,8 @@ def _finish(a: DataFrame) -> DataFrame:
         D.same_day_warning("effdt", "cur_job_effdt", diff.isNotNull()).alias("audit_effdt_exists"),
         "missing_head_count", F.col("tfr_retain_one").cast("int").alias("tfr_retain_one"),
         "cur_pos_head_count", "cur_incumbent_count", "total_pos_remaining_value_diffs", "audit_newer",
-        *[c + "_new" for c in ("business_unit", "deptid", "location", "jobcode", "company", "reports_to", "shift", "fpc")],
+        *[c + "_new" for c in ("business_unit", "deptid", "location", "jobcode", "company", "reports_to", "shift", "fpc",
+                                "union_cd", "reg_temp", "flsa_status")],
         nt("std_hours_new").alias("std_hours_new"),
     )
 

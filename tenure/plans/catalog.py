@@ -643,3 +643,30 @@ def bulk_paf(spark, sf):
     """Bulk position change — status, load strings, capacity and override audits."""
     return BP.bulk_paf(FX.bulk_lines(spark, sf), FX.job(spark, sf), FX.position_data(spark, sf),
                        FX.dept_tbl(spark, sf), NOW)
+
+
+@query
+def retention_rank(spark, sf):
+    """Which incumbents of a slot keep it, by the most frequent future values."""
+    t = bulk_paf(spark, sf)
+    return t.select("paste_id", "cur_pos", "emplid", "empl_rcd", "tfr_retain_one", "cur_incumbent_count",
+                    "missing_head_count", "total_pos_remaining_value_diffs")
+
+
+@query
+def capacity_audit(spark, sf):
+    """G5+B37+E7: planned moves into each slot against its capacity.
+
+    A fitting vacant slot for every third request is added, so that moves occur.
+    """
+    k = F.col("line_no")
+    made = bulk_paf(spark, sf).filter(k % 3 == 0).select(
+        F.concat(F.lit("B"), F.lpad(k.cast("string"), 7, "0")).alias("position_nbr"), F.lit("1990-01-01").cast("date").alias("effdt"),
+        F.lit("A").alias("eff_status"), *[F.col(c + "_new").alias(c) for c in POS_FIELDS if c != "std_hours"],
+        F.col("std_hours_new").cast("decimal(6,2)").alias("std_hours"), (k % 4 + 1).cast("int").alias("max_head_count"),
+        F.lit("9").alias("manager_level"))
+    slots = FX.position_data(spark, sf).unionByName(made, allowMissingColumns=True)
+    t = BP.bulk_paf(FX.bulk_lines(spark, sf), FX.job(spark, sf), slots, FX.dept_tbl(spark, sf), NOW)
+    t = t.filter(F.col("tfr_pos").isNotNull())
+    return t.select("paste_id", "tfr_pos", "status", F.col("audit_tfr_move_plus_cur_over_max").alias("audit"),
+                    "job_update_position_nbr_exceltoci")
