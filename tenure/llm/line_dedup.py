@@ -65,6 +65,8 @@ def dedup_lines(
         .filter(F.col("n") >= min_docs)
         .select("h1", "h2", "keep")
     )
+    # a table of its own: next to a plain exchange AQE can split a hot line's rows in the join
+    shared = written(shared, "shared_lines")
     drops = (
         keys.join(shared, ["h1", "h2"])
         .filter(F.col("id").isNull() | (F.col("id") != F.col("keep")))
