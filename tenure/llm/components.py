@@ -12,6 +12,8 @@ def _large_star(e: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is hung on the least node around it."""
     both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # a table of its own: next to a plain exchange AQE can split a hub's links in the join
+    least = written(least, "least")
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 

@@ -147,7 +147,8 @@ def links(fps: DataFrame, fp: str = "fp", max_bits: int = MAX_BITS) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(v[rows])], ["key", "fp"])
 
     keys = written(one.mapInArrow(keyed, "key bigint, fp bigint"), "golay_keys")
-    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # a table of its own, so that AQE can split a hot key's rows in the join
+    sizes = written(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "golay_sizes")
     met = written(keys.join(sizes, "key"), "golay_buckets")
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_bits
     small = met.filter(F.col("n") <= PAIRWISE).groupBy("key").agg(F.collect_list("fp").alias("m"))
