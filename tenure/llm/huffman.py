@@ -58,6 +58,8 @@ class Coder:
         self.lengths = np.asarray(lengths, np.int64)
         self.codes = canonical(self.lengths)
         self.width = int(self.lengths.max(initial=1))
+        self.short = self.lengths.astype(np.uint8)
+        self.aligned = np.where(self.lengths > 0, self.codes << ((64 - self.lengths) & 63).astype(np.uint64), np.uint64(0))
         used = np.flatnonzero(self.lengths)
         spans = 1 << (self.width - self.lengths[used])
         at = np.argsort(self.codes[used] << (self.width - self.lengths[used]).astype(np.uint64))
@@ -69,19 +71,16 @@ class Coder:
 
     def pack(self, ids: np.ndarray, every: int) -> tuple[bytes, np.ndarray]:
         """(bits, bit offset of each ``every``-th id); the bits end with a spare word."""
-        n = self.lengths[ids]
-        ends = np.cumsum(n)
+        n = self.short[ids]
+        ends = np.cumsum(n, dtype=np.int64)
         at = ends - n
         words = np.zeros((int(ends[-1]) >> 6) + 2 if len(ids) else 1, np.uint64)
         if len(ids):
-            code, word = self.codes[ids], at >> 6
-            shift = 64 - (at & 63) - n
-            fits = shift >= 0
-            high = np.where(fits, code << np.where(fits, shift, 0).astype(np.uint64), code >> np.where(fits, 0, -shift).astype(np.uint64))
+            word, bit = at >> 6, (at & 63).astype(np.uint64)
             first = np.flatnonzero(np.diff(word, prepend=-1))
-            words[word[first]] = np.add.reduceat(high, first)
-            over = np.flatnonzero(~fits)
-            words[word[over] + 1] += code[over] << (64 + shift[over]).astype(np.uint64)
+            words[word[first]] = np.add.reduceat(self.aligned[ids] >> bit, first)
+            last = np.append(first[1:], len(ids)) - 1  # only a word's last code can run over into the next one
+            words[word[last] + 1] += (self.aligned[ids[last]] << np.uint64(1)) << (np.uint64(63) - bit[last])
         return words.astype(">u8").tobytes(), at[::every].copy()
 
     def unpack(self, data: bytes, checkpoints: np.ndarray, n: int, every: int) -> np.ndarray:

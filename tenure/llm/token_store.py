@@ -26,7 +26,7 @@ CODE_BITS = 16
 BLOCK_IDS = 1 << 20
 CHECKPOINT = 512
 #: Pieces in each of the two generations of a worker's memo.
-MEMO = 350_000
+MEMO = 300_000
 #: Marks that a word mostly has behind it.
 _MARKS = (",", ".")
 
@@ -68,7 +68,7 @@ class LibraryEncoder:
                 new[p] = known
             elif p[-1:] in _MARKS and p[:-1].isalpha():  # letters and the mark behind them are two matches
                 core = p[:-1]
-                marked.append(core)
+                marked.append(p)
                 if core not in new:
                     if (known := old.get(core)) is not None:
                         new[core] = known
@@ -80,7 +80,8 @@ class LibraryEncoder:
         for at in range(0, len(todo), 4096):
             part = todo[at : at + 4096]
             texts = [p if p[:1] == "\n" else " " + p for p in part]
-            ids = np.array(self.tokenizer.encode("".join(texts), add_special_tokens=False).ids, self.kind)
+            whole = self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0]
+            ids = np.array(whole.ids, self.kind)
             first = np.flatnonzero(self.starts[ids])
             if len(first) == len(part):
                 data, ends = ids.tobytes(), [*(first[1:] * self.kind.itemsize).tolist(), len(ids) * self.kind.itemsize]
@@ -90,10 +91,8 @@ class LibraryEncoder:
                     start = end
             else:
                 new.update((p, self.encode(t)) for p, t in zip(part, texts, strict=True))
-        for core in marked:
-            for mark, ids in self.marks.items():
-                if core + mark in pieces:
-                    new[core + mark] = new[core] + ids
+        for p in marked:
+            new[p] = new[p[:-1]] + self.marks[p[-1]]
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of the texts; memos are looked up once, what is missing is learnt and filled in."""
@@ -134,7 +133,7 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
     hash; an empty table gives a store without blocks; other columns are ignored.
 
     Scale: texts are range-partitioned by id once and encoded where they lie; the
-    ids are written once to the shared folder and read twice (counts, blocks). The
+    ids are written once to the shared folder, with each task's counts, and read once. The
     driver gets one number per partition and one count per vocabulary entry. A
     block holds whole documents of about ``BLOCK_IDS`` ids.
     """
@@ -147,17 +146,24 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, at = kept_encoder(shared.value), 0
-        end = tail.astype(enc.kind).tobytes()
+        end, counts = tail.astype(enc.kind).tobytes(), np.zeros(1 << 16, np.int64)
         for whole in batches:
             for b in slices(whole, "text"):
                 ids = [x + end for x in enc.batch(b.column("text").to_pylist())]
                 n = np.fromiter(map(len, ids), np.int64, len(ids)) // enc.kind.itemsize
                 begin = at + np.cumsum(n) - n
                 at += int(n.sum())
-                yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("doc_id"), pa.array(begin), pa.array(n), pa.array(ids, pa.binary())], ["shard", "doc_id", "begin", "n", "ids"])
-
+                c = np.bincount(np.frombuffer(b"".join(ids), enc.kind), minlength=len(counts))
+                counts = c + np.pad(counts, (0, len(c) - len(counts)))
+                yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("doc_id"), pa.array(begin), pa.array(n), pa.array(ids, pa.binary())], names)
+        # the task's counts as a row of their own, behind its documents
+        own = [pa.array([-1], pa.int32()), pa.nulls(1, id_type(kind)), pa.array([-1]), pa.array([0]), pa.array([counts.astype("<i8").tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(own, names)
+
+    names = ["shard", "doc_id", "begin", "n", "ids"]
     kind = own.schema["doc_id"].dataType.simpleString()
-    ids = written(parted.mapInArrow(encode, f"shard int, doc_id {kind}, begin bigint, n bigint, ids binary"), "ids", compression="zstd")
+    table = written(parted.mapInArrow(encode, f"shard int, doc_id {kind}, begin bigint, n bigint, ids binary"), "ids", compression="zstd")
+    ids = table.filter("shard >= 0")
     sums = ids.groupBy("shard").agg(F.sum("n").alias("n"), F.sum(F.length("ids")).alias("bytes")).orderBy("shard").collect()
     width = np.dtype("<u2" if not sums or sum(r["bytes"] for r in sums) == 2 * sum(r["n"] for r in sums) else "<u4")
     first, total = {}, 0
@@ -166,17 +172,14 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
         total += r["n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1, np.int64)
         for b in batches:
             for x in b.column("ids"):
-                c = np.bincount(np.frombuffer(x.as_buffer(), width))
-                if len(c) > len(counts):
-                    counts = np.pad(counts, (0, len(c) - len(counts)))
-                counts[: len(c)] += c
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], ["id", "n"])
-
-    counted = {r["id"]: r["n"] for r in ids.select("ids").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()}
+                counts = np.frombuffer(x.as_buffer(), "<i8")
+                some = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], ["id", "n"])
+
+    each = table.filter("shard < 0").select("ids").mapInArrow(count, "id int, n bigint")
+    counted = {r["id"]: r["n"] for r in each.groupBy("id").agg(F.sum("n").alias("n")).collect()}
     counts = np.zeros(max(counted, default=0) + 1, np.int64)
     counts[list(counted)] = list(counted.values())
     lengths = code_lengths(counts, max(CODE_BITS, int(len(counted)).bit_length()))
