@@ -28,6 +28,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of a word's prefixes that count as tokens beside the word: inflected
 #: and compound forms that no training text holds back off to them.
 PREFIXES = range(3, 9)
+#: Words in each generation of a worker's memo.
+MEMO = 150_000
 #: Evidence beyond this counts as this: what is certain need not pull the fit.
 SATURATED = 15.0
 
@@ -89,7 +91,7 @@ class Scorer:
     """Scores texts; a worker keeps one."""
 
     def __init__(self, model: Model):
-        self.model, self.scores = model, Memo(model.word_score)
+        self.model, self.scores = model, Memo(model.word_score, MEMO)
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """Words of the text, and its segments in words."""
@@ -219,7 +221,7 @@ def corpus_counts(texts: DataFrame, tokens: list[str]) -> tuple[dict[str, int],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        which = Memo(lambda w: [index[t] for t in word_tokens(w.lower()) if t in index])
+        which = Memo(lambda w: [index[t] for t in word_tokens(w.lower()) if t in index], MEMO)
         counts, total = Counter(), 0
         for b in batches:
             for t in b.column("text").to_pylist():
