@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 import string
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -38,6 +42,11 @@ class Templates:
         self.first = min((n for *_, n in self.all), default=1) * least / (2 - least)
         self.last = max((n for *_, n in self.all), default=0) * (2 - least) / least
         self.known = {g for _, b, _ in self.all for g in b}
+        #: Bigram to the templates that hold it (by their place in ``all``).
+        self.holders: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for t, (_, b, _) in enumerate(self.all):
+            for g in b:
+                self.holders[g].append(t)
 
     def match(self, ws: list[str]) -> list[tuple[str, float]]:
         """(licence, Dice) of the licence with the highest Dice, if that is ``least`` or more; several if they tie."""
@@ -57,11 +66,88 @@ class Templates:
         return sorted((name, d) for name, d in best.items() if d == max(best.values()))
 
 
-def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    def windows(self, ws: list[str]) -> list[tuple[str, float, int, int]]:
+        """(licence, Dice, first word, last word) of the runs of words that are most like a template.
+
+        Of all runs with a Dice of ``least`` or more the highest goes first (then the longest,
+        then the first); runs that share a word with one before go, but for licences
+        that tie on the same run.
+        """
+        grams = list(zip(ws, ws[1:], strict=False))
+        hits = [i for i, g in enumerate(grams) if g in self.known]
+        places: dict[int, list[int]] = defaultdict(list)
+        for i in hits:
+            for t in self.holders[grams[i]]:
+                places[t].append(i)
+        heap, searches = [], {}
+        for t, at in places.items():
+            search = Search(at, grams, *self.all[t][1:], self.least)
+            for k in search.starts:
+                if found := search.best(k, len(ws)):
+                    heap.append((-found[0], at[k] - found[1], at[k], self.all[t][0], t, k))
+                    searches[t] = search
+        heapq.heapify(heap)
+        firsts: list[int] = []
+        lasts: list[int] = []
+        best, out = {}, []
+        while heap:
+            d, less, a, name, t, k = heapq.heappop(heap)
+            b = a - less
+            i = bisect_right(firsts, a)
+            if i and lasts[i - 1] >= a:
+                if best.get(a) == (d, b):
+                    out.append((name, -d, a, b))
+            elif i < len(firsts) and firsts[i] <= b:  # the run's end is gone: the best shorter one
+                if found := searches[t].best(k, firsts[i]):
+                    heapq.heappush(heap, (-found[0], a - found[1], a, name, t, k))
+            else:
+                firsts.insert(i, a)
+                lasts.insert(i, b)
+                best[a] = (d, b)
+                out.append((name, -d, a, b))
+        return out
+
+
+class Search:
+    """Runs of a text's words that are like one template.
+
+    ``at`` has the places of the template's bigrams in the text. The best run from
+    a word starts and ends with such a bigram, and within its size bounds lie
+    at least ``need`` of them; other starts are never tried.
+    """
+
+    def __init__(self, at: list[int], grams: list[tuple[str, str]], template: Counter, size: int, least: float):
+        self.size, self.least = size, least
+        need, self.most = math.ceil(size * least / (2 - least) - 1e-9), math.floor(size * (2 - least) / least + 1e-9)
+        self.starts = [k for k in range(len(at) - need + 1) if at[k + need - 1] - at[k] < self.most]
+        if not self.starts:
+            return
+        # a bigram counts in runs that start after ``before``: there it is not yet as often as in the template
+        seen: dict[tuple[str, str], list[int]] = defaultdict(list)
+        before = []
+        for i in at:
+            g = grams[i]
+            own = seen[g]
+            before.append(own[-template[g]] if len(own) >= template[g] else -1)
+            own.append(i)
+        self.at, self.before = np.array(at), np.array(before)
+
+    def best(self, k: int, end: int) -> tuple[float, int] | None:
+        """Dice and last word of the best run (the longest of equals) from the ``k``-th place that ends before word ``end``."""
+        first = int(self.at[k])
+        stop = bisect_left(self.at, min(first + self.most, end - 1))
+        if stop <= k:
+            return None
+        inside = self.at[k:stop]
+        dice = 2 * np.cumsum(self.before[k:stop] < first) / (inside - first + 1 + self.size)
+        i = len(dice) - 1 - int(dice[::-1].argmax())
+        return (float(dice[i]), int(inside[i]) + 1) if dice[i] >= self.least else None
+
+
+def units(lines: list[list[str]]) -> Iterator[tuple[int, int, list[str]]]:
     """(first line, last line, words) of each line, each paragraph of several lines, and
     the whole text where it has several paragraphs; lines count from 1, blank ones part paragraphs."""
     every, parts, first = [], [], 0
-    lines = [normalised(x) for x in text.split("\n")]
     for i, ws in enumerate([*lines, []], 1):
         if ws:
             yield i, i, ws
@@ -76,39 +162,52 @@ def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
         yield every[0][0], every[-1][1], [w for ws in lines for w in ws]
 
 
-def find(text: str | None, templates: Templates) -> list[tuple[str, float, int, int]]:
-    """(licence, Dice, first line, last line): per licence the best unit (then the first, then the shortest)."""
+def find(text: str | None, templates: Templates, runs: bool = False) -> list[tuple[str, float, int, int]]:
+    """(licence, Dice, first line, last line): per licence the best unit (then the first, then
+    the shortest); with ``runs``, where no unit is like it, the best run of words."""
     best: dict[str, tuple] = {}
-    for first, last, ws in units(text or ""):
+    lines = [normalised(x) for x in (text or "").split("\n")]
+    for first, last, ws in units(lines):
         for name, dice in templates.match(ws):
             key = (-dice, first, last)
             if name not in best or key < best[name]:
                 best[name] = key
-    return [(name, -d, a, b) for name, (d, a, b) in sorted(best.items())]
+    by_run: dict[str, tuple] = {}
+    starts = np.cumsum([0, *map(len, lines)])
+    for name, dice, a, b in templates.windows([w for ws in lines for w in ws]) if runs else []:
+        if name not in best and name not in by_run:
+            first, last = np.searchsorted(starts, [a, b], "right").tolist()
+            by_run[name] = (-dice, first, last)
+    return [(name, -d, a, b) for name, (d, a, b) in sorted((best | by_run).items())]
 
 
 def licenses(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: dict[str, list[str]] = TEMPLATES, least: float = LEAST
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: dict[str, list[str]] = TEMPLATES, least: float = LEAST,
+    runs: bool = False,
 ) -> DataFrame:
     """One row per document row and licence found: ``doc_id, license, dice, first_line, last_line``.
 
     Every line, paragraph and whole text is compared (bigrams with their
     counts) and goes to the licence that it is most like; a licence is reported
-    with its best unit. ``texts``: licence to its
-    versions.
+    with its best unit. With ``runs`` a licence that no unit is like, such as a header of
+    several paragraphs before code, or a notice within a line, is reported with the
+    best run of words anywhere in the text (``Templates.windows``) and the lines that
+    it touches. ``texts``: licence to its versions.
 
     Defined cases: null, empty and one-word texts have no licence; null and
     repeated ids get rows per input row; an empty table or no templates give no
     rows; other columns are ignored.
 
-    Scale: one narrow pass. The templates, shipped with the task, are a fixed list.
+    Scale: one narrow pass. The templates, shipped with the task, are a fixed list. Runs
+    are searched only from places with enough of a template's bigrams near by, each
+    in time linear in the template.
     """
     own = picked(docs, doc_id=id_col, text=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(texts, least)
         for b in batches:
-            rows = [(d, *m) for d, t in zip(b.column("doc_id"), b.column("text"), strict=True) for m in find(t.as_py(), templates)]
+            rows = [(d, *m) for d, t in zip(b.column("doc_id"), b.column("text"), strict=True) for m in find(t.as_py(), templates, runs)]
             cols = list(zip(*rows, strict=True)) or [()] * 5
             kinds = [b.schema.field("doc_id").type, pa.string(), pa.float64(), pa.int32(), pa.int32()]
             ids = pa.array([d.as_py() for d in cols[0]], kinds[0])

@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.licenses(table(spark, sf_dir, "documents"))
+    return licenses.licenses(table(spark, sf_dir, "documents"), runs=True)
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import string
+import textwrap
 
 from tenure.llm.license_texts import TEMPLATES
 from tenure.llm.licenses import LEAST, Templates, find, licenses
@@ -85,5 +86,74 @@ def test_edges_and_planted(spark):
     assert licenses(frame(spark, rows), texts={}).count() == 0
 
 
+def every_run(text, texts):
+    """All runs of words against all templates: the highest Dice first, then the longest, none that shares words with one before."""
+    ws = words(text)
+    found = []
+    for a in range(len(ws)):
+        for b in range(a + 1, len(ws)):
+            found += [(-s, a, b, name) for name, vs in texts.items() if (s := max(dice(ws[a : b + 1], words(v)) for v in vs)) >= LEAST]
+    taken, out = [], []
+    for s, a, b, name in sorted(found, key=lambda x: (x[0], x[1] - x[2], x[1], x[3])):
+        if (s, a, b) in taken or not any(a <= y and x <= b for _, x, y in taken):
+            taken.append((s, a, b))
+            out.append((name, -s, a, b))
+    return out
+
+
+def test_runs_against_all_runs():
+    rnd = random.Random(3)
+    texts = {"a": ["p q r s p q t", "u v w"], "b": ["p q r s p q x", "q p q p q"], "c": ["r s t u v w x p"]}
+    t = Templates(texts, LEAST)
+    some = 0
+    for _ in range(400):
+        ws = []
+        while len(ws) < 30:
+            ws += rnd.choice([rnd.choices("pqrstuvwxyz", k=3), rnd.choice(rnd.choice(list(texts.values()))).split()])
+            if rnd.random() < 0.4:
+                ws[rnd.randrange(len(ws))] = rnd.choice("pqrsz")
+        got = t.windows(ws)
+        assert sorted(got) == sorted(every_run(" ".join(ws), texts))
+        some += len(got)
+    assert some > 400
+
+
+def prose(rnd):
+    return "\n".join(" ".join("".join(rnd.choices("abcdefgh", k=4)) for _ in range(9)) for _ in range(60))
+
+
+def between_prose(rnd):
+    """(licences, first line, last line, text): each template, unwrapped and wrapped, between long prose."""
+    for versions in TEMPLATES.values():
+        for v in versions:
+            alike = [n for n, vs in TEMPLATES.items() if any(words(x) == words(v) for x in vs)]
+            for own in (v, "\n\n".join(textwrap.fill(p, 72) for p in v.split("\n\n"))):
+                for part in ("\n\n", "\n"):
+                    first = 60 + len(part)
+                    yield alike, first, first + own.count("\n"), prose(rnd) + part + own + part + prose(rnd)
+
+
+def test_licences_between_long_texts():
+    rnd, t = random.Random(4), Templates(TEMPLATES, LEAST)
+    for alike, first, last, text in between_prose(rnd):
+        assert [x[:2] for x in t.windows(words(text))] == [(n, 1.0) for n in alike]
+        units = find(text, t)
+        assert find(text, t, runs=True) == (units or [(n, 1.0, first, last) for n in alike])
+        assert [x[0] for x in units] in ([], alike)
+    for name, versions in TEMPLATES.items():
+        for v in versions:
+            got = find("some words " + " ".join(v.split()) + " and others", t, runs=True)
+            assert name in [x[0] for x in got] and all(x[2:] == (1, 1) for x in got)
+    both = find("\n".join([prose(rnd), TEMPLATES["MIT"][0], prose(rnd), TEMPLATES["GPL-3.0"][0], prose(rnd)]), t, runs=True)
+    assert [x[:2] for x in both] == [("GPL-3.0", 1.0), ("MIT", 1.0)]
+
+
+def test_query_finds_licences_between_long_texts(spark, tmp_path):
+    rows = [(k, x) for k, x in enumerate(between_prose(random.Random(5)))]
+    spark.createDataFrame([(k, x[3]) for k, x in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.license) for r in op1_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {(k, n) for k, x in rows for n in x[0]}
+
+
 def test_query(spark):
     same(rows_of(op1_license_scan(spark, SF)), want_of([r[:2] for r in documents()]))
