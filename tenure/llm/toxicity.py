@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,9 +125,9 @@ def train(
 ) -> Model:
     """Fit the model on at most ``max_labelled`` labelled rows (least id hashes first).
 
-    ``usable`` is a condition on the labels' id column. In toxic rows a word
-    counts once per context (the words beside it), so copies of a passage count
-    once. The Dirichlet prior of all tokens is worth ``prior_words`` words (at most a
+    ``usable`` is a condition on the labels' id column. A word counts once
+    per document that holds it, on both sides and in the whole corpus, so a passage
+    that many documents hold counts as often. The Dirichlet prior of all tokens is worth ``prior_words`` words (at most a
     tenth of those in other labelled texts), shared out by its frequency in the whole corpus. Tokens with a z-score under
     ``min_z`` or log-odds under ``min_odds`` are left to the rest. Null ids, texts and labels, and labels without
     a document, are not used; of several labels of an id the largest counts.
@@ -152,22 +151,16 @@ def train(
     if not n_toxic or n_toxic == n_all:
         return flat
 
-    def toxic_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen = set()
-            for t in b.column("text").to_pylist():
-                ws = ["", *map(str.lower, _WORD.findall(t)), ""]
-                seen.update((w, xxhash.xxh64_intdigest(f"{a} {w} {c}") >> 1) for a, w, c in zip(ws, ws[1:], ws[2:], strict=False))
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in seen], pa.string()), pa.array([c for _, c in seen], pa.int64())], ["word", "context"])
+            count = Counter(w for t in b.column("text").to_pylist() for w in {x.lower() for x in _WORD.findall(t)})
+            yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], ["word", "n"])
 
-    def other_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            count = Counter(w.lower() for t in b.column("text").to_pylist() for w in _WORD.findall(t))
-            yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], ["word", "other"])
+    def held(label: int, n: str) -> DataFrame:
+        words = rows.filter(F.col("toxic") == label).select("text").mapInArrow(words_held, "word string, n bigint")
+        return written(words.groupBy("word").agg(F.sum("n").alias(n)), f"{n}_words")
 
-    toxic = rows.filter("toxic = 1").select("text").mapInArrow(toxic_words, "word string, context bigint").distinct()
-    toxic = written(toxic.groupBy("word").agg(F.count("*").alias("seen")), "toxic_words")
-    other = written(rows.filter("toxic = 0").select("text").mapInArrow(other_words, "word string, other bigint").groupBy("word").agg(F.sum("other").alias("other")), "other_words")
+    toxic, other = held(1, "seen"), held(0, "other")
     n_t, n_o = (float(df.agg(F.sum(c)).first()[0] or 0) for df, c in ((toxic, "seen"), (other, "other")))
     candidates = (
         _counted(toxic, "seen")
@@ -215,17 +208,17 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> tuple[float,
 
 
 def corpus_counts(texts: DataFrame, tokens: list[str]) -> tuple[dict[str, int], int]:
-    """How often words with each of ``tokens`` occur in all texts, and all words."""
+    """How many (text, word of it) pairs hold each of ``tokens``, and all such pairs."""
     index = {t: i for i, t in enumerate(tokens)}
     shared = texts.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        which = Memo(lambda w: [index[t] for t in word_tokens(w.lower()) if t in index], MEMO)
+        which = Memo(lambda w: [index[t] for t in word_tokens(w) if t in index], MEMO)
         counts, total = Counter(), 0
         for b in batches:
             for t in b.column("text").to_pylist():
-                ws = _WORD.findall(t or "")
+                ws = {w.lower() for w in _WORD.findall(t or "")}
                 total += len(ws)
                 for hit in filter(None, map(which.__getitem__, ws)):
                     counts.update(hit)

@@ -82,6 +82,19 @@ def test_only_usable_labels_teach(spark):
     assert a == b
 
 
+def test_passage_that_many_documents_hold(spark):
+    rnd = random.Random(6)
+    passage = "murk vorn dask yelt brun zoph kwil"  # no word twice, no shared prefix
+    plain = ["".join(rnd.choices("abcdefghijklmnop", k=5)) for _ in range(300)]
+    rows = [(i, " ".join([*rnd.choices(plain, k=60), *([passage] if i % 8 == 0 else []), *rnd.choices(plain, k=60)])) for i in range(1000)]
+    labels = [(i, int(i % 8 == 0)) for i, _ in rows if i < 800]  # a hundred copies are labelled, those from 800 on are held out
+    docs, labels = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert set(passage.split()) <= model.tokens.keys()
+    kept = {r.doc_id for r in toxicity.without_toxic(docs, labels).collect()}
+    assert kept == {i for i, _ in rows if i % 8}
+
+
 def test_edges(spark):
     rows, labels = corpus(spark)
     ls = spark.createDataFrame([*labels, (None, 1), (0, None), (3, 7), (99999, 1), (5, 0), (5, 0)], "doc_id long, toxic int")
