@@ -129,4 +129,51 @@ FROM best JOIN u USING (u_id)
 QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, first_line, last_line) = 1
 """
 
-ORACLES = {"op1_license_scan": OP1, "op5_line_dedup": OP5, "op10_quality": OP10}
+OP11 = """
+WITH label AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), doc AS (
+  SELECT d.doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents AS d LEFT JOIN label USING (doc_id)
+), failing AS (
+  SELECT part, good, toxic,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM doc
+), mask AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY ALL
+), letter AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), hit AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS here, fails = f AS alone,
+         translate(fails, before, '') = fails AS reached
+  FROM steps, mask
+), step_rows AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+         coalesce(sum(n) FILTER (WHERE reached AND NOT here), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE reached AND here), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE here AND NOT reached), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE alone), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE reached AND here), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE reached AND here), 0) AS toxic_lost
+  FROM hit GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM step_rows
+"""
+
+ORACLES = {"op1_license_scan": OP1, "op5_line_dedup": OP5, "op10_quality": OP10, "op11_filter_audit": OP11}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm import bpe, fingerprints, licenses, line_dedup, mixing, quality, secrets, simhash, token_store, toxicity
+from tenure.llm import bpe, filter_audit, fingerprints, licenses, line_dedup, mixing, quality, secrets, simhash, token_store, toxicity, whitening
 from tenure.llm.common import shared_path
 
 
@@ -66,10 +66,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = filter_audit.text_failures(table(spark, sf_dir, "documents"))
+    lost = filter_audit.with_losses(docs, table(spark, sf_dir, "labels"), good_lost="quality", toxic_lost="toxic")
+    return filter_audit.audit(lost, filters="ABCDE", part_col="lang", losses=("good_lost", "toxic_lost"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), most=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_byte_bpe, op3_token_store, op4_simhash, op5_line_dedup,
         op6_fingerprints, op7_secrets, op8_mixing, op9_toxicity, op10_quality,
+        op11_filter_audit, op13_whitening,
     )
 }
