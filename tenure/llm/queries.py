@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm import bpe, filter_audit, fingerprints, licenses, line_dedup, mixing, quality, secrets, simhash, token_store, toxicity, whitening
+from tenure.llm import bpe, filter_audit, fingerprints, licenses, line_dedup, mixing, quality, repeats, secrets, simhash, token_store, toxicity, whitening
 from tenure.llm.common import shared_path
 
 
@@ -72,6 +72,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(lost, filters="ABCDE", part_col="lang", losses=("good_lost", "toxic_lost"))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"), most=8)
 
@@ -81,6 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_license_scan, op2_byte_bpe, op3_token_store, op4_simhash, op5_line_dedup,
         op6_fingerprints, op7_secrets, op8_mixing, op9_toxicity, op10_quality,
-        op11_filter_audit, op13_whitening,
+        op11_filter_audit, op12_repeats, op13_whitening,
     )
 }
