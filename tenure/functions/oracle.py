@@ -119,6 +119,11 @@ def to_number(c: ColumnOrName, dtype: str = "decimal(38,10)", on_error: str = "f
     return F.when(c.isNotNull(), F.coalesce(n, bad))
 
 
+def to_date(c: ColumnOrName, fmt: str | None = None) -> Column:
+    """``to_date(text, fmt)`` (B11): a Spark date pattern, by default ISO; NULL where the text is no such date."""
+    return F.try_to_date(col(c)) if fmt is None else F.try_to_date(col(c), fmt)
+
+
 def date_text(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
     """``to_char(date, fmt)``."""
     return F.date_format(col(c), fmt)

@@ -13,17 +13,20 @@ Plan shapes (all single-pass, no correlated re-scans):
   pass runs before the shuffle, so only the winning rows of each map
   partition travel, and a key holding a third of the rows is cut down on the
   map side. One shuffle on the key.
-* ``asof_join`` (as-of date taken from the driving row): union of both sides
-  sorted by (key, date) and a ``last(..., ignorenulls)`` carry-forward window.
-  Linear per key; it never forms the (driving row x history row) pairs a
-  range join would.
+* ``asof_join`` (as-of date taken from the driving row, any number of dates at
+  once): both sides are reduced to one row per key and day, a running maximum
+  carries the last history day forward, and equi-joins on (key, day) fetch the rows.
+  It never forms the (driving row x history row) pairs a range join would, and
+  no task holds all rows of a key.
+* ``versions`` / ``counts_over_time``: history as intervals, and how many of
+  them hold from which day on (a running sum of starts and ends), for head
+  counts at any number of dates.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -148,6 +151,61 @@ def same_day_warning(effdt: Column | str, cur_effdt: Column | str, extra: Column
     return F.when(cond, F.concat(F.lit(message), F.date_format(col(cur_effdt), "yyyy-MM-dd")))
 
 
+def asof_dates(points: DataFrame, history: DataFrame, on: Sequence[str], date: str, effdt: str,
+               history_on: Sequence[str] | None = None) -> DataFrame:
+    """``__k0.., __d, __m``: per distinct (key, day) of ``points`` the last day of ``history`` up to it.
+
+    Points and history are first reduced to one row per key and day (map-side
+    partial aggregates), so however many rows a key has, its timeline has one row per
+    calendar day at most; the running maximum over it carries the day forward.
+    """
+    names = [f"__k{i}" for i in range(len(on))]
+    p = points.select(*[F.col(c).alias(n) for c, n in zip(on, names)], F.col(date).cast("date").alias("__d"), F.lit(True).alias("__p"))
+    h = history.select(*[F.col(c).alias(n) for c, n in zip(history_on or on, names)], F.col(effdt).cast("date").alias("__d"),
+                       F.lit(False).alias("__p"))
+    days = p.unionByName(h).dropna(subset=[*names, "__d"]).groupBy(*names, "__d").agg(
+        F.bool_or("__p").alias("__p"), F.bool_or(~F.col("__p")).alias("__h"))
+    w = Window.partitionBy(*names).orderBy("__d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = days.withColumn("__m", F.max(F.when(F.col("__h"), F.col("__d"))).over(w))
+    return days.filter(F.col("__p") & F.col("__m").isNotNull()).select(*names, "__d", "__m")
+
+
+def day_rows(df: DataFrame, keys, effdt: str = "effdt", effseq: str | None = None, ties: str = "keep") -> DataFrame:
+    """The rows that hold at the end of each day of a key: those of the day's greatest ``effseq``.
+
+    ``ties='any'``: one of them, the greatest by its columns.
+    """
+    keys = _keys(keys)
+    if ties == "any":
+        rest = [c for c in df.columns if c not in [*keys, effdt]]
+        best = F.max(F.struct(*([effseq] if effseq else []), *[c for c in rest if c != effseq]))
+        return df.groupBy(*keys, effdt).agg(best.alias("__b")).select(*[F.col("__b")[c].alias(c) if c in rest else F.col(c) for c in df.columns])
+    return asof_rows(df, [*keys, effdt], effseq) if effseq else df
+
+
+def versions(df: DataFrame, keys, effdt: str = "effdt", effseq: str | None = None, valid_to: str = "valid_to") -> DataFrame:
+    """History as intervals: each day's rows hold from ``effdt`` up to, not on, ``valid_to`` (NULL: still)."""
+    keys = _keys(keys)
+    days = day_rows(df.dropna(subset=[*keys, effdt]), keys, effdt, effseq)
+    # in descending order the days before a row's are the later ones; rows of one day share the frame
+    later = Window.partitionBy(*keys).orderBy(F.unix_date(effdt).desc()).rangeBetween(Window.unboundedPreceding, -1)
+    return days.withColumn(valid_to, F.min(effdt).over(later))
+
+
+def counts_over_time(intervals: DataFrame, key: str, effdt: str = "effdt", valid_to: str = "valid_to",
+                     name: str = "head_count") -> DataFrame:
+    """``key, effdt, <name>``: how many intervals of a key hold, from each day on which that changes.
+
+    Starts and ends are summed per key and day before the shuffle, so a key with a
+    third of the rows is one row per day.
+    """
+    ends = F.array(F.struct(F.col(effdt).alias("day"), F.lit(1).alias("n")), F.struct(F.col(valid_to).alias("day"), F.lit(-1).alias("n")))
+    e = intervals.filter(F.col(key).isNotNull()).select(key, F.inline(ends)).filter(F.col("day").isNotNull())
+    e = e.groupBy(key, "day").agg(F.sum("n").alias("n")).filter(F.col("n") != 0)
+    w = Window.partitionBy(key).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return e.select(key, F.col("day").alias(effdt), F.sum("n").over(w).alias(name))
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -157,50 +215,32 @@ def asof_join(
     right_effseq: str | None = None,
     right_cols: Sequence[str] | None = None,
     prefix: str = "",
+    ties: str = "any",
+    how: str = "left",
+    right_on: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """For each left row, the right row in force at the left row's own date (D3).
 
-    Left outer: left rows with no right row at or before their date get NULLs.
-    ``right_cols`` are carried over (renamed with ``prefix``); the matched
-    right ``effdt``/``effseq`` are returned as ``{prefix}{right_effdt}`` etc.
-    Implemented as union + carry-forward window partitioned by the key, so the
-    work is linear in the rows of each key.
+    Left outer by default: left rows with no right row at or before their date get
+    NULLs; a NULL key or date matches nothing. ``right_cols`` are carried over
+    (renamed with ``prefix``); the matched right ``effdt``/``effseq`` are returned as
+    ``{prefix}{right_effdt}`` etc. ``ties='keep'`` returns every right row of the
+    winning day and ``effseq``, ``'any'`` the greatest of them.
+
+    Scale: the dates are matched on one row per key and day (``asof_dates``), then the
+    rows follow by equi-joins on (key, day), which spread a hot key over its days and
+    which AQE splits further; the work is linear in the rows, whatever the number of
+    dates, and no task holds a key's history.
     """
-    keys = _keys(on)
-    order = [right_effdt] + ([right_effseq] if right_effseq else [])
-    carry = list(dict.fromkeys(list(right_cols or []) + order))
-    payload = F.struct(*[F.col(c).alias(c) for c in carry])
-
-    lcols = left.columns
-    # a NULL key or date equals nothing: such history rows are never in force, such
-    # driving rows match none and stay out of the window
-    right = right.dropna(subset=[*keys, right_effdt])
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, left_date]])
-    unmatched = left.filter(~known).select(
-        *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(prefix + c) for c in carry])
-    left = left.filter(known)
-    l = left.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col(left_date).cast("date").alias("__d"),
-        F.lit(1).alias("__side"),
-        F.struct(*[F.col(c) for c in lcols]).alias("__l"),
-    )
-    r = right.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col(right_effdt).cast("date").alias("__d"),
-        F.lit(0).alias("__side"),
-        payload.alias("__r"),
-    )
-    l = l.withColumn("__r", F.lit(None).cast(r.schema["__r"].dataType))
-    r = r.withColumn("__l", F.lit(None).cast(l.schema["__l"].dataType))
-    seq_order = [F.col("__r")[right_effseq].asc_nulls_first()] if right_effseq else []
-    w = (
-        Window.partitionBy(*[f"__k{i}" for i in range(len(keys))])
-        .orderBy(F.col("__d").asc_nulls_first(), F.col("__side"), *seq_order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    both = l.unionByName(r).withColumn("__m", F.last("__r", ignorenulls=True).over(w))
-    out = both.filter(F.col("__side") == 1)
-    sel = [F.col("__l")[c].alias(c) for c in lcols]
-    sel += [F.col("__m")[c].alias(prefix + c) for c in carry]
-    return out.select(*sel).union(unmatched)
+    keys, rkeys = _keys(on), _keys(right_on or on)
+    names = [f"__k{i}" for i in range(len(keys))]
+    carry = list(dict.fromkeys([*(right_cols or []), right_effdt, *([right_effseq] if right_effseq else [])]))
+    days = asof_dates(left, right, keys, left_date, right_effdt, rkeys)
+    r = right.dropna(subset=[*rkeys, right_effdt])
+    r = r.select(*[F.col(k).alias(n) for k, n in zip(rkeys, names)], F.col(right_effdt).cast("date").alias("__m"),
+                 *[F.col(c).alias(f"__r_{c}") for c in carry])
+    r = day_rows(r, names, "__m", f"__r_{right_effseq}" if right_effseq else None, ties)
+    found = days.join(r, [*names, "__m"])
+    met = [left[k] == found[n] for k, n in zip(keys, names)] + [left[left_date].cast("date") == found["__d"]]
+    out = left.join(found, met, how)
+    return out.select(*[left[c] for c in left.columns], *[F.col(f"__r_{c}").alias(prefix + c) for c in carry])

@@ -2,19 +2,18 @@
 
 Plan: parse the request lines (narrow; the header row of each paste is a
 one-row-per-paste frame joined by ``paste_id``, which AQE broadcasts from
-its runtime size) -> one as-of job frame and one as-of position frame at
-the run date, reused for the current values, the head counts and the
-match candidates -> override pick / proposed values / diffs (column
-expressions) -> per-slot counts as grouped aggregates joined back (partial
-aggregation, no unbounded window groups) -> best existing slot through
-``best_match`` (per-combination top-2 cut, then top-1 per request row) ->
-load strings, audits and the status.
+its runtime size) -> each request's job and slot in force at its paste's own
+date through ``asof_join``, whatever the number of dates (``valued``) ->
+override pick / proposed values / diffs (column expressions) -> per-slot
+counts as grouped aggregates joined back (``ranked``) -> best existing slot:
+slot versions as intervals, met with the distinct (date, new values) that are
+looked for, their head counts from one running sum per slot, then
+``best_match`` (``matched``) -> load strings, audits and the status
+(``finished``).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,13 +42,21 @@ def override_fields(new: str, cur: str) -> list[X.Field]:
     return [X.Field(label, new + c, cur + c, **layout.get(c, {})) for c, label in labels]
 
 
-def parse_requests(lines: DataFrame) -> DataFrame:
+NO_DATE = "!!Paste without a readable header date. Request not processed."
+
+
+def parse_requests(lines: DataFrame, date_format: str | None = None) -> DataFrame:
+    """Requests with their paste's header date and reason.
+
+    A header date that is missing or can't be read (by ``date_format``, else as an ISO
+    date) is NULL.
+    """
     rows = split_rows(lines, "text", ",", keep_tab=False)
     v = F.col("value")
     is_header = (F.col("line_no") == 0) & (F.col("row_pos") == 0)
     hdr = rows.filter(is_header).select(
         "paste_id",
-        F.to_date(clean_token(field_kept(v, 0))).alias("effdt"),
+        O.to_date(clean_token(field_kept(v, 0)), date_format).alias("effdt"),
         clean_token(field_kept(v, 1)).alias("action_reason"))
     req = rows.filter(~is_header)
     cols = [clean_token(field_kept(v, i)).alias(n) for i, n in enumerate(REQ_FIELDS)]
@@ -59,34 +66,44 @@ def parse_requests(lines: DataFrame) -> DataFrame:
     return req.join(hdr, "paste_id", "inner")
 
 
-def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFrame, now, run_date=None) -> DataFrame:
-    """Bulk position change, each paste as of the date in its header.
+def head_counts(job: DataFrame) -> DataFrame:
+    """``position_nbr, effdt, head_count``: active incumbents of each slot over time."""
+    held = D.versions(job, JOB_KEYS, "effdt", "effseq").filter(F.col("hr_status") == "A")
+    return cut_lineage(D.counts_over_time(held, "position_nbr"))
+
+
+def with_head_count(df: DataFrame, heads: DataFrame, slot: str, date: str, name: str) -> DataFrame:
+    """``df`` with the head count of its slot at its own date (0: none)."""
+    out = D.asof_join(df, heads, slot, date, "effdt", right_cols=["head_count"], prefix="__h_", right_on="position_nbr")
+    return out.withColumn(name, F.coalesce("__h_head_count", F.lit(0))).drop("__h_head_count", "__h_effdt")
+
 
-    The few distinct header dates come to the driver and each gets its own as-of
-    frames; ``run_date`` limits the run to the pastes of that date.
+def bulk_paf(lines: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFrame, now, date_format: str | None = None) -> DataFrame:
+    """Bulk position change, each paste as of the date in its header, all dates in one plan.
+
+    Requests of a paste without a readable date come back with ``NO_DATE`` as status.
     """
-    req = parse_requests(lines)
-    dates = [run_date] if run_date else [r[0] for r in req.select("effdt").distinct().orderBy("effdt").collect() if r[0]]
-    parts = [_for_date(req.filter(F.col("effdt") == F.lit(d).cast("date")), job, positions, dept, d, now) for d in dates or [now]]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _for_date(req: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFrame, run_date, now) -> DataFrame:
-    cur_job = D.active_asof(job, JOB_KEYS, "effdt", run_date, "effseq")
-    cur_pos = D.asof_rows(positions, "position_nbr", "effdt", run_date)
-    counts = M.headcount(cur_job)
-
-    b = cur_job.select(*JOB_KEYS, F.col("position_nbr").alias("cur_pos"), F.col("position_override").alias("cur_job_pos_override"),
-                       F.col("effdt").alias("cur_job_effdt"), F.col("effseq").alias("cur_job_effseq"),
-                       *[F.col(c).alias("b_" + c) for c in FIELDS])
-    p = cur_pos.select(F.col("position_nbr").alias("cur_pos"), *[F.col(c).alias("p_" + c) for c in FIELDS],
-                       F.col("full_part_time").alias("p_full_part_time"), F.col("include_title").alias("p_include_title"),
-                       F.col("max_head_count").alias("p_max_head_count"), F.col("update_incumbents").alias("p_update_incumbents"),
-                       F.col("manager_level").alias("p_manager_level"))
-    a = req.join(b, JOB_KEYS, "inner").join(p, "cur_pos", "inner")
-    a = D.newer_record_audit(a, job, JOB_KEYS, run_date=run_date, now=now, picked_effdt="cur_job_effdt")
-    a = M.with_headcount(a, counts.withColumnRenamed("position_nbr", "cur_pos")
-                         .withColumnRenamed("head_count", "cur_pos_head_count"), "cur_pos", "cur_pos_head_count")
+    req = parse_requests(lines, date_format)
+    heads = head_counts(job)
+    done = finished(matched(ranked(valued(req, job, positions, dept, heads, now)), positions, heads))
+    undated = req.filter(F.col("effdt").isNull()).select(
+        "paste_id", "line_no", "row_pos", "emplid", "empl_rcd", F.col("action_reason").alias("acn_rsn"), F.lit(NO_DATE).alias("status"))
+    return done.unionByName(undated, allowMissingColumns=True)
+
+
+def valued(req: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFrame, heads: DataFrame, now) -> DataFrame:
+    """Requests with current and proposed values, differences, audits and counts per slot; written once."""
+    ids = req.filter(F.col("effdt").isNotNull()).select(*JOB_KEYS).distinct()
+    asked = job.join(ids, JOB_KEYS, "left_semi")
+    own = ["position_nbr", "position_override", "hr_status", *FIELDS]
+    a = D.asof_join(req, asked, JOB_KEYS, "effdt", "effdt", "effseq", right_cols=own, prefix="b_", ties="keep", how="inner")
+    a = a.filter(F.col("b_hr_status") == "A").drop("b_hr_status").withColumnsRenamed(
+        {"b_position_nbr": "cur_pos", "b_position_override": "cur_job_pos_override", "b_effdt": "cur_job_effdt", "b_effseq": "cur_job_effseq"})
+    extra = ["full_part_time", "include_title", "max_head_count", "update_incumbents", "manager_level"]
+    a = D.asof_join(a, positions, "cur_pos", "effdt", "effdt", right_cols=[*FIELDS, *extra], prefix="p_", ties="keep", how="inner",
+                    right_on="position_nbr").drop("p_effdt")
+    a = D.newer_record_audit(a, asked, JOB_KEYS, run_date=F.col("effdt"), now=now, picked_effdt="cur_job_effdt")
+    a = with_head_count(a, heads, "cur_pos", "effdt", "cur_pos_head_count")
 
     ov = F.col("cur_job_pos_override")
     cur = {c: O.decode(ov, {"Y": F.col("b_" + c)}, F.col("p_" + c)) for c in FIELDS}
@@ -138,10 +155,12 @@ def _for_date(req: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFr
     a = a.withColumn("future_key", O.cat(*[x for i, c in enumerate(key_cols + ["std_hours_new", "reports_to_new", "flsa_status_new"])
                                           for x in ((F.lit("|"),) if i else ()) + ((nt(c) if c == "std_hours_new" else F.col(c)),)]))
     a = a.withColumn("missing_head_count", F.col("cur_pos_head_count") - F.col("cur_incumbent_count"))
-    # the request frame feeds three grouped counts and the match: materialise it
-    # once in the shared checkpoint folder instead of recomputing its lineage
-    a = cut_lineage(a)
-    # G2/G3 as grouped aggregates joined back
+    # feeds three grouped counts and the match
+    return cut_lineage(a)
+
+
+def ranked(a: DataFrame) -> DataFrame:
+    """With the counts of equal future values per slot and who of them keeps it."""
     g2 = a.groupBy("paste_id", "cur_pos", "future_key").agg(F.count(F.lit(1)).alias("cur_incumbent_fut_matching"))
     g3 = a.groupBy("paste_id", "cur_pos").agg(
         F.sum(F.when(F.col("remaining_value_diff").isNull(), 0).otherwise(1)).alias("total_pos_remaining_value_diffs"))
@@ -150,29 +169,35 @@ def _for_date(req: DataFrame, job: DataFrame, positions: DataFrame, dept: DataFr
         Window.partitionBy("paste_id", "cur_pos").orderBy(F.col("cur_incumbent_fut_matching").desc(),
                                                           F.col("future_key").asc_nulls_last())))
     a = a.join(g4, ["paste_id", "cur_pos", "future_key"], "left").join(g3, ["paste_id", "cur_pos"])
-    a = a.withColumn("missing_head_count_fut_matching", F.col("cur_pos_head_count") - F.col("cur_incumbent_fut_matching"))
+    return a.withColumn("missing_head_count_fut_matching", F.col("cur_pos_head_count") - F.col("cur_incumbent_fut_matching"))
+
 
-    # best existing slot
-    pos = D.active_asof(positions, "position_nbr", "effdt", run_date, status_col="eff_status")
-    pos = M.with_headcount(pos, counts, "position_nbr")
+def matched(a: DataFrame, positions: DataFrame, heads: DataFrame) -> DataFrame:
+    """With the best existing slot for the proposed values at the request's date (E7, E8, C5) and its planned moves."""
     gate = F.col("remaining_value_diff").isNotNull() & (
         (F.col("missing_head_count") > 0) | ((F.col("missing_head_count") == 0) & (F.col("tfr_retain_one") > 1)))
+    # what is looked for, once per date and combination of values, met with the slots' intervals
+    want = a.filter(gate).select(F.col("effdt").alias("at"), *[F.col(c + "_new").alias("__w_" + c) for c in FIELDS]).distinct()
+    slots = D.versions(positions, "position_nbr", "effdt").filter((F.col("eff_status") == "A") & F.col("manager_level").isNotNull())
+    met = [slots[c] == want["__w_" + c] for c in FIELDS]
+    met += [slots["effdt"] <= want["at"], slots["valid_to"].isNull() | (want["at"] < slots["valid_to"])]
+    cand = want.join(slots, met).select("at", "position_nbr", "max_head_count", "manager_level", *[slots[c] for c in FIELDS])
+    cand = with_head_count(cand, heads, "position_nbr", "at", "head_count")
     a = M.best_match(
-        a, pos, on=[(c + "_new", c) for c in FIELDS],
+        a, cand, on=[("effdt", "at"), *[(c + "_new", c) for c in FIELDS]],
         order_by=[M.Sort("head_count", desc=True), M.Sort("max_head_count", desc=True), M.Sort("position_nbr")],
         left_id=["paste_id", "line_no", "row_pos"], right_cols=["position_nbr", "head_count", "max_head_count"],
         # a slot without a manager level is no candidate here
-        eligible=F.col("manager_level").isNotNull() & ((C.is_manager("manager_level") == 0) | (F.col("head_count") == 0)),
+        eligible=(C.is_manager("manager_level") == 0) | (F.col("head_count") == 0),
         exclude=("cur_pos", "position_nbr"), left_gate=gate,
-    ).withColumnRenamed("position_nbr", "tfr_pos").withColumnRenamed("head_count", "tfr_pos_head_count") \
-        .withColumnRenamed("max_head_count", "tfr_pos_max_head_count")
+    ).withColumnsRenamed({"position_nbr": "tfr_pos", "head_count": "tfr_pos_head_count", "max_head_count": "tfr_pos_max_head_count"})
     a = cut_lineage(a)
     moves = a.filter(F.col("tfr_pos").isNotNull()).groupBy("paste_id", "tfr_pos").agg(F.count(F.lit(1)).alias("tfr_moves"))
-    a = a.join(moves, ["paste_id", "tfr_pos"], "left")
-    return _finish(a)
+    return a.join(moves, ["paste_id", "tfr_pos"], "left")
 
 
-def _finish(a: DataFrame) -> DataFrame:
+def finished(a: DataFrame) -> DataFrame:
+    """Load strings, audits and status of matched requests."""
     diff = F.col("remaining_value_diff")
     mhf = F.col("missing_head_count_fut_matching")
     mh = F.col("missing_head_count")
@@ -225,9 +250,9 @@ def _finish(a: DataFrame) -> DataFrame:
     )
     full_move = F.when(F.col("total_pos_remaining_value_diffs") != 0, F.when(mhf == 0, "Yes").otherwise("No"))
     return a.select(
-        "paste_id", "line_no", "row_pos", "emplid", "empl_rcd", "cur_job_effdt", F.col("effdt").alias("new_effdt"),
+        "paste_id", "line_no", "row_pos", "emplid", "empl_rcd", "cur_job_effdt", "cur_job_effseq", F.col("effdt").alias("new_effdt"),
         F.col("action_reason").alias("acn_rsn"), status.alias("status"), full_move.alias("full_incumbent_move"),
-        "cur_pos", "tfr_pos", upd.alias("position_update_complete_exceltoci"), "remaining_value_diff",
+        "cur_company_proper", "override_remaining_values_diff", "cur_pos", "tfr_pos", upd.alias("position_update_complete_exceltoci"), "remaining_value_diff",
         create.alias("position_create_complete_exceltoci"), capacity.alias("audit_tfr_move_plus_cur_over_max"),
         move.alias("job_update_position_nbr_exceltoci"), "cur_job_pos_override",
         reverse.alias("job_update_override_position_exceltoci"),

@@ -155,12 +155,11 @@ def left_asof_drop_quirk(spark, sf):
 
 @query
 def asof_per_row(spark, sf):
-    """D3: the manager's record (empl_rcd 0) in force at each candidate's own hire date."""
+    """D3: the manager's records (every employment) in force at each candidate's own hire date."""
     cands = FX.candidates(spark, sf).select("req_num", "hire_dt", "manager_id")
-    job = FX.job(spark, sf).filter(F.col("empl_rcd") == 0).withColumnRenamed("emplid", "manager_id")
-    out = D.asof_join(cands, job, "manager_id", "hire_dt", "effdt", "effseq",
-                      right_cols=["position_nbr", "hr_status"], prefix="mgr_")
-    return out
+    cands = cands.withColumn("mgr_empl_rcd", F.explode(F.array(F.lit(0), F.lit(1))))
+    return D.asof_join(cands, FX.job(spark, sf), ["manager_id", "mgr_empl_rcd"], "hire_dt", "effdt", "effseq",
+                       right_cols=["position_nbr", "hr_status"], prefix="mgr_", right_on=JOB_KEYS)
 
 
 POS_FIELDS = ["business_unit", "deptid", "location", "jobcode", "company", "std_hours",
@@ -645,12 +644,25 @@ def bulk_paf(spark, sf):
                        FX.dept_tbl(spark, sf), NOW)
 
 
+@query
+def bulk_paf_dates(spark, sf):
+    """J1+D3: 200 pastes, each as of its own date, and one without a date, in one plan."""
+    return BP.bulk_paf(FX.bulk_lines_by_date(spark, sf), FX.job(spark, sf), FX.position_data(spark, sf),
+                       FX.dept_tbl(spark, sf), NOW)
+
+
+def _bulk_valued(spark, sf):
+    job = FX.job(spark, sf)
+    heads = BP.head_counts(job)
+    return heads, BP.valued(BP.parse_requests(FX.bulk_lines(spark, sf)), job, FX.position_data(spark, sf), FX.dept_tbl(spark, sf), heads, NOW)
+
+
 @query
 def retention_rank(spark, sf):
     """Which incumbents of a slot keep it, by the most frequent future values."""
-    t = bulk_paf(spark, sf)
-    return t.select("paste_id", "cur_pos", "emplid", "empl_rcd", "tfr_retain_one", "cur_incumbent_count",
-                    "missing_head_count", "total_pos_remaining_value_diffs")
+    t = BP.ranked(_bulk_valued(spark, sf)[1])
+    return t.select("paste_id", "cur_pos", "emplid", "empl_rcd", F.col("tfr_retain_one").cast("int").alias("tfr_retain_one"),
+                    "cur_incumbent_count", "missing_head_count", "total_pos_remaining_value_diffs")
 
 
 @query
@@ -659,14 +671,14 @@ def capacity_audit(spark, sf):
 
     A fitting vacant slot for every third request is added, so that moves occur.
     """
+    heads, valued = _bulk_valued(spark, sf)
     k = F.col("line_no")
-    made = bulk_paf(spark, sf).filter(k % 3 == 0).select(
+    made = valued.filter(k % 3 == 0).select(
         F.concat(F.lit("B"), F.lpad(k.cast("string"), 7, "0")).alias("position_nbr"), F.lit("1990-01-01").cast("date").alias("effdt"),
         F.lit("A").alias("eff_status"), *[F.col(c + "_new").alias(c) for c in POS_FIELDS if c != "std_hours"],
         F.col("std_hours_new").cast("decimal(6,2)").alias("std_hours"), (k % 4 + 1).cast("int").alias("max_head_count"),
         F.lit("9").alias("manager_level"))
     slots = FX.position_data(spark, sf).unionByName(made, allowMissingColumns=True)
-    t = BP.bulk_paf(FX.bulk_lines(spark, sf), FX.job(spark, sf), slots, FX.dept_tbl(spark, sf), NOW)
-    t = t.filter(F.col("tfr_pos").isNotNull())
+    t = BP.finished(BP.matched(BP.ranked(valued), slots, heads)).filter(F.col("tfr_pos").isNotNull())
     return t.select("paste_id", "tfr_pos", "status", F.col("audit_tfr_move_plus_cur_over_max").alias("audit"),
                     "job_update_position_nbr_exceltoci")

@@ -377,8 +377,8 @@ def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 BULK_HEADERS = ["1998-06-30|REORG", "1996-06-30|REALIGN"]
 
 
-def bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two bulk position-change requests: header line 0 (effdt|reason), one request line per customer.
+def _bulk_requests(spark: SparkSession, sf_dir: str, paste) -> DataFrame:
+    """One request line per customer in the paste numbered ``paste``.
 
     Request fields: emplid|empl_rcd|deptid|location|jobcode|std_hours|shift|mgr_position;
     an empty field keeps the current value.
@@ -395,9 +395,22 @@ def bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 0, F.lit("2")).otherwise(F.lit("")),
         F.lit(""),
     ]
-    lines = c.select(F.when(k % 5 == 0, 1).otherwise(0).cast("long").alias("paste_id"), (k + 1).alias("line_no"),
-                     F.concat_ws("|", *fields).alias("text"))
+    return c.select(paste(k).cast("long").alias("paste_id"), (k + 1).alias("line_no"), F.concat_ws("|", *fields).alias("text"))
+
+
+def bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bulk position-change requests: header line 0 (effdt|reason), one request line per customer."""
     header = spark.range(len(BULK_HEADERS)).select(
         F.col("id").alias("paste_id"), F.lit(0).cast("long").alias("line_no"),
         F.element_at(F.array(*[F.lit(h) for h in BULK_HEADERS]), (F.col("id") + 1).cast("int")).alias("text"))
-    return header.unionByName(lines)
+    return header.unionByName(_bulk_requests(spark, sf_dir, lambda k: F.when(k % 5 == 0, 1).otherwise(0)))
+
+
+def bulk_lines_by_date(spark: SparkSession, sf_dir: str, dates: int = 200) -> DataFrame:
+    """As ``bulk_lines``, with one paste for each of ``dates`` days and one whose date is missing."""
+    i = F.col("id")
+    day = F.date_add(F.lit("1995-01-15").cast("date"), (i * 11).cast("int")).cast("string")
+    header = spark.range(dates + 1).select(
+        i.alias("paste_id"), F.lit(0).cast("long").alias("line_no"),
+        F.concat(F.when(i < dates, day).otherwise(""), F.lit("|REORG"), i.cast("string")).alias("text"))
+    return header.unionByName(_bulk_requests(spark, sf_dir, lambda k: k % (dates + 1)))
