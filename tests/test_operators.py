@@ -131,22 +131,6 @@ def test_streaming_runs_batch_plan(spark, tmp_path):
     assert [r.emplid for r in seen] == ["000001"] and str(seen[0].amount).startswith("5.25")
 
 
-def test_similarity_pairs_match_brute_force(spark):
-    from tenure.functions.similarity import jaro_winkler, to_int
-    from tenure.operators.similarity import name_pairs
-
-    left = spark.createDataFrame([("shackleford",), ("martha",), ("dwayne",), ("x",)], "n string")
-    right = spark.createDataFrame([("shackelford",), ("marhta",), ("duane",), ("dixon",), ("xy",)], "n string")
-    got = {(r["__lname"], r["__rname"], r["similarity"]) for r in name_pairs(left, right, 80).collect()}
-    want = set()
-    for a in ["shackleford", "martha", "dwayne", "x"]:
-        for b in ["shackelford", "marhta", "duane", "dixon", "xy"]:
-            s = to_int(jaro_winkler(a, b))
-            if s > 80:
-                want.add((a, b, s))
-    assert got == want and ("shackleford", "shackelford", 98) in got
-
-
 def test_csv_source_roundtrip(spark, tmp_path):
     from tenure.sources.csv import read_csv_records
 
