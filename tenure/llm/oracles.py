@@ -42,11 +42,10 @@ WITH base AS (
          len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS nw
   FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line FROM base)
 ), held AS (
-  SELECT l.source, l.k, count(DISTINCT b.t) AS texts
-  FROM lines l JOIN base b ON l.doc_id = b.doc_id WHERE l.k <> '' GROUP BY ALL
+  SELECT source, k, count(DISTINCT doc_id) AS docs FROM lines WHERE k <> '' GROUP BY ALL
 ), per_line AS (
   SELECT l.doc_id, count(*) FILTER (WHERE l.k <> '') - count(DISTINCT l.line) FILTER (WHERE l.k <> '') AS n_dup_lines,
-         coalesce(sum(l.nw) FILTER (WHERE h.texts > 20), 0) AS removed_words
+         coalesce(sum(l.nw) FILTER (WHERE h.docs > 20), 0) AS removed_words
   FROM lines l LEFT JOIN held h ON l.source IS NOT DISTINCT FROM h.source AND l.k = h.k
   GROUP BY l.doc_id
 ), ws AS (

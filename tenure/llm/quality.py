@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenure.llm.common import SPACES, ascii_lower, let, words
+from tenure.llm.common import SPACES, ascii_lower, let, words, written
 
 SYMBOLS = "#*$%&|<>"
 
@@ -62,6 +62,26 @@ def duplicate_lines(text: Column) -> Column:
     )
 
 
+def hashed_lines(text: Column) -> Column:
+    """Per line with a word: hashes ``h1, h2`` of the normalised line (spaces stripped, A-Z
+    lower-cased), its words ``nw``, and whether it is the text's ``first`` of that hash, as an array."""
+
+    def hashed(key: Column) -> Column:
+        nw = F.regexp_count(key, F.lit(r"[\x20\x09-\x0D]+")) + 1
+        return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), key).alias("h2"), nw.alias("nw"))
+
+    def marked(lines: Column) -> Column:
+        def mark(x: Column, i: Column) -> Column:
+            last = F.get(lines, i - 1)
+            first = (i == 0) | (last["h1"] != x["h1"]) | (last["h2"] != x["h2"])
+            return F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"), x["nw"].alias("nw"), first.alias("first"))
+
+        return F.transform(lines, mark)
+
+    keys = F.filter(F.transform(F.split(text, "\n"), lambda ln: ascii_lower(F.btrim(ln, F.lit(SPACES)))), lambda k: k != "")
+    return let(F.sort_array(F.transform(keys, hashed)), marked)
+
+
 def quality(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -79,58 +99,54 @@ def quality(
     Base rules: fewer than ``min_words`` words, or more than
     ``max_repeat_percent`` % of the words in repeated windows, fails. Line
     frequency: lines (spaces stripped, A-Z lower-cased, hashed) that more than
-    ``max_line_docs`` distinct documents of one host hold are removed; a
-    document is depleted, and not kept, if under ``min_kept_percent`` % of its
-    words remain. Exact copies of a text are one document here: taking copies
-    out is the work of the dedup operators.
+    ``max_line_docs`` documents of one host hold are removed; a document is depleted,
+    and not kept, if under ``min_kept_percent`` % of its words remain. Each row is a
+    document, exact copies of a text too, and counts once for a line it repeats.
 
     Defined cases: a null text has no words; a null host is a host of its own;
     null and repeated ids get a row per input row; lines without a word are
     never counted; an empty table gives an empty table; other columns are
     ignored.
 
-    Scale: texts are never shuffled. The line count moves one (host, hash)
-    partial sum per map task and key, so a line found in a third of all
-    documents is no hot key; the join of removed lines is splittable by AQE.
+    Scale: texts are read once and never shuffled; their features and hashed lines are
+    written to the shared folder. The line count moves one (host, hash) partial sum
+    per map task and key, so a line found in a third of all documents is no hot
+    key; what is joined with it, and with a text's removed words, is a table of its own, so
+    AQE can split a hot line or text.
     """
     base = docs.select(
         docs[f"`{id_col}`"].alias("doc_id"),
         F.coalesce(docs[f"`{text_col}`"], F.lit("")).alias("text"),
         docs[f"`{host_col}`"].cast("string").alias("host"),
-    ).withColumn("th", F.xxhash64("text"))
-    feats = base.withColumn("ws", words(F.col("text"))).select(
+    )
+    texts = written(base.withColumn("ws", words(F.col("text"))).select(
         "doc_id",
         "host",
-        "th",
+        F.xxhash64("text").alias("th"),
         F.size("ws").cast("long").alias("n_words"),
         F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         duplicate_lines(F.col("text")).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("ws"), window).cast("long").alias("n_repeat_words"),
-    )
-    lines = base.select("host", "th", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("host", "th", ascii_lower(F.btrim("line", F.lit(SPACES))).alias("key")).filter("key != ''")
-    lines = lines.select(
-        "host", "th",
-        F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"),
-        (F.regexp_count("key", F.lit(r"[\x20\x09-\x0D]+")) + 1).alias("nw"),
-    )
-    # one row per line hash and distinct text of a host; n: how often that text holds it
-    per_text = lines.groupBy("host", "h1", "h2", "th").agg(F.count("*").alias("n"), F.first("nw").alias("nw"))
-    # copies of one text give the same rows; their n is the sum over copies, so it is divided again below
-    copies = base.groupBy("host", "th").agg(F.count("*").alias("copies"))
-    frequent = per_text.groupBy("host", "h1", "h2").agg(F.count("*").alias("docs")).filter(F.col("docs") > max_line_docs)
+        hashed_lines(F.col("text")).alias("lines"),
+    ), "quality", compression="zstd")
+    lines = texts.select("host", "th", F.inline("lines"))
+    counted = lines.groupBy("host", "h1", "h2").agg(F.sum(F.col("first").cast("long")).alias("docs"))
+    frequent = written(counted.filter(F.col("docs") > max_line_docs).select("host", "h1", "h2"), "frequent_lines")
+    copies = texts.groupBy("host", "th").agg(F.count("*").alias("copies"))
     hosts = F.col("l.host").eqNullSafe(F.col("f.host"))
+    # copies of one text give the same rows, so their sum is divided by how many there are
     removed = (
-        per_text.alias("l")
+        lines.alias("l")
         .join(frequent.alias("f"), hosts & (F.col("l.h1") == F.col("f.h1")) & (F.col("l.h2") == F.col("f.h2")))
         .groupBy(F.col("l.host").alias("host"), F.col("l.th").alias("th"))
-        .agg(F.sum(F.col("l.n") * F.col("l.nw")).alias("all_removed"))
+        .agg(F.sum("l.nw").alias("all_removed"))
         .alias("r")
         .join(copies.alias("c"), F.col("r.host").eqNullSafe(F.col("c.host")) & (F.col("r.th") == F.col("c.th")))
         .select(F.col("r.host").alias("r_host"), F.col("r.th").alias("r_th"), (F.col("all_removed") / F.col("copies")).cast("long").alias("removed"))
     )
-    out = feats.join(removed, F.col("host").eqNullSafe(F.col("r_host")) & (F.col("th") == F.col("r_th")), "left")
+    removed = written(removed, "removed_words")
+    out = texts.join(removed, F.col("host").eqNullSafe(F.col("r_host")) & (F.col("th") == F.col("r_th")), "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     gone = F.coalesce("removed", F.lit(0)).cast("long")
     depleted = 100 * (F.col("n_words") - gone) < min_kept_percent * F.col("n_words")

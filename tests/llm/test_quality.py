@@ -10,11 +10,11 @@ LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 def brute(rows, max_line_docs=20, min_kept_percent=30):
     key = lambda line: line.strip(STRIP).translate(LOWER)
-    texts = defaultdict(set)
-    for _, t, host in rows:
+    holders = defaultdict(set)
+    for row, (_, t, host) in enumerate(rows):
         for line in (t or "").split("\n"):
             if key(line):
-                texts[host, key(line)].add(t)
+                holders[host, key(line)].add(row)
     out = []
     for d, t, host in rows:
         t = t or ""
@@ -23,7 +23,7 @@ def brute(rows, max_line_docs=20, min_kept_percent=30):
         many = Counter(grams)
         cover = {i + j for i, g in enumerate(grams) if many[g] > 1 for j in range(8)}
         lines = [x for x in t.split("\n") if WORD.search(x)]
-        gone = sum(len(WORD.findall(x)) for x in lines if len(texts[host, key(x)]) > max_line_docs)
+        gone = sum(len(WORD.findall(x)) for x in lines if len(holders[host, key(x)]) > max_line_docs)
         failed = len(ws) < 20 or 100 * len(cover) > 30 * len(ws)
         kept = not failed and not 100 * (len(ws) - gone) < min_kept_percent * len(ws)
         out.append((d, len(ws), sum(map(len, ws)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(cover), gone, failed, kept))
@@ -46,5 +46,18 @@ def test_depleted(spark):
     same(got, brute([(r.doc_id, r.text, r.source) for r in df.collect()]))
 
 
+def test_copies_are_documents(spark):
+    """A line of 30 exact copies on one host is over the limit; 20 copies, or two hosts with 15 each, are not."""
+    text = " ".join(f"word{i}" for i in range(40))
+    for n, hosts, kept in ((30, 1, False), (20, 1, True), (30, 2, True), (21, 1, False)):
+        rows = [(i, text, f"h{i % hosts}") for i in range(n)] + [(99, "another text of its own " * 1, "h0")]
+        got = quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        same(got, brute(rows))
+        assert {r.kept for r in got if r.doc_id != 99} == {kept}
+    # a line said 30 times by one document is one document's line
+    rows = [(1, "\n".join([text] * 30), "h"), (2, text + "\nmore", "h")]
+    assert {r.removed_words for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()} == {0}
+
+
 def test_query(spark):
     same(op10_quality(spark, SF).collect(), brute(documents()))
