@@ -392,12 +392,8 @@ def complexity_flag(spark, sf):
 from . import transfers as TR  # noqa: E402
 
 
-def _transfer_slots(spark, sf) -> DataFrame:
+def _transfer_slots(spark, sf, req) -> DataFrame:
     """The slots, and a fitting vacant one for every third request, so that moves occur."""
-    in_force = D.active_asof(FX.job(spark, sf), JOB_KEYS, "effdt", START, "effseq")
-    req = TR.requests(FX.hires(spark, sf), in_force, FX.dept_tbl(spark, sf), START, NOW)
-    employed = in_force.filter(F.col("per_org") == "EMP")
-    req = TR.identified(req, employed, FX.names(spark, sf), NOW)
     jc = D.asof_rows(FX.jobcode_tbl(spark, sf).filter(F.col("setid") == "SHARE"), ["setid", "jobcode"], "effdt", NOW)
     req = req.join(jc.select(F.col("jobcode").alias("edw_jobcode"), "union_cd"), "edw_jobcode")
     k = F.col("req_num").cast("long")
@@ -415,8 +411,11 @@ def _transfer_slots(spark, sf) -> DataFrame:
 @query
 def transfers(spark, sf):
     """The transfer list over both branches, with load strings, status and retention."""
-    return TR.transfers(FX.hires(spark, sf), FX.job(spark, sf), FX.names(spark, sf), FX.jobcode_tbl(spark, sf),
-                       _transfer_slots(spark, sf), FX.dept_tbl(spark, sf), FX.person_assignment(spark, sf), START, NOW)
+    job = FX.job(spark, sf)
+    in_force = TR.jobs_in_force(job, START)
+    req = TR.resolved(FX.hires(spark, sf), in_force, FX.names(spark, sf), FX.dept_tbl(spark, sf), START, NOW)
+    return TR.listed(req, in_force, job, FX.jobcode_tbl(spark, sf), _transfer_slots(spark, sf, req),
+                     FX.person_assignment(spark, sf), START, NOW)
 
 
 @query

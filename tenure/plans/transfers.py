@@ -1,12 +1,15 @@
 """Transfers: hiring requests of current employees to transfer actions.
 
-Plan: requests of one start date -> manager's slot by unique match (two grouped
-lookups) -> the person by id or, for blank ids, by a name only one person has ->
-one as-of job frame at the start date, shared by the current values, the head
-counts, the managers and the primary jobs -> job-code lookups, field
-differences, row expansion -> best slot (own slot first) -> action reason,
-complexity, status, load strings -> row and group retention. Counts per request
-are grouped aggregates joined back, so no window holds a whole request list.
+Plan: one as-of job frame at the start date, written once and shared by the
+managers, the current values, the head counts and the primary jobs
+(``jobs_in_force``) -> requests with the manager's slot by unique match and the
+person by id or, for blank ids, by a name only one person has, written once
+(``resolved``) -> job-code lookups, field differences, written once (``compared``)
+-> what a request or person has in all (people, records, a finished record) as
+one chain of partial aggregates, joined back once -> row expansion -> best slot (own slot
+first) -> action reason, complexity, status, load strings -> row and group
+retention, a filter by then. No window holds a whole request list, and nothing
+is computed twice.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from ..functions import oracle as O
 from ..operators import diff as X
 from ..operators import effdt as D
 from ..operators import match as M
+from ..session import cut_lineage
 
 JOB_KEYS = ["emplid", "empl_rcd"]
 # requested value -> name after the lookups
@@ -41,9 +45,9 @@ def requests(hires: DataFrame, in_force: DataFrame, dept: DataFrame, start, now)
                  F.col("prof_experience_dt").alias("edw_prof_exp_dt"),
                  *[F.col(c).alias("edw_" + c) for c in REQUEST])
     h = h.filter(F.col("by_name").isNotNull())
-    d = D.asof_rows(dept.filter(F.col("setid") == "SHARE"), ["setid", "deptid"], "effdt", now, ties="any",
-                    tiebreak=["business_unit"])
-    d = d.select(F.col("deptid").alias("edw_deptid"), F.col("business_unit").alias("edw_bus_unit"))
+    # a scalar lookup over all setids; where several rows are in force the least business unit is taken
+    d = D.asof_rows(dept, ["setid", "deptid"], "effdt", now)
+    d = d.groupBy(F.col("deptid").alias("edw_deptid")).agg(F.min("business_unit").alias("edw_bus_unit"))
     h = h.join(d, "edw_deptid", "left")
     # cheap guards first: only six-digit ids are looked up
     key = F.when((F.length("edw_mgr_id") == 6) & O.all_digits("edw_mgr_id"), F.col("edw_mgr_id"))
@@ -64,15 +68,24 @@ def identified(req: DataFrame, employed: DataFrame, names: DataFrame, now) -> Da
     return by_id.unionByName(by_name.filter(F.col("emplid").isNotNull()))
 
 
-def with_jobs(hires: DataFrame, job: DataFrame, names: DataFrame, dept: DataFrame, start, now) -> DataFrame:
-    """One row per request and active employment record of its person, both branches."""
-    in_force = D.active_asof(job, JOB_KEYS, "effdt", start, "effseq")
+def jobs_in_force(job: DataFrame, start) -> DataFrame:
+    """Active job records as of the start date, written once."""
+    return cut_lineage(D.active_asof(job, JOB_KEYS, "effdt", start, "effseq"))
+
+
+def resolved(hires: DataFrame, in_force: DataFrame, names: DataFrame, dept: DataFrame, start, now) -> DataFrame:
+    """Requests with business unit, manager's slot and person, both branches; written once."""
     employed = in_force.filter(F.col("per_org") == "EMP")
-    req = identified(requests(hires, in_force, dept, start, now), employed, names, now)
-    cur = employed.select(
+    return cut_lineage(identified(requests(hires, in_force, dept, start, now), employed, names, now))
+
+
+def with_jobs(req: DataFrame, in_force: DataFrame, job: DataFrame, start) -> DataFrame:
+    """One row per request and active employment record of its person."""
+    cur = in_force.filter(F.col("per_org") == "EMP").select(
         *JOB_KEYS, F.col("effdt").alias("cur_job_effdt"), "effseq", F.col("position_nbr").alias("cur_pos"),
         C.on_leave("empl_status").alias("cur_job_on_leave"), *[F.col(c).alias("cur_job_" + c) for c in CURRENT])
-    nxt = D.next_effective(job, JOB_KEYS, "effdt", start, "future_job_effdt")
+    asked = job.join(req.select("emplid").distinct(), "emplid", "left_semi")
+    nxt = D.next_effective(asked, JOB_KEYS, "effdt", start, "future_job_effdt")
     a = req.join(cur, "emplid", "inner").join(nxt, JOB_KEYS, "left")
     return a.withColumn("edw_generated_fpc", C.hours_category("edw_std_hours")) \
         .withColumn("generated_fpc_analysis", C.category_change("edw_std_hours", "cur_job_full_part_time")) \
@@ -80,7 +93,7 @@ def with_jobs(hires: DataFrame, job: DataFrame, names: DataFrame, dept: DataFram
 
 
 def with_jobcodes(a: DataFrame, jobcode: DataFrame, now) -> DataFrame:
-    """Both job codes' values as of now, and counts of people and records per request."""
+    """Both job codes' values as of now."""
     jc = D.asof_rows(jobcode.filter(F.col("setid") == "SHARE"), ["setid", "jobcode"], "effdt", now)
 
     def side(p: str) -> DataFrame:
@@ -90,16 +103,37 @@ def with_jobcodes(a: DataFrame, jobcode: DataFrame, now) -> DataFrame:
                          F.col("manager_level").alias(p + "jc_officer_cd"))
 
     a = a.join(side("cur_job_"), "cur_job_jobcode", "inner").join(side("edw_"), "edw_jobcode", "inner")
-    people = a.groupBy(F.col("req_num").alias("__r"), F.col("name").alias("__n")).agg(F.countDistinct("emplid").alias("id_req_count"))
-    records = a.groupBy(F.col("req_num").alias("__r"), F.col("name").alias("__n"), F.col("emplid").alias("__e")).agg(
-        F.countDistinct("empl_rcd").alias("id_empl_rcd_count"))
-    same = lambda x: F.col("req_num").eqNullSafe(x["__r"]) & F.col("name").eqNullSafe(x["__n"])
-    a = a.join(people, same(people)).drop("__r", "__n")
-    a = a.join(records, same(records) & (F.col("emplid") == F.col("__e"))).drop("__r", "__n", "__e")
     a = a.withColumn("edw_jc_company", C.company_from_union("edw_jc_union_cd"))
     return a.withColumn("fpc_union_mismatch", C.casual_union_mismatch("edw_generated_fpc", "edw_jc_union_cd"))
 
 
+def with_group_facts(a: DataFrame) -> DataFrame:
+    """``id_req_count``, ``id_empl_rcd_count`` (G6) and ``has_done`` (C8) of each request and person.
+
+    One aggregate over the rows gives (request, name, person) groups; the coarser
+    groups are aggregates of these, so a request with a third of the rows is summed
+    before each shuffle, and the rows meet their facts in one join.
+    """
+    r, n, e = F.col("req_num").alias("__r"), F.col("name").alias("__n"), F.col("emplid").alias("__e")
+    person = a.groupBy(r, n, e).agg(F.countDistinct("empl_rcd").alias("id_empl_rcd_count"),
+                                    F.max(F.col("remaining_value_diff").isNull()).alias("__done"))
+    people = person.groupBy("__r", "__n").agg(F.count(F.lit(1)).alias("id_req_count"))
+    done = person.groupBy("__r", "__e").agg(F.max("__done").alias("has_done"))
+    p, q, d = person.alias("p"), people.alias("q"), done.alias("d")
+    facts = p.join(q, F.col("p.__r").eqNullSafe(F.col("q.__r")) & F.col("p.__n").eqNullSafe(F.col("q.__n"))) \
+        .join(d, F.col("p.__r").eqNullSafe(F.col("d.__r")) & (F.col("p.__e") == F.col("d.__e"))) \
+        .select("p.__r", "p.__n", "p.__e", "id_req_count", "id_empl_rcd_count", "has_done")
+    met = F.col("req_num").eqNullSafe(F.col("__r")) & F.col("name").eqNullSafe(F.col("__n")) & (F.col("emplid") == F.col("__e"))
+    return a.join(facts, met).drop("__r", "__n", "__e")
+
+
+def compared(req: DataFrame, in_force: DataFrame, job: DataFrame, jobcode: DataFrame, assignment: DataFrame, start, now) -> DataFrame:
+    """Requests with their records, job codes and the differences that are left; written once."""
+    a = with_jobcodes(with_jobs(req, in_force, job, start), jobcode, now)
+    prof = assignment.select(*JOB_KEYS, F.col("prof_experience_dt").alias("cur_prof_exp_dt"))
+    return cut_lineage(a.join(prof, JOB_KEYS, "left").withColumn("remaining_value_diff", differences()))
+
+
 def differences() -> Column:
     """The ten-field difference text, NULL when the transfer is done."""
     # Labels and their order.
@@ -181,11 +215,18 @@ def reason(a_row_val="row_val") -> Column:
 def transfers(hires: DataFrame, job: DataFrame, names: DataFrame, jobcode: DataFrame, positions: DataFrame,
               dept: DataFrame, assignment: DataFrame, start, now) -> DataFrame:
     """The transfer list for requests that start on ``start``; ``now`` dates the reference tables."""
-    in_force = D.active_asof(job, JOB_KEYS, "effdt", start, "effseq")
-    a = with_jobcodes(with_jobs(hires, job, names, dept, start, now), jobcode, now)
-    prof = assignment.select(*JOB_KEYS, F.col("prof_experience_dt").alias("cur_prof_exp_dt"))
-    a = a.join(prof, JOB_KEYS, "left").withColumn("remaining_value_diff", differences())
-    a = with_slot(expanded(a), positions, in_force, start)
+    in_force = jobs_in_force(job, start)
+    return listed(resolved(hires, in_force, names, dept, start, now), in_force, job, jobcode, positions, assignment, start, now)
+
+
+def listed(req: DataFrame, in_force: DataFrame, job: DataFrame, jobcode: DataFrame, positions: DataFrame,
+           assignment: DataFrame, start, now) -> DataFrame:
+    """The transfer list of ``resolved`` requests."""
+    a = with_group_facts(compared(req, in_force, job, jobcode, assignment, start, now))
+    # Open rows and one row per completed record; C8: a completed record hides the person's open ones
+    open_ = F.col("remaining_value_diff").isNotNull()
+    a = expanded(a).filter((open_ | (F.col("row_val") == 1)) & (~F.col("has_done") | ~open_))
+    a = with_slot(a, positions, in_force, start)
     a = with_dual_employment(a, in_force, assignment)
     diff, row = F.col("remaining_value_diff"), F.col("row_val")
     flag, why = C.complexity("id_req_count", "hire_comments", "fpc_union_mismatch", "id_empl_rcd_count", "edw_reports_to")
@@ -215,12 +256,6 @@ def transfers(hires: DataFrame, job: DataFrame, names: DataFrame, jobcode: DataF
         F.col("emplid"), F.col("empl_rcd").cast("string"), O.date_text("edw_prof_exp_dt")))
     newer = F.when(F.col("future_job_effdt").isNotNull(), F.concat(F.lit("!!NEWER EFFDT FOUND: "), O.date_text("future_job_effdt")))
 
-    # Open rows and one row per completed record; C8: a completed record hides the person's open ones
-    a = a.filter(diff.isNotNull() | (row == 1))
-    done = a.groupBy(F.col("req_num").alias("__r"), F.col("emplid").alias("__e")).agg(
-        F.max(diff.isNull()).alias("__done"))
-    a = a.join(done, F.col("req_num").eqNullSafe(F.col("__r")) & (F.col("emplid") == F.col("__e")))
-    a = a.filter(~F.col("__done") | diff.isNull())
     return a.select(
         "acn_rsn", "hire_comments", "req_num", "orig_emp", "name", "emplid", "empl_rcd", "effseq", "cur_job_effdt",
         "start_date", "complex_check", "complex_def", status.alias("status"), newer.alias("audit_newer"), "cur_pos",
