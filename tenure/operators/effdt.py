@@ -244,3 +244,31 @@ def asof_join(
     met = [left[k] == found[n] for k, n in zip(keys, names)] + [left[left_date].cast("date") == found["__d"]]
     out = left.join(found, met, how)
     return out.select(*[left[c] for c in left.columns], *[F.col(f"__r_{c}").alias(prefix + c) for c in carry])
+
+
+def left_asof(left: DataFrame, history: DataFrame, on: str, key: str, instance: Sequence[str], qualifies: Column,
+              cols: dict[str, str], effdt: str = "effdt", effseq: str | None = None, asof=None,
+              strict_outer: bool = False) -> DataFrame:
+    """Left join to the qualifying rows in force of a partner, with the reference's row loss.
+
+    ``left[on]`` names a partner (``history[key]``), whose records are told apart by
+    ``instance``. A left row without any qualifying partner row, of any date, stays
+    with NULLs; one whose partner has qualifying rows in force appears once per such
+    row; one whose partner has qualifying rows but none in force is lost, unless
+    ``strict_outer`` keeps it with NULLs. ``cols``: history column to output name.
+
+    One pass over the history: per record its row in force and whether any row
+    qualifies (partial aggregates), then per partner an array of its few records.
+    """
+    keys = [key, *[c for c in instance if c != key]]
+    order = F.struct(effdt, *([effseq] if effseq else []))
+    dated = F.lit(True) if asof is None else F.col(effdt) <= _as_column(asof)
+    row = F.struct(F.coalesce(qualifies, F.lit(False)).alias("__ok"), *[F.col(c).alias(n) for c, n in cols.items()])
+    records = history.groupBy(*keys).agg(F.max_by(row, F.when(dated, order)).alias("row"), F.bool_or(qualifies).alias("any"))
+    partners = records.groupBy(F.col(key).alias("__k")).agg(
+        F.filter(F.collect_list("row"), lambda r: r["__ok"]).alias("__rows"), F.bool_or("any").alias("__any"))
+    out = left.join(partners, left[on] == partners["__k"], "left")
+    if not strict_outer:
+        out = out.filter(~F.coalesce("__any", F.lit(False)) | (F.size("__rows") > 0))
+    out = out.select(*[left[c] for c in left.columns], F.explode_outer("__rows").alias("__r"))
+    return out.select(*left.columns, *[F.col("__r")[n].alias(n) for n in cols.values()])

@@ -126,10 +126,12 @@ def manager_by_position(spark, sf):
     return NS.slot_holders(cur, FX.job(spark, sf)).select("emplid", "empl_rcd", "reports_to", "mgr_emplid", "mgr_empl_rcd")
 
 
-def _manager_rows(spark, sf):
-    job = FX.job(spark, sf)
+def _managed(spark, sf, strict_outer):
+    cands = FX.candidates(spark, sf).filter(F.col("load_status") == "N").select("req_num", "manager_id")
     ok = (F.col("hr_status") == "A") & ~F.col("officer_cd").isin(OFFICER_EXCLUDED)
-    return job, ok
+    out = D.left_asof(cands, FX.job(spark, sf), "manager_id", "emplid", JOB_KEYS, ok,
+                      {"empl_rcd": "mgr_empl_rcd", "position_nbr": "mgr_position_nbr"}, "effdt", "effseq", NOW, strict_outer)
+    return out.withColumn("mgr_position_nbr", F.coalesce("mgr_position_nbr", F.lit("XXXXXXXX")))
 
 
 @query
@@ -137,20 +139,15 @@ def left_asof_drop_quirk(spark, sf):
     """Candidates left-joined to their manager's active rows, keeping only rows in force.
 
     Reproduces the reference: a candidate whose manager has active rows but
-    none in force disappears. Planned as (inner join to the in-force rows) ∪
-    (anti join to managers with no active row) — no history fan-out.
+    none in force disappears.
     """
-    cands = FX.candidates(spark, sf).filter(F.col("load_status") == "N")
-    job, ok = _manager_rows(spark, sf)
-    inforce = D.asof_rows(job, JOB_KEYS, "effdt", NOW, "effseq").filter(ok)
-    has_active = job.filter(ok).select(F.col("emplid").alias("manager_id")).distinct()
-    hit = cands.join(inforce.select(F.col("emplid").alias("manager_id"), "empl_rcd", "position_nbr"),
-                     "manager_id", "inner")
-    miss = (cands.join(has_active, "manager_id", "left_anti")
-            .withColumn("empl_rcd", F.lit(None).cast("int")).withColumn("position_nbr", F.lit(None).cast("string")))
-    out = hit.unionByName(miss)
-    return out.select("req_num", "manager_id", F.col("empl_rcd").alias("mgr_empl_rcd"),
-                      F.coalesce("position_nbr", F.lit("XXXXXXXX")).alias("mgr_position_nbr"))
+    return _managed(spark, sf, strict_outer=False)
+
+
+@query
+def left_asof_strict(spark, sf):
+    """D11, strict: as above, but no candidate disappears."""
+    return _managed(spark, sf, strict_outer=True)
 
 
 @query
@@ -459,9 +456,11 @@ def name_search_profile(spark, sf):
 @query
 def name_search_full_profile(spark, sf):
     """J6+E22+D7: best match per person with current name, records in force, manager, location, contacts."""
-    best = NS.search(FX.names_searched(spark, sf), FX.names_hist(spark, sf), scorer="jaro_winkler")
-    return NS.full_profile(best, FX.names(spark, sf), FX.job(spark, sf), FX.location_tbl(spark, sf), FX.addresses(spark, sf),
-                           FX.phones(spark, sf), FX.emails(spark, sf), FX.pers_nid(spark, sf), FX.user_ids(spark, sf), NOW)
+    named = FX.names(spark, sf).filter((F.col("name_type") == "PRI") & (F.col("effdt") <= F.lit(NOW).cast("date"))).select("emplid").distinct()
+    best = NS.search(FX.names_searched(spark, sf), FX.names_hist(spark, sf).join(named, "emplid", "left_semi"), scorer="jaro_winkler")
+    return NS.full_profile(best, FX.names(spark, sf), FX.job(spark, sf), FX.location_tbl(spark, sf), FX.dept_tbl(spark, sf),
+                           FX.jobcode_tbl(spark, sf), FX.addresses(spark, sf), FX.phones(spark, sf), FX.emails(spark, sf),
+                           FX.pers_nid(spark, sf), FX.user_ids(spark, sf), NOW)
 
 
 # ------------------------------------------------------------- J7 mail merge
@@ -581,6 +580,7 @@ from . import hire_staging as HS  # noqa: E402
 STAGE_START = "1998-01-01"
 STAGE_DAYS = 30
 CLINICAL_ASOF = "2000-06-30"
+CLINICAL_FAMILIES = ["B1", "B2", "B6"]
 
 
 def _stage_inputs(spark, sf):
@@ -588,19 +588,8 @@ def _stage_inputs(spark, sf):
             FX.jobcode_tbl(spark, sf))
 
 
-@query
-def hire_window_report(spark, sf):
-    """J3+C2+B9+B13+G10+B38+F6+F7: hire staging for the window [start, start + days]."""
-    return HS.hire_staging(*_stage_inputs(spark, sf), FX.person(spark, sf), FX.names(spark, sf), STAGE_START, STAGE_DAYS, NOW)
-
-
-@query
-def first_match_string(spark, sf):
-    """E9+D5+H3: the first fitting slot of each staged hire as descriptive text.
-
-    Every third hire gets a fitting slot of its own beside the given ones, so that matches occur.
-    """
-    c = HS.base(*_stage_inputs(spark, sf), NOW, start=STAGE_START, days=STAGE_DAYS)
+def _stage_slots(spark, sf, c):
+    """The slots, and a fitting one of its own for every third staged hire, so that matches occur."""
     digits = F.regexp_replace("req_num", "[^0-9]", "")
     made = c.filter(digits.cast("long") % 3 != 1).select(
         F.concat(F.lit("H"), F.lpad(digits, 9, "0"), F.substring("mgr_position_nbr", -2, 2)).alias("position_nbr"),
@@ -608,8 +597,27 @@ def first_match_string(spark, sf):
         F.lit("0001").alias("location"), "jobcode", F.lit("001").alias("company"), "std_hours", F.col("mgr_position_nbr").alias("reports_to"),
         F.lit("73").alias("union_cd"), "shift", "reg_temp", C.hours_category("std_hours", null_as="P").alias("full_part_time"),
         F.lit(7).alias("max_head_count"), F.when(F.col("location") == "RMOTE", "Y").otherwise("N").alias("avail_telework_pos")).distinct()
-    slots = FX.position_data(spark, sf).select(*made.columns).unionByName(made)
-    out = HS.first_slot(c, slots, M.headcount(active_jobs(spark, sf, NOW), count_col="emplid"))
+    return FX.position_data(spark, sf).select(*made.columns).unionByName(made)
+
+
+def _staged(spark, sf):
+    return HS.base(*_stage_inputs(spark, sf), NOW, start=STAGE_START, days=STAGE_DAYS)
+
+
+@query
+def hire_window_report(spark, sf):
+    """J3+C2+B9+B13+G10+B38+E2+E9+F6+F7: hire staging for the window [start, start + days]."""
+    c = _staged(spark, sf)
+    return HS.hire_staging(c, FX.job(spark, sf), FX.pers_nid(spark, sf), FX.person(spark, sf), FX.names(spark, sf),
+                           FX.phones(spark, sf), FX.emails(spark, sf), _stage_slots(spark, sf, c),
+                           M.headcount(active_jobs(spark, sf, NOW), count_col="emplid"), NOW)
+
+
+@query
+def first_match_string(spark, sf):
+    """E9+D5+H3: the first fitting slot of each staged hire as descriptive text."""
+    c = _staged(spark, sf)
+    out = HS.first_slot(c, _stage_slots(spark, sf, c), M.headcount(active_jobs(spark, sf, NOW), count_col="emplid"))
     return out.select("req_num", "mgr_position_nbr", "post_chg_pos_use")
 
 
@@ -623,8 +631,10 @@ def combined_history_listagg(spark, sf):
 
 @query
 def clinical_report(spark, sf):
-    """J4+B14: clinical families, hire date within +-100 days, days until hire."""
-    return HS.clinical_report(*_stage_inputs(spark, sf), CLINICAL_ASOF)
+    """J4+B14+E9: clinical families, hire date within +-100 days, days until hire, first fitting slot."""
+    c = HS.base(*_stage_inputs(spark, sf), CLINICAL_ASOF, families=CLINICAL_FAMILIES, window_days=100)
+    return HS.clinical_report(c, _stage_slots(spark, sf, c), M.headcount(active_jobs(spark, sf, CLINICAL_ASOF), count_col="emplid"),
+                              FX.phones(spark, sf), FX.emails(spark, sf), CLINICAL_ASOF)
 
 
 # --------------------------------------------------------------- J1 bulk PAF

@@ -19,6 +19,7 @@ from ..functions import codes as C
 from ..functions import oracle as O
 from ..operators import diff as X
 from ..operators import effdt as D
+from ..session import cut_lineage
 
 JOB_KEYS = ["emplid", "empl_rcd"]
 OFFICER_EXCLUDED = ["9", "7", "D"]
@@ -104,14 +105,19 @@ def base(candidates: DataFrame, job: DataFrame, nid: DataFrame, dept: DataFrame,
     c = c.join(ids, "national_id", "left")
     # manager slot: the D11 rule (active, officer code allowed, in force)
     ok = (F.col("hr_status") == "A") & ~F.col("officer_cd").isin(OFFICER_EXCLUDED)
-    inforce = D.asof_rows(job, JOB_KEYS, "effdt", asof, "effseq").filter(ok) \
-        .select(F.col("emplid").alias("manager_id"), F.col("position_nbr").alias("mgr_pos"))
-    has_active = job.filter(ok).select(F.col("emplid").alias("manager_id")).distinct()
-    c = c.join(inforce, "manager_id", "inner").unionByName(
-        c.join(has_active, "manager_id", "left_anti").withColumn("mgr_pos", F.lit(None).cast("string")))
-    c = c.withColumn("mgr_position_nbr", F.coalesce("mgr_pos", F.lit("XXXXXXXX"))).drop("mgr_pos")
+    c = D.left_asof(c, job, "manager_id", "emplid", JOB_KEYS, ok, {"position_nbr": "mgr_position_nbr"}, "effdt", "effseq", asof)
+    c = c.withColumn("mgr_position_nbr", F.coalesce("mgr_position_nbr", F.lit("XXXXXXXX")))
     d = D.asof_rows(dept.filter(F.col("setid") == "SHARE"), ["setid", "deptid"], "effdt", asof)
-    return c.join(d.select("deptid", "business_unit"), "deptid", "left")
+    # the candidates are few beside the tables, and every part of a report starts from them
+    return cut_lineage(c.join(d.select("deptid", "business_unit"), "deptid", "left"))
+
+
+def with_contacts(c: DataFrame, phones: DataFrame, emails: DataFrame) -> DataFrame:
+    """Cell phone and home e-mail of the person with the candidate's national id; several give several rows."""
+    cell = phones.filter(F.col("phone_type") == "CELL").select(F.col("emplid").alias("__e"), O.digits_only("phone").alias("current_ps_cell"))
+    c = c.join(cell, c["ssn_matching_emplid"] == cell["__e"], "left").drop("__e")
+    home = emails.filter(F.col("e_addr_type") == "HOME").select(F.col("emplid").alias("__e"), F.col("email_addr").alias("current_ps_hm_email"))
+    return c.join(home, c["ssn_matching_emplid"] == home["__e"], "left").drop("__e")
 
 
 def with_history(c: DataFrame, job: DataFrame, nid: DataFrame, person: DataFrame, names: DataFrame, asof) -> DataFrame:
@@ -176,8 +182,9 @@ def first_slot(c: DataFrame, positions: DataFrame, counts: DataFrame, key: str =
     return c.join(best, (c[key] == best["__k"]) & (c["mgr_position_nbr"] == best["__m"]), "left").drop("__k", "__m")
 
 
-def hire_staging(candidates, job, nid, dept, jobcode, person, names, start, days, asof) -> DataFrame:
-    c = with_history(base(candidates, job, nid, dept, jobcode, asof, start=start, days=days), job, nid, person, names, asof)
+def hire_staging(c: DataFrame, job, nid, person, names, phones, emails, positions, counts, asof) -> DataFrame:
+    """J3 over the candidates of ``base``: people found, history, contacts, first fitting slot, load string."""
+    c = first_slot(with_history(with_contacts(c, phones, emails), job, nid, person, names, asof), positions, counts)
     fpc = C.hours_category("std_hours", null_as="P")
     hours = F.when(F.col("std_hours") == 0, F.lit(1.2).cast("decimal(6,2)")).otherwise(F.col("std_hours"))
     # Slot order and constants of the load layout.
@@ -185,12 +192,18 @@ def hire_staging(candidates, job, nid, dept, jobcode, person, names, start, days
         "00000000", O.date_text("hire_dt"), "A", " ", " ", "UPD", F.col("business_unit"), F.col("deptid"), F.col("jobcode"),
         "Y", "99", "Y", F.col("mgr_position_nbr"), " ", " ", "CMPY - Def101", O.num_text(hours), " ", F.col("shift"),
         O.decode("reg_temp", {"R": "R"}, "T"), fpc, " ", " ", "Y", "N", "Y")
+    counted = c.groupBy(F.col("req_num").alias("__q")).agg(F.count(F.lit(1)).alias("req_count"))
+    c = c.join(counted, F.col("req_num").eqNullSafe(F.col("__q")))
     return c.select(
-        F.col("load_status").alias("load"), F.col("req_num").alias("req"), "emplid_lm_ssn", "rehire_eligibility",
-        "lm_ssn_combined_records", F.col("national_id").alias("ssn"), F.col("phone").alias("home_phone"),
-        O.fm_2dp("hourly_rt").alias("hourly_pay"), "std_hours", F.col("manager_id").alias("mgrid"), "deptid",
-        "job_family", "jobcode", "shift",
-        F.count(F.lit(1)).over(Window.partitionBy("req_num")).alias("req_count"),
+        F.lit(None).cast("string").alias("notes"), F.col("load_status").alias("load"), F.col("req_num").alias("req"), "emplid_lm_ssn",
+        "rehire_eligibility", "lm_ssn_combined_records", "last_name", "first_name", "middle_name", O.date_text("birthdate").alias("birthdate"),
+        F.col("national_id").alias("ssn"), "address1", "address2", "city", F.col("state_number").alias("state"), "postal",
+        F.col("phone").alias("home_phone"), O.digits_only("work_phone").alias("work_phone"), O.digits_only("mobile_phone").alias("mobile"),
+        "current_ps_cell", F.col("email_addr").alias("email"), "current_ps_hm_email", "post_chg_pos_use", F.col("flsa_status").alias("flsa"),
+        O.fm_2dp("hourly_rt").alias("hourly_pay"), "std_hours", F.col("datein_prefix").alias("prof_date"),
+        F.col("hire_comments").alias("hire_type"), F.col("manager_id").alias("mgrid"), "deptid", "job_family", "jobcode",
+        F.col("descr100").alias("jc100"), F.col("scheduled").alias("schedule"), F.col("reg_temp").alias("regtemp"),
+        F.col("full_part_time").alias("fullpartc"), "shift", F.col("alter_emplid").alias("npi"), "req_count",
         O.date_text("hire_dt").alias("hire_dt"), position_ci.alias("position_ci"), "num_order",
     )
 
@@ -200,13 +213,13 @@ def in_report_order(t: DataFrame) -> DataFrame:
     return t.orderBy("hire_dt", "num_order", "req")
 
 
-def clinical_report(candidates, job, nid, dept, jobcode, asof, families=("B1", "B2", "B6"),
-                    window_days: int = 100) -> DataFrame:
-    """The J3 base limited to clinical job families and a +-100 day hire window."""
-    c = base(candidates, job, nid, dept, jobcode, asof, families=list(families), window_days=window_days)
+def clinical_report(c: DataFrame, positions, counts, phones, emails, asof) -> DataFrame:
+    """J4 over the candidates of ``base`` (clinical job families, a +-100 day hire window)."""
+    c = first_slot(with_contacts(c, phones, emails), positions, counts)
     return c.select(
-        O.date_text("hire_dt").alias("hire_dt"), O.date_text(F.lit(asof).cast("date")).alias("current_dt"),
-        F.datediff("hire_dt", F.lit(asof).cast("date")).alias("days_until_hire"),
-        "req_num", "lm_emplid", F.col("national_id").alias("ssn"), "job_family", "jobcode", "mgr_position_nbr",
-        "ssn_matching_emplid", "num_order",
+        F.lit(None).cast("string").alias("notes"), O.date_text("hire_dt").alias("hire_dt"),
+        O.date_text(F.lit(asof).cast("date")).alias("current_dt"), F.datediff("hire_dt", F.lit(asof).cast("date")).alias("days_until_hire"),
+        "req_num", "lm_emplid", F.col("hire_comments").alias("hire_type"), "last_name", "first_name", "middle_name",
+        O.date_text("birthdate").alias("birthdate"), F.col("national_id").alias("ssn"), "post_chg_pos_use", "job_family", "jobcode",
+        "mgr_position_nbr", "ssn_matching_emplid", "num_order",
     )

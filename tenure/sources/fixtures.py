@@ -73,6 +73,7 @@ def job(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring(F.lit(LEVEL_CYCLE), (k % 10).cast("int") + 1, 1).alias("officer_cd"),
         F.when(k % 17 == 0, "N").otherwise("Y").alias("elig_rehire"),
         F.when(F.col("o_orderstatus") == "F", day).alias("termination_dt"),
+        F.date_sub(day, (k % 400).cast("int")).alias("hire_dt"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("hourly_rt"),
     )
 
@@ -208,6 +209,24 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 == 0, F.concat(F.lit("Message: matches "), _pad(cust, 6)))
         .otherwise(F.lit("Message: none")).alias("message_descr"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("hourly_rt"),
+        F.concat(F.lit("Last"), (cust % 90).cast("string")).alias("last_name"),
+        F.concat(F.lit("First"), (k % 70).cast("string")).alias("first_name"),
+        F.when(k % 3 == 0, F.lit("M")).alias("middle_name"),
+        F.when(k % 15 != 0, F.date_add(F.lit("1960-01-01").cast("date"), (k % 9000).cast("int"))).alias("birthdate"),
+        F.concat((k % 99).cast("string"), F.lit(" Elm St")).alias("address1"),
+        F.when(k % 4 == 0, F.lit("Apt 2")).alias("address2"),
+        F.concat(F.lit("City"), (k % 25).cast("string")).alias("city"),
+        F.concat(F.lit("S"), (k % 50).cast("string")).alias("state_number"), _pad(k % 1000, 5).alias("postal"),
+        F.concat(F.lit("555-"), _pad(k % 7919, 4), F.lit(" x")).alias("work_phone"),
+        F.when(k % 6 != 0, F.concat(F.lit("+1 "), _pad(k % 6007, 7))).alias("mobile_phone"),
+        F.concat(F.lit("c"), k.cast("string"), F.lit("@example.net")).alias("email_addr"),
+        F.concat(F.lit("Role "), (k % 12).cast("string")).alias("descr100"),
+        F.when(k % 2 == 0, "N").otherwise("E").alias("flsa_status"),
+        F.when(k % 5 == 1, "Days").otherwise("Nights").alias("scheduled"),
+        F.when(k % 3 == 0, "F").when(k % 3 == 1, "P").otherwise("C").alias("full_part_time"),
+        F.when(k % 10 == 0, _pad(k, 10)).alias("alter_emplid"),
+        F.when(k % 4 == 0, "New Hire").otherwise("Rehire").alias("hire_comments"),
+        F.when(k % 9 != 0, F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd")).alias("datein_prefix"),
     )
 
 
@@ -244,6 +263,7 @@ def jobcode_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pad(k % 9, 3).alias("grade"),
         F.when(k % 3 == 0, "73").when(k % 3 == 1, "399").otherwise("NON").alias("union_cd"),
         F.concat(F.lit("B"), (k % 8).cast("string")).alias("job_family"),
+        F.concat(F.lit("Job "), k.cast("string")).alias("descr"), F.concat(F.lit("Job number "), k.cast("string")).alias("descr50"),
     )
 
 
@@ -256,6 +276,7 @@ def dept_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pad(k % 4, 4).alias("deptid"),
         F.date_add(F.lit("1990-01-01").cast("date"), (F.floor(k / 4) * 45).cast("int")).alias("effdt"),
         F.concat(F.lit("BU"), (F.floor(k / 4) % 2).cast("string")).alias("business_unit"),
+        F.concat(F.lit("Department "), k.cast("string")).alias("descr"),
     )
 
 
@@ -280,13 +301,18 @@ def person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(_pad(k, 6).alias("emplid"), born.alias("birthdate"))
 
 
+# Words of made-up payroll names, like those searched for.
+PS_WORDS = ["hot", "old", "blue", "large", "cold", "small"]
+PS_NOUNS = ["ring large", "bolt economy", "ring small", "plate standard", "plate economy"]
+
+
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ps_names``: primary display names; every 10th customer's name is shared by the next person."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     own = F.struct(_pad(k, 6).alias("emplid"), F.lit("1990-01-01").cast("date").alias("effdt"))
     twin = F.when(k % 10 == 3, F.struct(_pad(k + 1, 6).alias("emplid"), F.lit("1996-01-01").cast("date").alias("effdt")))
-    rows = c.select(F.col("c_name"), F.explode(F.array(own, twin)).alias("r")).filter(F.col("r").isNotNull())
+    rows = c.select("c_custkey", "c_name", "c_nationkey", F.explode(F.array(own, twin)).alias("r")).filter(F.col("r").isNotNull())
     return rows.select(
         F.col("r.emplid").alias("emplid"),
         F.lit("PRI").alias("name_type"),
@@ -294,16 +320,19 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("name_display"),
         F.substring_index("c_name", "#", -1).alias("last_name"),
         F.substring_index("c_name", "#", 1).alias("first_name"),
+        F.when(F.col("c_nationkey") % 3 == 0, F.lit("Q")).alias("middle_name"),
+        F.concat(F.element_at(F.array(*[F.lit(x) for x in PS_WORDS]), (k % len(PS_WORDS) + 1).cast("int")), F.lit(" "),
+                 F.element_at(F.array(*[F.lit(x) for x in PS_NOUNS]), (F.floor(k / 3) % len(PS_NOUNS) + 1).cast("int"))).alias("name_psformat"),
     )
 
 
 def phones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phone numbers by type: HOME for two thirds of the customers, CELL for half of them."""
+    """Phone numbers by type: HOME for two thirds of the customers, CELL for half of them, a second CELL for some."""
     k = F.col("c_custkey")
     number = F.concat(F.lit("555"), _pad(k, 7))
-    kinds = F.filter(F.array(F.when(k % 3 != 0, "HOME"), F.when(k % 2 == 0, "CELL")), lambda x: x.isNotNull())
-    return table(spark, sf_dir, "customer").select(_pad(k, 6).alias("emplid"), F.explode(kinds).alias("phone_type"), number.alias("number")) \
-        .select("emplid", "phone_type", F.concat("number", F.substring("phone_type", 1, 1)).alias("phone"))
+    one = lambda kind, mark: F.struct(F.lit(kind).alias("phone_type"), F.concat(number, F.lit(mark)).alias("phone"))
+    kinds = F.array(F.when(k % 3 != 0, one("HOME", "H")), F.when(k % 2 == 0, one("CELL", "C")), F.when(k % 20 == 0, one("CELL", "C2")))
+    return table(spark, sf_dir, "customer").select(_pad(k, 6).alias("emplid"), F.inline(F.filter(kinds, lambda x: x.isNotNull())))
 
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +340,9 @@ def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return table(spark, sf_dir, "customer").filter(k % 4 != 0).select(
         _pad(k, 6).alias("emplid"), F.lit("HOME").alias("address_type"), F.concat((k % 99).cast("string"), F.lit(" Main St")).alias("address1"),
-        F.concat(F.lit("City"), F.col("c_nationkey").cast("string")).alias("city"), _pad(k % 1000, 5).alias("postal"))
+        F.concat(F.lit("City"), F.col("c_nationkey").cast("string")).alias("city"), _pad(k % 1000, 5).alias("postal"),
+        F.when(k % 8 == 1, F.lit("Unit 7")).alias("address2"), F.concat(F.lit("County"), (k % 30).cast("string")).alias("county"),
+        F.concat(F.lit("S"), (k % 50).cast("string")).alias("state"))
 
 
 def user_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,7 +357,8 @@ def location_tbl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.when(k % 7 == 6, "OTHER").otherwise("SHARE").alias("setid"), _pad(k % 3, 4).alias("location"),
         F.date_add(F.lit("1990-01-01").cast("date"), (F.floor(k / 3) * 20).cast("int")).alias("effdt"),
-        F.col("s_name").alias("descr"), F.concat(F.lit("B"), (k % 11).cast("string")).alias("building"))
+        F.col("s_name").alias("descr"), F.concat(F.lit("B"), (k % 11).cast("string")).alias("building"),
+        F.concat(F.lit("AC"), (k % 13).cast("string")).alias("descr_ac"), F.concat(F.lit("G"), (k % 17).cast("string")).alias("geo_code"))
 
 
 RECIPIENT_COLUMNS = ["emplid", "full_name", "refund_amount", "segment"]

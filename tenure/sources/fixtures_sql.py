@@ -35,6 +35,7 @@ select lpad(cast(o_custkey as varchar), 6, '0') emplid,
        substring('1236ABC79D', cast(o_orderkey % 10 as integer) + 1, 1) officer_cd,
        case when o_orderkey % 17 = 0 then 'N' else 'Y' end elig_rehire,
        case when o_orderstatus = 'F' then cast(o_orderdate as date) end termination_dt,
+       cast(o_orderdate as date) - cast(o_orderkey % 400 as integer) hire_dt,
        cast(o_totalprice as decimal(12,2)) hourly_rt
 from orders""",
     "position_data": """
@@ -121,7 +122,19 @@ select case when o_orderkey % 3 = 0 then 'R' || cast(o_orderkey as varchar) else
        case when o_orderkey % 5 = 0 then 'RMOTE' else lpad(cast(o_orderkey % 3 as varchar), 4, '0') end location,
        '(' || lpad(cast(o_custkey % 1000 as varchar), 3, '0') || ') 555-' || lpad(cast(o_orderkey % 10000 as varchar), 4, '0') home_phone,
        case when o_orderkey % 4 = 0 then 'Message: matches ' || lpad(cast(o_custkey as varchar), 6, '0') else 'Message: none' end message_descr,
-       cast(o_totalprice as decimal(12,2)) hourly_rt
+       cast(o_totalprice as decimal(12,2)) hourly_rt,
+       'Last' || (o_custkey % 90) last_name, 'First' || (o_orderkey % 70) first_name, case when o_orderkey % 3 = 0 then 'M' end middle_name,
+       case when o_orderkey % 15 <> 0 then date '1960-01-01' + cast(o_orderkey % 9000 as integer) end birthdate,
+       (o_orderkey % 99) || ' Elm St' address1, case when o_orderkey % 4 = 0 then 'Apt 2' end address2, 'City' || (o_orderkey % 25) city,
+       'S' || (o_orderkey % 50) state_number, lpad(cast(o_orderkey % 1000 as varchar), 5, '0') postal,
+       '555-' || lpad(cast(o_orderkey % 7919 as varchar), 4, '0') || ' x' work_phone,
+       case when o_orderkey % 6 <> 0 then '+1 ' || lpad(cast(o_orderkey % 6007 as varchar), 7, '0') end mobile_phone,
+       'c' || o_orderkey || '@example.net' email_addr, 'Role ' || (o_orderkey % 12) descr100,
+       case when o_orderkey % 2 = 0 then 'N' else 'E' end flsa_status, case when o_orderkey % 5 = 1 then 'Days' else 'Nights' end scheduled,
+       case o_orderkey % 3 when 0 then 'F' when 1 then 'P' else 'C' end full_part_time,
+       case when o_orderkey % 10 = 0 then lpad(cast(o_orderkey as varchar), 10, '0') end alter_emplid,
+       case when o_orderkey % 4 = 0 then 'New Hire' else 'Rehire' end hire_comments,
+       case when o_orderkey % 9 <> 0 then strftime(cast(o_orderdate as date), '%Y-%m-%d') end datein_prefix
 from orders""",
     "names_hist": """
 select lpad(cast(p_partkey // 2 as varchar), 6, '0') emplid,
@@ -140,13 +153,13 @@ select case when s_suppkey % 7 = 6 then 'OTHER' else 'SHARE' end setid,
        'P' || cast(s_suppkey % 2 as varchar) sal_admin_plan,
        lpad(cast(s_suppkey % 9 as varchar), 3, '0') grade,
        case s_suppkey % 3 when 0 then '73' when 1 then '399' else 'NON' end union_cd,
-       'B' || cast(s_suppkey % 8 as varchar) job_family
+       'B' || cast(s_suppkey % 8 as varchar) job_family, 'Job ' || s_suppkey descr, 'Job number ' || s_suppkey descr50
 from supplier""",
     "dept_tbl": """
 select case when s_suppkey % 7 = 6 then 'OTHER' else 'SHARE' end setid,
        lpad(cast(s_suppkey % 4 as varchar), 4, '0') deptid,
        cast(date '1990-01-01' + cast(floor(s_suppkey / 4) * 45 as integer) as date) effdt,
-       'BU' || cast(cast(floor(s_suppkey / 4) as bigint) % 2 as varchar) business_unit
+       'BU' || cast(cast(floor(s_suppkey / 4) as bigint) % 2 as varchar) business_unit, 'Department ' || s_suppkey descr
 from supplier""",
     "pers_nid": """
 select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'USA' country, 'PR' national_id_type,
@@ -160,12 +173,13 @@ select lpad(cast(c_custkey as varchar), 6, '0') emplid,
        case when c_custkey % 17 <> 0 then date '1950-01-01' + cast(c_custkey % 9000 as integer) end birthdate
 from customer""",
     "phones": """
-select lpad(cast(c_custkey as varchar), 6, '0') emplid, t.phone_type, '555' || lpad(cast(c_custkey as varchar), 7, '0') || t.phone_type[1] phone
-from customer, (values ('HOME'), ('CELL')) t(phone_type)
-where (t.phone_type = 'HOME' and c_custkey % 3 <> 0) or (t.phone_type = 'CELL' and c_custkey % 2 = 0)""",
+select lpad(cast(c_custkey as varchar), 6, '0') emplid, t.phone_type, '555' || lpad(cast(c_custkey as varchar), 7, '0') || t.mark phone
+from customer, (values ('HOME', 'H'), ('CELL', 'C'), ('CELL', 'C2')) t(phone_type, mark)
+where (t.mark = 'H' and c_custkey % 3 <> 0) or (t.mark = 'C' and c_custkey % 2 = 0) or (t.mark = 'C2' and c_custkey % 20 = 0)""",
     "addresses": """
 select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'HOME' address_type, (c_custkey % 99) || ' Main St' address1,
-       'City' || c_nationkey city, lpad(cast(c_custkey % 1000 as varchar), 5, '0') postal
+       'City' || c_nationkey city, lpad(cast(c_custkey % 1000 as varchar), 5, '0') postal,
+       case when c_custkey % 8 = 1 then 'Unit 7' end address2, 'County' || (c_custkey % 30) county, 'S' || (c_custkey % 50) state
 from customer where c_custkey % 4 <> 0""",
     "user_ids": """
 select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'U' || c_custkey oprid from customer where c_custkey % 5 <> 0""",
@@ -175,16 +189,16 @@ select lpad(cast(c_custkey as varchar), 6, '0') emplid, case when c_custkey % 5
 from customer""",
     "location_tbl": """
 select case when s_suppkey % 7 = 6 then 'OTHER' else 'SHARE' end setid, lpad(cast(s_suppkey % 3 as varchar), 4, '0') location,
-       cast(date '1990-01-01' + cast(floor(s_suppkey / 3) * 20 as integer) as date) effdt, s_name descr, 'B' || (s_suppkey % 11) building
+       cast(date '1990-01-01' + cast(floor(s_suppkey / 3) * 20 as integer) as date) effdt, s_name descr, 'B' || (s_suppkey % 11) building,
+       'AC' || (s_suppkey % 13) descr_ac, 'G' || (s_suppkey % 17) geo_code
 from supplier""",
     "names": """
-select lpad(cast(c_custkey as varchar), 6, '0') emplid, 'PRI' name_type, date '1990-01-01' effdt, c_name name_display,
-       string_split(c_name, '#')[-1] last_name, string_split(c_name, '#')[1] first_name
-from customer
-union all
-select lpad(cast(c_custkey + 1 as varchar), 6, '0'), 'PRI', date '1996-01-01', c_name,
-       string_split(c_name, '#')[-1], string_split(c_name, '#')[1]
-from customer where c_custkey % 10 = 3""",
+select lpad(cast(c_custkey + r.next as varchar), 6, '0') emplid, 'PRI' name_type, case when r.next = 0 then date '1990-01-01' else date '1996-01-01' end effdt,
+       c_name name_display, string_split(c_name, '#')[-1] last_name, string_split(c_name, '#')[1] first_name,
+       case when c_nationkey % 3 = 0 then 'Q' end middle_name,
+       (['hot', 'old', 'blue', 'large', 'cold', 'small'])[c_custkey % 6 + 1] || ' ' ||
+       (['ring large', 'bolt economy', 'ring small', 'plate standard', 'plate economy'])[(c_custkey // 3) % 5 + 1] name_psformat
+from customer, (values (0), (1)) r(next) where r.next = 0 or c_custkey % 10 = 3""",
 }
 
 
