@@ -10,34 +10,52 @@ a block is decoded for itself and in parallel stretches). Blocks lie in folders
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tenure.llm.bpe import Memo, slices
+from tenure.llm.bpe import slices
 from tenure.llm.common import picked, written
 from tenure.llm.huffman import Coder, code_lengths
-from tenure.llm.pieces import cut
 
 CODE_BITS = 16
 BLOCK_IDS = 1 << 20
-CHECKPOINT = 512
+CHECKPOINT = 128
 #: Pieces in each of the two generations of a worker's memo.
 MEMO = 300_000
 #: Marks that a word mostly has behind it.
 _MARKS = (",", ".")
+_MARKED = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[,.]$"
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: Byte-level BPE writes bytes as visible characters: those that Latin-1 shows as they are, the others from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+_VISIBLE = "".join(chr(b if b in _SHOWN else 256 + _HIDDEN.index(b)) for b in range(256))
+#: Two white-space characters side by side, or one at the end (as ``pieces.cut`` has it): only
+#: there does the pre-tokenising pattern look beyond a single space or line end.
+_SPACE = "[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+_ODD = f"{_SPACE}{_SPACE}|{_SPACE}\\z"
+#: Bytes of text that are cut and looked up together.
+SLICE = 8 << 20
 
 
 class LibraryEncoder:
     """Encodes with the tokenizers library; each new piece of text once.
 
-    Pieces that a worker hasn't met are strung together and encoded in one
-    call. Each starts with a space or line end and holds no other, so a new piece
-    starts at each token that begins with one of the two. What odd white space
-    holds together is encoded whole.
+    A batch of texts is cut at spaces and line ends, where the pattern never looks
+    across; the batch's different pieces are looked up, and each text's ids are gathered
+    from one table by piece numbers. Of what a worker hasn't met, words of letters are one
+    match of the pattern and go to the library's model, other pieces are strung together
+    and encoded in one call: each starts with a space or line end and holds no other,
+    so a new piece starts at each token that begins with one of the two. A text with odd
+    white space, or with the string of an added token, is encoded whole.
     """
 
     def __init__(self, spec: str):
@@ -45,72 +63,88 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.starts = np.fromiter((t[:1] in ("Ġ", "Ċ") for t in tokens), bool, size)  # space, line end
-        self.marks = {m: self.encode(m) for m in _MARKS}
-        self.heads = Memo(self.encode, 20_000)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.marks = np.array([0, *(self.tokenizer.encode(m, add_special_tokens=False).ids[0] for m in _MARKS)], self.kind)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: list[str]) -> None:
         """Have all these pieces, none of which it holds, in the memo's newer generation."""
         if len(self.new) > MEMO:
             self.old, self.new = self.new, {}
-        new, old, missing, marked = self.new, self.old, set(), []
-        for p in pieces:
-            if (known := old.get(p)) is not None:
-                new[p] = known
-            elif p[-1:] in _MARKS and p[:-1].isalpha():  # letters and the mark behind them are two matches
-                core = p[:-1]
-                marked.append(p)
-                if core not in new:
-                    if (known := old.get(core)) is not None:
-                        new[core] = known
-                    else:
-                        missing.add(core)
+        new = self.new
+        known = [*map(self.old.get, pieces)]
+        new.update((p, k) for p, k in zip(pieces, known, strict=True) if k is not None)
+        tokenize, code, others = self.tokenizer.model.tokenize, "H" if self.kind.itemsize == 2 else "I", []
+        for p in (p for p, k in zip(pieces, known, strict=True) if k is None):
+            if p.isascii() and p.isalpha():  # one match of the pattern
+                new[p] = array(code, [t.id for t in tokenize("Ġ" + p)]).tobytes()
+            elif _LETTERS(p):
+                new[p] = array(code, [t.id for t in tokenize("Ġ" + p.encode().decode("latin-1").translate(_VISIBLE))]).tobytes()
             else:
-                missing.add(p)
-        todo = list(missing)
-        for at in range(0, len(todo), 4096):
-            part = todo[at : at + 4096]
-            texts = [p if p[:1] == "\n" else " " + p for p in part]
-            whole = self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0]
+                others.append(p)
+        for at in range(0, len(others), 4096):
+            part = others[at : at + 4096]
+            text = "".join(p if p[:1] == "\n" else " " + p for p in part)
+            whole = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
             ids = np.array(whole.ids, self.kind)
             first = np.flatnonzero(self.starts[ids])
             if len(first) == len(part):
-                data, ends = ids.tobytes(), [*(first[1:] * self.kind.itemsize).tolist(), len(ids) * self.kind.itemsize]
-                start = 0
-                for p, end in zip(part, ends, strict=True):
-                    new[p] = data[start:end]
-                    start = end
+                data, cuts = ids.tobytes(), [*(first * self.kind.itemsize).tolist(), len(ids) * self.kind.itemsize]
+                new.update((p, data[i:j]) for p, i, j in zip(part, cuts, cuts[1:]))
             else:
-                new.update((p, self.encode(t)) for p, t in zip(part, texts, strict=True))
-        for p in marked:
-            new[p] = new[p[:-1]] + self.marks[p[-1]]
-
-    def batch(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of the texts; memos are looked up once, what is missing is learnt and filled in."""
-        cuts = [cut(t) if t else None for t in texts]
-        found = [[*map(self.new.get, c[1])] if c else [] for c in cuts]
-        gaps = [[i for i, v in enumerate(f) if v is None] for f in found]
-        if any(gaps):
-            self.learn({c[1][i] for c, g in zip(cuts, gaps, strict=True) if g for i in g})
-        out = []
-        for t, c, f, g in zip(texts, cuts, found, gaps, strict=True):
-            if c:
-                for i in g:
-                    f[i] = self.new[c[1][i]]
-                f.insert(0, self.heads[c[0]])
-                out.append(b"".join(f))
-            else:
-                out.append(self.encode(t) if t else b"")
-        return out
+                new.update((p, self.encode(p if p[:1] == "\n" else " " + p)) for p in part)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per text) of a column of texts; a null is empty."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD)
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        cuts = pc.split_pattern(pc.replace_substring(pc.if_else(odd, "", texts), "\n", " \n"), " ")
+        flat, offsets = cuts.flatten(), cuts.offsets.to_numpy().astype(np.int64)
+        first = offsets[:-1] - offsets[0]  # what stands before the first space has none before it
+        heads = flat.take(pa.array(first)).to_pylist()
+        pieces = flat.dictionary_encode()
+        # letters and the mark behind them are two matches: only the letters are looked up
+        marked = pc.match_substring_regex(pieces.dictionary, _MARKED)
+        cores = pc.if_else(marked, pc.utf8_slice_codeunits(pieces.dictionary, 0, -1), pieces.dictionary).dictionary_encode()
+        commas = pc.and_(marked, pc.ends_with(pieces.dictionary, _MARKS[0])).to_numpy(zero_copy_only=False)
+        mark = np.where(commas, 1, np.where(marked.to_numpy(zero_copy_only=False), 2, 0))
+        known = self.known(cores.dictionary.to_pylist())
+        piece = pieces.indices.to_numpy()
+        number, mark = cores.indices.to_numpy()[piece].astype(np.int64), mark[piece]
+        number[first], mark[first] = np.arange(len(known), len(known) + len(first)), 0
+        known += [self.encode(h) if h else b"" for h in heads]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            known[i - len(first)] = self.encode(texts[i].as_py())
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
+        known.append(bytes(self.kind.itemsize))
+        table = np.frombuffer(b"".join(known), self.kind)
+        begins = np.cumsum(sizes) - sizes
+        each = sizes[number] + (mark > 0)
+        ends = np.cumsum(each)
+        out = table[np.repeat(begins[number] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.flatnonzero(mark)
+        out[ends[at] - 1] = self.marks[mark[at]]  # what the gathering put there stands behind the letters
+        return out, np.add.reduceat(each, first) if len(first) else each
+
+    def known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces; memos are looked up once, what is missing is learnt and filled in."""
+        found = [*map(self.new.get, pieces)]
+        gaps = [i for i, v in enumerate(found) if v is None]
+        if gaps:
+            self.learn([pieces[i] for i in gaps])
+            for i in gaps:
+                found[i] = self.new[pieces[i]]
+        return found
 
 
 _KEPT: dict[str, LibraryEncoder] = {}
@@ -130,7 +164,7 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
     ``spec`` is the text of a tokenizer file of the tokenizers library. Defined
     cases: a null or empty text has the end id alone; documents stand in
     ascending order of the id, null ids last, rows of one id in order of their text's
-    hash; an empty table gives a store without blocks; other columns are ignored.
+    hash; the string of an added token is encoded as the library does by default; an empty table gives a store without blocks; other columns are ignored.
 
     Scale: texts are range-partitioned by id once and encoded where they lie; the
     ids are written once to the shared folder, with each task's counts, and read once. The
@@ -142,26 +176,28 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
     order = [F.col("doc_id").asc_nulls_last(), F.col("th")]
     parted = own.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     shared = spark.sparkContext.broadcast(spec)
-    tail = np.array([end_id])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, at = kept_encoder(shared.value), 0
-        end, counts = tail.astype(enc.kind).tobytes(), np.zeros(1 << 16, np.int64)
+        end, counts = enc.kind.type(end_id), np.zeros(1 << 16, np.int64)
         for whole in batches:
-            for b in slices(whole, "text"):
-                ids = [x + end for x in enc.batch(b.column("text").to_pylist())]
-                n = np.fromiter(map(len, ids), np.int64, len(ids)) // enc.kind.itemsize
+            for b in slices(whole, "text", SLICE):
+                ids, n = enc.ids(b.column("text"))
+                ids, n = np.insert(ids, np.cumsum(n), end), n + 1
                 begin = at + np.cumsum(n) - n
-                at += int(n.sum())
-                c = np.bincount(np.frombuffer(b"".join(ids), enc.kind), minlength=len(counts))
+                at += len(ids)
+                c = np.bincount(ids, minlength=len(counts))
                 counts = c + np.pad(counts, (0, len(c) - len(counts)))
-                yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("doc_id"), pa.array(begin), pa.array(n), pa.array(ids, pa.binary())], names)
+                offsets = np.r_[0, np.cumsum(n)].astype(np.int32) * np.int32(enc.kind.itemsize)
+                data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("doc_id"), pa.array(begin), pa.array(n), data], names)
         # the task's counts as a row of their own, behind its documents
-        own = [pa.array([-1], pa.int32()), pa.nulls(1, id_type(kind)), pa.array([-1]), pa.array([0]), pa.array([counts.astype("<i8").tobytes()], pa.binary())]
+        own = [pa.array([-1], pa.int32()), pa.nulls(1, id_type), pa.array([-1]), pa.array([0]), pa.array([counts.astype("<i8").tobytes()], pa.binary())]
         yield pa.RecordBatch.from_arrays(own, names)
 
     names = ["shard", "doc_id", "begin", "n", "ids"]
     kind = own.schema["doc_id"].dataType.simpleString()
+    id_type = to_arrow_type(own.schema["doc_id"].dataType)
     table = written(parted.mapInArrow(encode, f"shard int, doc_id {kind}, begin bigint, n bigint, ids binary"), "ids", compression="zstd")
     ids = table.filter("shard >= 0")
     sums = ids.groupBy("shard").agg(F.sum("n").alias("n"), F.sum(F.length("ids")).alias("bytes")).orderBy("shard").collect()
@@ -190,7 +226,7 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Coder(coder.value)
         names = ["shard", "start", "doc_ids", "lengths", "checkpoints", "bits"]
-        kinds = [pa.int32(), pa.int64(), pa.list_(id_type(kind)), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+        kinds = [pa.int32(), pa.int64(), pa.list_(id_type), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
         def close(rows) -> pa.RecordBatch:
             flat = np.frombuffer(b"".join(r[3] for r in rows), width)
@@ -215,11 +251,6 @@ def write_tokens(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str
     blocks.write.partitionBy("shard").option("compression", "none").parquet(f"{path}/blocks")
 
 
-def id_type(kind: str) -> pa.DataType:
-    """Arrow's type of an id column."""
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def read_tokens(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
     """``doc_id, start, n_tokens, ids`` per document of a store; ``ids`` as little-endian
     unsigned 32-bit integers, ``start`` the ids of all documents before it."""

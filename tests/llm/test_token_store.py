@@ -2,8 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tenure.llm import token_store
@@ -17,9 +19,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def huffman_cost(counts):
@@ -98,10 +98,13 @@ def test_pieces_against_library(library):
     rnd = random.Random(5)
     parts = ["the", " a", "  ", "\n", "\n\n", "\t", "don't", "É", "日本語", "😀", "\x1c", "\r\n", "$$$", "12345", "<|endoftext|>", "ing", " superb", "Ġ", "Ċ"]
     texts = ["".join(rnd.choices(parts, k=rnd.randrange(1, 30))) for _ in range(1500)] + [" ".join(rnd.choices(parts, k=20)) for _ in range(500)] + ["", None]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "a <|endoftext|>.", "tail\u3000", "two\u00a0\u2003spaces", "one\u2003space", "x\x85y"]
     enc = token_store.LibraryEncoder(open(PATH, encoding="utf-8").read())
     for at in range(0, len(texts), 100):
-        for t, b in zip(texts[at : at + 100], enc.batch(texts[at : at + 100]), strict=True):
-            assert np.frombuffer(b, enc.kind).tolist() == (library.encode(t, add_special_tokens=False).ids if t else []), repr(t)
+        ids, n = enc.ids(pa.array(texts[at : at + 100], pa.string()))
+        for t, own in zip(texts[at : at + 100], np.split(ids, np.cumsum(n)[:-1]), strict=True):
+            assert own.tolist() == (library.encode(t, add_special_tokens=False).ids if t else []), repr(t)
+    assert len(enc.ids(pa.array([], pa.string()))[0]) == 0
 
 
 def test_edges(spark, library, monkeypatch):
@@ -120,5 +123,15 @@ def test_edges(spark, library, monkeypatch):
             assert spark.read.parquet(f"{path}/blocks").count() > 3
 
 
+def test_ids_of_other_types(spark, library):
+    for kind in ("date", "decimal(10,0)", "smallint"):
+        df = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "c")], "n int, text string")
+        df = df.select((F.date_add(F.lit("2024-01-01").cast("date"), "n") if kind == "date" else F.col("n").cast(kind)).alias("doc_id"), "text")
+        path = shared_path(spark, "kinds")
+        token_store.write_tokens(df, path, open(PATH, encoding="utf-8").read(), 2)
+        got = token_store.read_tokens(spark, path, kind).orderBy("doc_id").collect()
+        assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [[64, 220, 50256, 275, 2], [66, 2]]
+
+
 def test_query(spark, library):
     same(op3_token_store(spark, SF).collect(), brute(library, [r[:2] for r in documents()]))
