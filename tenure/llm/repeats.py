@@ -25,9 +25,9 @@ from tenure.llm.common import picked, written
 #: Bytes of an anchor's k-gram.
 GRAM = 64
 #: Different extents of one k-gram that one task lays side by side; larger groups are halved by offset first.
-GROUP = 2000
+GROUP = 1000
 #: Bytes of one buffer (a longer text is cut, with an overlap); bytes of extents in one suffix array.
-BUFFER, ARRAY = 1 << 22, 1 << 20
+BUFFER, ARRAY = 1 << 20, 1 << 19
 #: Odd base of the rolling hash and odd factors of its mixing.
 BASE, MIX = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _POWERS: list[np.ndarray] = []
