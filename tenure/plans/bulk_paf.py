@@ -14,7 +14,7 @@ looked for, their head counts from one running sum per slot, then
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
@@ -265,9 +265,10 @@ def finished(a: DataFrame) -> DataFrame:
     )
 
 
-def in_report_order(t: DataFrame) -> DataFrame:
+def report_order() -> list[Column]:
     """Open slots first; of the completed, rows with an override step first (H1)."""
     done = F.col("total_pos_remaining_value_diffs") == 0
     step = F.col("job_update_override_position_exceltoci")
-    return t.orderBy(done.cast("int"), F.when(done, step.isNull().cast("int")).asc_nulls_last(),
-                     F.when(done, step).asc_nulls_last(), O.asc("status"), "cur_pos", "emplid", "empl_rcd")
+    return [F.coalesce(done, F.lit(False)).cast("int").asc(), F.when(done, step.isNull().cast("int")).asc_nulls_last(),
+            F.when(done, step).asc_nulls_last(), O.asc("status"), O.asc("cur_pos"), O.asc("emplid"), O.asc("empl_rcd"),
+            O.asc("paste_id"), O.asc("line_no"), O.asc("row_pos")]

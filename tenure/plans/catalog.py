@@ -691,3 +691,51 @@ def capacity_audit(spark, sf):
     t = BP.finished(BP.matched(BP.ranked(valued), slots, heads)).filter(F.col("tfr_pos").isNotNull())
     return t.select("paste_id", "tfr_pos", "status", F.col("audit_tfr_move_plus_cur_over_max").alias("audit"),
                     "job_update_position_nbr_exceltoci")
+
+
+# ------------------------------------------------- H1 reports in their order
+from ..sources.sinks import numbered  # noqa: E402
+
+
+@query
+def bulk_paf_lines(spark, sf):
+    """J1+H1+A14: the bulk change report in its order, with line numbers."""
+    t = numbered(bulk_paf(spark, sf), BP.report_order(), "report_line")
+    return t.select("report_line", "paste_id", "line_no", "row_pos", "status", "cur_pos", "job_update_override_position_exceltoci")
+
+
+@query
+def transfer_lines(spark, sf):
+    """J2+G9+H1+A14: the transfer list in its order, with line numbers."""
+    t = numbered(TR.with_unclassified(transfers(spark, sf)), TR.report_order())
+    return t.select("line_no", "unclassified", "req_num", "emplid", "empl_rcd", "row_rn", "complex_check", "status", "transfers_exceltoci")
+
+
+@query
+def hire_window_lines(spark, sf):
+    """J3+H1: hire staging in its order, a line per request (contacts that multiply rows fall together)."""
+    t = hire_window_report(spark, sf).select("req", "hire_dt", "num_order", "position_ci").distinct()
+    return numbered(t, [*HS.report_order("req"), O.asc("position_ci")])
+
+
+@query
+def clinical_lines(spark, sf):
+    """J4+H1: the clinical report in its order, a line per request."""
+    t = clinical_report(spark, sf).select("req_num", "hire_dt", "num_order", "mgr_position_nbr").distinct()
+    return numbered(t, [*HS.report_order("req_num"), O.asc("mgr_position_nbr")])
+
+
+@query
+def refund_lines(spark, sf):
+    """J5+A16+H1: both refund lists of one run, each in its order."""
+    both = R.refund_split(FX.refund_pastes(spark, sf), FX.employees(spark, sf))
+    cols = ["paste_id", "row_pos", "emplid", "deduction_cd", "amount"]
+    parts = [numbered(t, R.report_order(k == "active")).select(F.lit(k).alias("list"), "line_no", *cols) for k, t in both.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def name_search_lines(spark, sf):
+    """J6+H1: the profile report in its order, with line numbers."""
+    t = numbered(name_search_full_profile(spark, sf), NS.report_order())
+    return t.select("line_no", "name_searched", "max_historical_proximity", "current_proximity", "emplid", "empl_rcd", "phone_cell")

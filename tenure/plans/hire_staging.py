@@ -12,7 +12,7 @@ that person.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
@@ -208,9 +208,9 @@ def hire_staging(c: DataFrame, job, nid, person, names, phones, emails, position
     )
 
 
-def in_report_order(t: DataFrame) -> DataFrame:
-    """By hire date, numeric request order, request (H1)."""
-    return t.orderBy("hire_dt", "num_order", "req")
+def report_order(request: str) -> list[Column]:
+    """By hire date, numeric request order, request (H1); rows of one request by their other values."""
+    return [O.asc("hire_dt"), O.asc("num_order"), O.asc(request)]
 
 
 def clinical_report(c: DataFrame, positions, counts, phones, emails, asof) -> DataFrame:

@@ -9,11 +9,12 @@ outputs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.oracle import col, to_number
 from ..operators.match import pick_one
+from ..session import cut_lineage
 from ..sources.paste import clean_token, field_collapsed, split_rows
 
 REFUND_FIELDS = ["emplid", "co", "ded_cd", "ded_classification", "paysheet_one_time_code", "amount"]
@@ -91,12 +92,12 @@ def termed_list(refunds: DataFrame, pick: DataFrame) -> DataFrame:
 
 
 def refund_split(pastes: DataFrame, employees: DataFrame) -> dict[str, DataFrame]:
-    """Both outputs of one run, sharing the parse and the pick."""
-    refunds = parse_refunds(pastes)
-    pick = employee_pick(employees)
+    """Both outputs of one run, from one parse and one pick, written once."""
+    refunds = cut_lineage(parse_refunds(pastes))
+    pick = cut_lineage(employee_pick(employees))
     return {"active": active_paysheet(refunds, pick), "termed": termed_list(refunds, pick)}
 
 
-def sorted_active(df: DataFrame) -> DataFrame:
-    """Report order of the active file (H1)."""
-    return df.orderBy(col("emplid").asc_nulls_last(), col("empl_rcd").asc_nulls_last())
+def report_order(active: bool) -> list[Column]:
+    """Of the active file (by person and record) and of the leavers' list (by person); a paste's rows in their order (H1)."""
+    return [col("emplid").asc_nulls_last(), *([col("empl_rcd").asc_nulls_last()] if active else []), col("paste_id").asc(), col("row_pos").asc()]

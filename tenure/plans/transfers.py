@@ -266,10 +266,14 @@ def listed(req: DataFrame, in_force: DataFrame, job: DataFrame, jobcode: DataFra
         "row_def", "row_rn")
 
 
-def in_report_order(t: DataFrame) -> DataFrame:
-    """Open rows first, complex ones first, people with an unclassified row last."""
-    odd = t.groupBy("emplid").agg(F.sum(F.when(F.col("acn_rsn") == "???", 1).otherwise(0)).alias("__odd"))
+def with_unclassified(t: DataFrame) -> DataFrame:
+    """``t`` with ``unclassified``: how many rows of the person have no action reason."""
+    odd = t.groupBy(F.col("emplid").alias("__e")).agg(F.sum(F.when(F.col("acn_rsn") == "???", 1).otherwise(0)).alias("unclassified"))
+    return t.join(odd, F.col("emplid") == F.col("__e")).drop("__e")
+
+
+def report_order() -> list[Column]:
+    """Of ``with_unclassified``: open rows first, complex ones last, people with an unclassified row after others (H1)."""
     done = F.when(F.col("remaining_value_diff") == "-------Completed-------", 1).otherwise(0)
-    return t.join(odd, "emplid").orderBy(
-        done, F.col("complex_check").desc(), "__odd", "emplid", "req_num", "empl_rcd", "effseq", "row_rn",
-        "remaining_value_diff", O.asc("transfers_exceltoci")).select(*t.columns)
+    return [done.asc(), O.desc("complex_check"), O.asc("unclassified"), *[O.asc(c) for c in (
+        "emplid", "req_num", "empl_rcd", "effseq", "row_rn", "remaining_value_diff", "transfers_exceltoci")]]
