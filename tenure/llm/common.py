@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,18 +15,26 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or what
+    ``SparkContext.setCheckpointDir`` was given.
 
-    Only where the session names none (tests, one machine) a folder of our
-    own is set, once per session.
+    There is no default: a folder of one machine would lose what other machines write.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tenure-shared-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return d
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Delete all intermediate tables that this package has written to the shared folder.
+
+    Not while a result is still lazy: results read these tables.
+    """
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/tenure-llm")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/tenure-llm/{uuid.uuid4().hex}/{name}"
