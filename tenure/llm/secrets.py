@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenure.llm.bpe import Memo, slices
-from tenure.llm.common import picked
+from tenure.llm.common import picked, written
 
 #: Fixed kinds and patterns: (kind, pattern, group that is measured, least length of it).
 KINDS = (
@@ -34,9 +34,9 @@ _HEX_RUN = re.compile(r"[0-9a-f]{24}")
 _TOKEN = re.compile(r"\s*(?:[^\W\d_]+|\d+|[^\w\s]|_)")
 #: Tokens before and after that a token's features look at.
 AROUND = (-3, -2, -1, 0, 1)
-#: Tags, and a span that the field adds must have this many code points.
+#: Tags, and a span that the field adds must have this many code points (as an assigned base secret).
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
-LEAST_ADDED = 8
+LEAST_ADDED = 6
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, int, int]]:
@@ -322,23 +322,25 @@ def _gradient(part, w: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.nd
     return dw, ds
 
 
-def train(docs: DataFrame, text_col: str = "text", max_texts: int = 1_000) -> Field | None:
+def train(docs: DataFrame, text_col: str = "text", max_texts: int = 1_000, near: int = 15, most: int = 4) -> Field | None:
     """A field from at most ``max_texts`` distinct texts with an assignment, key or hex run
     and half as many others (least text hashes first); None where no text has one.
+    ``near`` and ``most`` bound what one text teaches (``lessons``).
 
     The sample is all that comes to the driver, as a few short stretches of tokens
     per text; which texts are in it depends on the texts alone.
     """
     own = picked(docs, text=text_col).filter("text is not null").withColumn("th", F.xxhash64("text"))
     likely = r"(?i)(?:passw|secret|token|api_?key)[^\n]{0,4}[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
-    keys = own.select("th", F.col("text").rlike(likely).alias("likely")).distinct()
+    # written once: both samples are taken from it, and texts are matched in one pass
+    keys = written(own.select("th", F.col("text").rlike(likely).alias("likely")).distinct(), "likely")
     some = keys.filter("likely").orderBy("th").limit(max_texts).union(keys.filter("not likely").orderBy("th").limit(max_texts // 2))
     rows = own.join(F.broadcast(some.select("th")), "th").dropDuplicates(["th"])
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for th, t in zip(b.column("th").to_pylist(), b.column("text").to_pylist(), strict=True):
-                found = lessons(t)
+                found = lessons(t, near, most)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([th] * len(found), pa.int64()), pa.array(range(len(found)), pa.int64()), pa.array([x[0] for x in found], pa.list_(pa.string())),
                      pa.array([x[1].tolist() for x in found], pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.list_(pa.string()))],
@@ -355,7 +357,8 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
     code points, end exclusive, by start and kind.
 
     ``base`` holds the leftmost non-overlapping matches of each pattern, ``added`` the
-    field's spans of ``LEAST_ADDED`` code points or more that touch no base span.
+    field's spans of ``LEAST_ADDED`` code points or more that no base span covers: where
+    a pattern catches only a part of a secret, the whole of it is added beside the part.
 
     Defined cases: a null or empty text has no span; null and repeated ids get a row
     per input row; without a field (nothing to learn from) nothing is added; an
@@ -379,7 +382,7 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
                 for k, tags in enumerate(tagger.tags(texts, [*map(tokens_of, texts)]) if tagger else []):
                     if tags is not None:
                         free = [(x, y) for x, y in spans_of(texts[k], tags) if y - x >= LEAST_ADDED]
-                        added[k] = [(x, y, ADDED) for x, y in free if not any(x < e and s < y for s, e, _ in bases[k])]
+                        added[k] = [(x, y, ADDED) for x, y in free if not any(s <= x and y <= e for s, e, _ in bases[k])]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([*map(as_rows, bases)], span), pa.array([*map(as_rows, added)], span)], ["doc_id", "base", "added"])
 
     kind = own.schema["doc_id"].dataType.simpleString()
@@ -394,9 +397,9 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(by, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_texts: int = 1_000) -> DataFrame:
+def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_texts: int = 1_000, near: int = 15, most: int = 4) -> DataFrame:
     """Train on a sample of ``docs``, scan all of them, and list the spans of every row."""
-    found = scan(docs, train(docs, text_col, max_texts), id_col, text_col)
+    found = scan(docs, train(docs, text_col, max_texts, near, most), id_col, text_col)
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),

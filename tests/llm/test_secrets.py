@@ -141,3 +141,27 @@ def test_edges(spark):
 
 def test_query(spark):
     check(op7_secrets(spark, SF), [r[:2] for r in documents()])
+
+
+def test_planted_forms_in_real_documents(spark):
+    """Forms that no pattern knows, planted in documents, and secrets that a pattern catches in part."""
+    rnd = random.Random(8)
+    draw = lambda n: "".join(rnd.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=n))
+    forms = ["passphrase: {}", "credential = {}", 'pwd="{}"', "auth_key: {}"]
+    rows = [r[:2] for r in documents("/root/testdata/sf0.1")[:4000]]
+    planted, texts = {}, {}
+    for i in range(90):
+        d, words = 1_000_000 + i, (rows[i][1] or "").split(" ")
+        secret = draw(rnd.randrange(18, 30)) if i < 80 else draw(6) + "!$" + draw(14)
+        words.insert(len(words) // 2, (forms[i % 4] if i < 80 else 'password="{}"').format(secret))
+        texts[d] = " ".join(words)
+        planted[d] = (texts[d].index(secret), texts[d].index(secret) + len(secret))
+    got = M.secrets(spark.createDataFrame([*rows, *texts.items()], "doc_id long, text string")).collect()
+    spans = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("crf")] for r in got}
+    base = {d: [s[:2] for s in M.base_spans(t)] for d, t in texts.items()}
+    found = [d for d, (x, y) in planted.items() if any(a < y and x < b for a, b in spans[d])]
+    # an added span lies in no base span, whatever else it overlaps
+    assert all(not (x <= a and b <= y) for d in texts for a, b in spans[d] for x, y in base[d])
+    print("unknown", sum(d < 1_000_080 for d in found), "parts", sum(d >= 1_000_080 for d in found), "clean", sum(len(spans[d]) for d, _ in rows))
+    assert sum(d < 1_000_080 for d in found) >= 15  # mostly the quoted form; held out, the others are rarely found
+    assert sum(len(spans[d]) for d, _ in rows) <= 5
