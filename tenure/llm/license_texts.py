@@ -1,4 +1,10 @@
-"""Licence templates: fixed texts of public licences and of the notices that name them."""
+"""Licence templates: fixed texts of public licences and of the notices that name them.
+
+Whole texts of long licences lie as they were published in ``license_files``, one file
+per licence.
+"""
+
+from importlib.resources import files
 
 _PERMIT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -51,28 +57,73 @@ _APACHE_NOTICE = (
     'on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for '
     "the specific language governing permissions and limitations under the License."
 )
-_GPL_NOTICE = (
-    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-    "License as published by the Free Software Foundation, either version {0} of the License, or (at your option) any "
+_GNU_NOTICE = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public "
+    "License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
     "later version.\n\n"
-    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
-    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+    "This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} Public License for more "
     "details.\n\n"
-    "You should have received a copy of the GNU General Public License along with this program. If not, see "
+    "You should have received a copy of the GNU {name} Public License along with this {what}. If not, see "
     "<https://www.gnu.org/licenses/>."
 )
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n\n"
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form "
+    "or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\n"
+    "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+    "interest in the software to the public domain. We make this dedication for the benefit of the public at large and to "
+    "the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+    "perpetuity of all present and future rights to this software under copyright law.\n\n"
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+    "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n\n"
+    "For more information, please refer to <https://unlicense.org>"
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+    "liable for any damages arising from the use of this software.\n\n"
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter "
+    "it and redistribute it freely, subject to the following restrictions:\n\n"
+    "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If "
+    "you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not "
+    "required.\n\n"
+    "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+    "software.\n\n"
+    "3. This notice may not be removed or altered from any source distribution."
+)
+_BOOST = (
+    "Boost Software License - Version 1.0 - August 17th, 2003\n\n"
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, '
+    "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+    "Software is furnished to do so, all subject to the following:\n\n"
+    "The copyright notices in the Software and this entire statement, including the above license grant, this restriction "
+    "and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative "
+    "works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code "
+    "generated by a source language processor.\n\n"
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+    "THE SOFTWARE."
+)
 
-#: Licence to its versions (full texts and notices).
-TEMPLATES: dict[str, list[str]] = {
+#: Licence to its versions: notices, and the texts of short licences.
+_SHORT: dict[str, list[str]] = {
     "MIT": [_PERMIT, "Released under the MIT License.", "This project is licensed under the MIT License.", "Licensed under the MIT License."],
     "ISC": [_ISC, "Licensed under the ISC License.", "Released under the ISC License."],
     "BSD-2-Clause": [_BSD_HEAD + _BSD_TAIL, "Licensed under the BSD 2-Clause License."],
     "BSD-3-Clause": [_BSD_HEAD + _BSD_NAME + _BSD_TAIL, "Licensed under the BSD 3-Clause License."],
     "Apache-2.0": [_APACHE_NOTICE, "Licensed under the Apache License, Version 2.0.", "Released under the Apache License, Version 2.0."],
-    "GPL-2.0": [_GPL_NOTICE.format(2), "This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": [_GPL_NOTICE.format(3), "This work is licensed under the GNU General Public License, version 3."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "GPL-1.0": [_GNU_NOTICE.format(what="program", name="General", version=1)],
+    "GPL-2.0": [_GNU_NOTICE.format(what="program", name="General", version=2), "This work is licensed under the GNU General Public License, version 2."],
+    "GPL-3.0": [_GNU_NOTICE.format(what="program", name="General", version=3), "This work is licensed under the GNU General Public License, version 3."],
+    "LGPL-2.0": [_GNU_NOTICE.format(what="library", name="Library General", version=2)],
+    "LGPL-2.1": [_GNU_NOTICE.format(what="library", name="Lesser General", version="2.1"), "This work is licensed under the GNU Lesser General Public License, version 2.1."],
+    "LGPL-3.0": [_GNU_NOTICE.format(what="library", name="Lesser General", version=3), "This work is licensed under the GNU Lesser General Public License, version 3."],
+    "AGPL-3.0": [_GNU_NOTICE.format(what="program", name="Affero General", version=3), "This work is licensed under the GNU Affero General Public License, version 3."],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
@@ -80,4 +131,17 @@ TEMPLATES: dict[str, list[str]] = {
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "Unlicense": [_UNLICENSE, "Released into the public domain under the Unlicense."],
+    "Zlib": [_ZLIB, "Licensed under the zlib License."],
+    "BSL-1.0": [_BOOST, "Distributed under the Boost Software License, Version 1.0."],
 }
+
+
+def _published() -> dict[str, str]:
+    folder = files("tenure.llm") / "license_files"
+    return {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
+
+
+_FULL = _published()
+#: Licence to its versions (full texts and notices).
+TEMPLATES: dict[str, list[str]] = {name: [*_SHORT.get(name, []), *([_FULL[name]] if name in _FULL else [])] for name in sorted({*_SHORT, *_FULL})}

@@ -53,13 +53,15 @@ class Templates:
         n = len(ws) - 1
         if not self.first <= n <= self.last:
             return []
-        own = bigrams(ws)
-        if self.known.isdisjoint(own):
+        # no template can share more of the run's bigrams than are in any template
+        common = sum(g in self.known for g in zip(ws, ws[1:], strict=False))
+        low, high = n * self.least / (2 - self.least), n * (2 - self.least) / self.least
+        if 2 * common < self.least * (n + low) - 1e-9:
             return []
+        own = bigrams(ws)
         best: dict[str, float] = {}
-        low, high = n * self.least / (2 - self.least), n * (2 - self.least) / self.least
         for name, b, size in self.all:
-            if low <= size <= high:
+            if low <= size <= high and 2 * common >= self.least * (n + size) - 1e-9:
                 dice = 2 * (own & b).total() / (n + size)
                 if dice >= self.least:
                     best[name] = max(dice, best.get(name, 0.0))
@@ -164,7 +166,11 @@ def units(lines: list[list[str]]) -> Iterator[tuple[int, int, list[str]]]:
 
 def find(text: str | None, templates: Templates, runs: bool = False) -> list[tuple[str, float, int, int]]:
     """(licence, Dice, first line, last line): per licence the best unit (then the first, then
-    the shortest); with ``runs``, where no unit is like it, the best run of words."""
+    the shortest); with ``runs``, the best run of words if no unit is as like it.
+
+    A licence is left out where its place lies within another's of a higher Dice: there a
+    text or notice was cut short, or names the other licence's kin.
+    """
     best: dict[str, tuple] = {}
     lines = [normalised(x) for x in (text or "").split("\n")]
     for first, last, ws in units(lines):
@@ -172,13 +178,13 @@ def find(text: str | None, templates: Templates, runs: bool = False) -> list[tup
             key = (-dice, first, last)
             if name not in best or key < best[name]:
                 best[name] = key
-    by_run: dict[str, tuple] = {}
     starts = np.cumsum([0, *map(len, lines)])
     for name, dice, a, b in templates.windows([w for ws in lines for w in ws]) if runs else []:
-        if name not in best and name not in by_run:
+        if name not in best or -dice < best[name][0]:
             first, last = np.searchsorted(starts, [a, b], "right").tolist()
-            by_run[name] = (-dice, first, last)
-    return [(name, -d, a, b) for name, (d, a, b) in sorted((best | by_run).items())]
+            best[name] = (-dice, first, last)
+    own = [(name, -d, a, b) for name, (d, a, b) in sorted(best.items())]
+    return [x for x in own if not any(y[1] > x[1] and y[2] <= x[2] and x[3] <= y[3] for y in own)]
 
 
 def licenses(
@@ -189,10 +195,11 @@ def licenses(
 
     Every line, paragraph and whole text is compared (bigrams with their
     counts) and goes to the licence that it is most like; a licence is reported
-    with its best unit. With ``runs`` a licence that no unit is like, such as a header of
+    with its best unit. With ``runs`` a licence that no unit is as like, such as a header of
     several paragraphs before code, or a notice within a line, is reported with the
     best run of words anywhere in the text (``Templates.windows``) and the lines that
-    it touches. ``texts``: licence to its versions.
+    it touches. A licence whose place lies within that of a better match is left
+    out. ``texts``: licence to its versions.
 
     Defined cases: null, empty and one-word texts have no licence; null and
     repeated ids get rows per input row; an empty table or no templates give no

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import string
-
-from tenure.llm.license_texts import TEMPLATES
-from tenure.llm.licenses import LEAST
-
 #: Characters stripped from a line's ends, and the A-Z fold.
 _TRIM = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -71,63 +66,6 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM feats
 """
 
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def _words(text: str) -> str:
-    punctuation = _quoted(string.punctuation)
-    return f"list_filter(list_transform(string_split_regex(lower({text}), '\\s+'), lambda x: trim(x, {punctuation})), lambda x: x <> '')"
-
-
-_TEMPLATE_ROWS = ",\n".join(f"({_quoted(name)}, {i}, {_quoted(v)})" for name, vs in TEMPLATES.items() for i, v in enumerate(vs))
-
-OP1 = f"""
-WITH template AS (
-  SELECT license, version, {_words("body")} AS w FROM (VALUES {_TEMPLATE_ROWS}) AS t(license, version, body)
-), lines AS (
-  SELECT doc_id, generate_subscripts(a, 1) AS line_no, unnest(a) AS line
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
-), filled AS (
-  SELECT doc_id, line_no, w, line_no - row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS part
-  FROM (SELECT doc_id, line_no, {_words("line")} AS w FROM lines) WHERE len(w) > 0
-), unit AS (
-  SELECT doc_id, line_no AS first_line, line_no AS last_line, w FROM filled
-  UNION ALL
-  SELECT doc_id, min(line_no), max(line_no), flatten(list(w ORDER BY line_no)) FROM filled
-  GROUP BY doc_id, part HAVING count(*) > 1
-  UNION ALL
-  SELECT doc_id, min(line_no), max(line_no), flatten(list(w ORDER BY line_no)) FROM filled
-  GROUP BY doc_id HAVING count(DISTINCT part) > 1
-), u AS (
-  SELECT *, row_number() OVER () AS u_id, len(w) - 1 AS n FROM unit WHERE len(w) > 1
-), t AS (
-  SELECT *, row_number() OVER () AS t_id, len(w) - 1 AS n FROM template WHERE len(w) > 1
-), close AS (
-  SELECT u_id, t_id, u.n + t.n AS n FROM u JOIN t
-  ON t.n >= u.n * {LEAST} / (2 - {LEAST}) - 1e-9 AND t.n <= u.n * (2 - {LEAST}) / {LEAST} + 1e-9
-), ug AS (
-  SELECT u_id, g, count(*) AS c FROM (
-    SELECT u_id, unnest(list_transform(range(1, n + 1), lambda i: w[i] || ' ' || w[i + 1])) AS g
-    FROM u WHERE u_id IN (SELECT u_id FROM close)) GROUP BY ALL
-), tg AS (
-  SELECT t_id, g, count(*) AS c FROM (
-    SELECT t_id, unnest(list_transform(range(1, n + 1), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM t) GROUP BY ALL
-), scored AS (
-  SELECT close.u_id, t.license, max(2.0 * c / close.n) AS dice
-  FROM (SELECT ug.u_id, tg.t_id, sum(least(ug.c, tg.c)) AS c FROM ug JOIN tg USING (g) GROUP BY ALL) AS x
-  JOIN close USING (u_id, t_id) JOIN t USING (t_id)
-  GROUP BY close.u_id, t.license HAVING max(2.0 * c / close.n) >= {LEAST}
-), best AS (
-  SELECT * FROM scored QUALIFY dice = max(dice) OVER (PARTITION BY u_id)
-)
-SELECT doc_id, license, dice, CAST(first_line AS INTEGER) AS first_line, CAST(last_line AS INTEGER) AS last_line
-FROM best JOIN u USING (u_id)
-QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, first_line, last_line) = 1
-"""
-
 OP11 = """
 WITH label AS (
   SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
@@ -175,4 +113,4 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM step_rows
 """
 
-ORACLES = {"op1_license_scan": OP1, "op5_line_dedup": OP5, "op10_quality": OP10, "op11_filter_audit": OP11}
+ORACLES = {"op5_line_dedup": OP5, "op10_quality": OP10, "op11_filter_audit": OP11}
