@@ -7,6 +7,7 @@ DuckDB oracle in ``oracles.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -465,7 +466,8 @@ def name_search_full_profile(spark, sf):
 
 # ------------------------------------------------------------- J7 mail merge
 from ..functions import text as T  # noqa: E402
-from ..sources.csv import tidy_records  # noqa: E402
+from ..session import checkpoint_dir  # noqa: E402
+from ..sources.csv import read_csv_records, tidy_records  # noqa: E402
 from . import mail_merge as MM  # noqa: E402
 
 MAIL_FIELDS = ["employee_id", "full_name", "refund_amount", "segment"]
@@ -482,6 +484,19 @@ def csv_normalise(spark, sf):
     return _recipients(spark, sf)
 
 
+@query
+def csv_folder(spark, sf):
+    """A9+A10+A12: a folder of CSV files in three encodings, headers in two orders, values with line ends and
+    characters that only show late in a file which no byte order mark tells."""
+    rows = FX.remarks(spark, sf)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tenure-csv/{uuid.uuid4().hex}"
+    for part, encoding in enumerate(("UTF-8", "UTF-16", "ISO-8859-1")):
+        mine = rows.filter(F.col("id").cast("long") % 3 == part)
+        names = mine.columns if part else mine.columns[::-1]
+        mine.select(*names).write.option("header", True).option("encoding", encoding).option("escape", '"').option("quoteAll", True).csv(f"{folder}/{part}")
+    return read_csv_records(spark, folder, glob="*.csv")
+
+
 @query
 def capitalize_field(spark, sf):
     """B40+B43: name capitalisation transformer."""

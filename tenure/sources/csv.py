@@ -3,15 +3,20 @@
 ``read_csv_records``: header row, every column a string, values trimmed of all
 white space, all-blank rows dropped, headers cleaned of BOM/NUL characters and
 checked (non-empty, unique, <= 100 chars). Files of a folder may have their
-columns in different orders: every file is read by its own header.
+columns in different orders and their own encodings: a task reads each file whole,
+finds its encoding from all its bytes and its header, and gives its records as
+maps, so the plan has one scan however many files there are; only the distinct
+header names come to the driver.
 """
 
 from __future__ import annotations
 
 import csv as _csv
-from functools import reduce
+import io
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_name
@@ -19,11 +24,9 @@ from ..functions.text import normalise_name
 BOM_CHARS = "\ufeff\ufffe\x00"
 MAX_HEADER_LEN = 100
 # Byte order marks and their encodings; a file without one that is no UTF-8 is read as the fallback.
-BOMS = ((b"\xef\xbb\xbf", "UTF-8"), (b"\xff\xfe", "UTF-16"), (b"\xfe\xff", "UTF-16"))
-HEAD_BYTES = 1 << 16
-# The bytes 80-9F as ISO-8859-1 and as windows-1252 read them.
-_C1 = [bytes([b]) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
-CP1252 = ("".join(b.decode("latin-1") for b in _C1), "".join(b.decode("cp1252") for b in _C1))
+BOMS = ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16"))
+#: Records that a task gives at once.
+BATCH = 2_000
 
 
 def clean_header(name: str) -> str:
@@ -45,18 +48,21 @@ def validate_headers(names: list[str]) -> list[str]:
     return problems
 
 
-def detect_encoding(head: bytes, fallback: str = "windows-1252") -> str:
-    """Encoding from a file's first bytes (A10): byte order mark, else UTF-8 where they
-    are valid UTF-8 (the last character may be cut), else ``fallback``."""
+def detect_encoding(content: bytes, fallback: str = "cp1252") -> str:
+    """Encoding of a file (A10): by its byte order mark, else UTF-8 where all of it is valid UTF-8, else ``fallback``."""
     for mark, name in BOMS:
-        if head.startswith(mark):
+        if content.startswith(mark):
             return name
     try:
-        head.decode("utf-8")
-    except UnicodeDecodeError as e:
-        if e.start < len(head) - 4:
-            return fallback
-    return "UTF-8"
+        content.decode("utf-8")
+    except UnicodeDecodeError:
+        return fallback
+    return "utf-8"
+
+
+def _any_value(names: list[str]) -> Column:
+    """Whether one of the columns isn't blank (an array, so that wide files make no deep expression)."""
+    return F.exists(F.array(*[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names]), lambda x: x != "")
 
 
 def tidy_records(df: DataFrame, normalise: bool = False) -> DataFrame:
@@ -70,38 +76,72 @@ def tidy_records(df: DataFrame, normalise: bool = False) -> DataFrame:
     df = df.toDF(*names)
     df = df.select(*[F.regexp_replace(F.col(f"`{c}`").cast("string"), r"(?U)^\s+|\s+$", "").alias(c) for c in names])
     if names:
-        df = df.filter(reduce(lambda a, b: a | b, [F.coalesce(F.col(f"`{c}`") != "", F.lit(False)) for c in names]))
+        df = df.filter(_any_value(names))
     return df
 
 
+def file_records(files: DataFrame, encoding: str | None = None, fallback: str = "cp1252") -> DataFrame:
+    """``path, problem, row_no, names, values`` of files (``path, content``): a row per record.
+
+    The header's names go with each record; a file whose header fails ``validate_headers``
+    gives one row with the ``problem`` and no values. Bytes that the encoding has no
+    character for become U+FFFD.
+    """
+    texts = pa.list_(pa.string())
+    columns = [("path", pa.string()), ("problem", pa.string()), ("row_no", pa.int64()), ("names", texts), ("values", texts)]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _csv.field_size_limit(2**31 - 1)
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), columns)], schema=pa.schema(columns))
+
+        for b in batches:
+            for path, content in zip(b.column("path"), b.column("content")):
+                path, raw = path.as_py(), content.as_buffer().to_pybytes() if content.is_valid else b""
+                text = io.TextIOWrapper(io.BytesIO(raw), encoding or detect_encoding(raw, fallback), errors="replace", newline="")
+                reader = _csv.reader(text)
+                names = [clean_header(n) for n in next(reader, [])]
+                problems = validate_headers(names)
+                if problems or not names:
+                    yield out([(path, "; ".join(problems) or None, 0, names, None)])
+                    continue
+                rows = []
+                for i, record in enumerate(reader, 1):
+                    values = [*record[: len(names)], *[None] * (len(names) - len(record))]
+                    rows.append((path, None, i, names, values))
+                    if len(rows) == BATCH:
+                        yield out(rows)
+                        rows = []
+                yield out(rows or [(path, None, 0, names, None)])
+
+    return files.select("path", "content").mapInArrow(parse, "path string, problem string, row_no bigint, names array<string>, values array<string>")
+
+
 def read_csv_records(spark: SparkSession, path: str, encoding: str | None = None, normalise: bool = False,
-                     glob: str | None = None, with_file: bool = False, multi_line: bool = True,
-                     fallback: str = "windows-1252") -> DataFrame:
+                     glob: str | None = None, with_file: bool = False, fallback: str = "cp1252") -> DataFrame:
     """CSV file(s) -> all-string records.
 
-    ``encoding=None`` detects it per file. ``glob='*.csv'`` reads every matching file
-    of a folder (columns matched by name, missing ones NULL) and ``with_file`` keeps the
-    source file name. ``multi_line=False`` lets Spark split large files when no
-    value holds a line end. The driver reads the first bytes of each file only.
+    ``encoding=None`` detects it per file, from the whole file. ``glob='*.csv'`` reads every matching file
+    of a folder and those in it (columns matched by name, missing ones NULL) and ``with_file`` keeps the
+    source file name. Files are read by the tasks, one task for several small files;
+    a file is held whole by its task, as an encoding needs every byte of it (files over 2 GB
+    are beyond Spark's binary source). The driver sees the distinct header names and
+    what is wrong with headers.
     """
-    heads = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*").load(path)
-    heads = heads.select("path", F.substring("content", 1, HEAD_BYTES).alias("head")).orderBy("path").collect()
-    parts = []
-    for h in heads:
-        enc = encoding or detect_encoding(bytes(h["head"]), fallback)
-        first = bytes(h["head"]).decode(enc, errors="replace").lstrip("\ufeff")
-        names = next(_csv.reader(first.splitlines(keepends=True)), [])
-        problems = validate_headers([clean_header(n) for n in names])
-        if problems:
-            raise ValueError(f"{h['path']}: " + "; ".join(problems))
-        single = enc.lower() in ("windows-1252", "cp1252")
-        r = spark.read.option("header", True).option("inferSchema", False).option("encoding", "iso-8859-1" if single else enc)
-        df = r.option("multiLine", multi_line).option("escape", '"').option("enforceSchema", True).schema(
-            ", ".join(f"`{clean_header(n).replace('`', '``')}` string" for n in names)).csv(h["path"])
-        if single:  # Spark reads ISO-8859-1; the two differ in these characters only
-            df = df.select(*[F.translate(F.col(f"`{c}`"), *CP1252).alias(c) for c in df.columns])
-        df = tidy_records(df, normalise)
-        parts.append(df.withColumn("source_file", F.lit(h["path"])) if with_file else df)
-    if not parts:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*").option("recursiveFileLookup", True).load(path)
+    if files.select("path").isEmpty():
         raise ValueError(f"no file at {path}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    records = file_records(files, encoding, fallback)
+    bad = records.filter(F.col("problem").isNotNull()).select("path", "problem").orderBy("path").first()
+    if bad:
+        raise ValueError(f"{bad['path']}: {bad['problem']}")
+    first = records.filter("row_no <= 1").groupBy("names").agg(F.min("path").alias("path")).orderBy("path").select("names").collect()
+    names = list(dict.fromkeys(n for r in first for n in r["names"]))
+    rows = records.filter(F.col("values").isNotNull()).withColumn("__m", F.map_from_arrays("names", "values"))
+    rows = rows.select(*(["path"] if with_file else []), *[F.col("__m")[n].alias(n) for n in names])
+    if not with_file:
+        return tidy_records(rows, normalise)
+    clean = tidy_records(rows.select(F.col("path").alias("source_file"), *[F.col(f"`{n}`") for n in names]), False)
+    clean = clean.filter(_any_value(names))
+    return clean.toDF("source_file", *[normalise_name(n) if normalise else n for n in names])

@@ -382,6 +382,14 @@ def recipients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(*[F.when(blank, F.lit("  ")).otherwise(v).alias(h) for v, h in zip(vals, heads)])
 
 
+def remarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A remark per customer: some with line ends, quotes and commas, some with letters beyond ASCII."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    text = F.when(k % 7 == 0, F.lit('first line\nsecond, "quoted"')).when(k % 5 == 0, F.lit("  Zoë, Müller  ")).otherwise(F.col("c_mktsegment"))
+    return c.select(k.cast("string").alias("id"), F.col("c_name").alias("name"), text.alias("remark"))
+
+
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ps_email_addresses``: one address per customer; every 5th is HOME, every 23rd malformed."""
     c = table(spark, sf_dir, "customer")

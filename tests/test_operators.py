@@ -206,6 +206,21 @@ def test_csv_folder_encodings_and_headers(spark, tmp_path):
         read_csv_records(spark, str(tmp_path / "bad.txt"))
 
 
+def test_csv_encoding_by_the_whole_file(spark, tmp_path):
+    """The only byte that is no UTF-8 stands at the very end; a record holds a line end; a header is longer than 64 KB."""
+    from tenure.sources.csv import read_csv_records
+
+    (tmp_path / "late.csv").write_bytes(b"id,name\n" + b"1,plain\n" * 20_000 + b'2,"two\nlines"\n3,caf\xe9 \x80\n')
+    got = {r.id: r.name for r in read_csv_records(spark, str(tmp_path / "late.csv")).collect()}
+    assert got == {"1": "plain", "2": "two\nlines", "3": "café €"}
+    names = [f"column number {i:060d}" for i in range(900)]
+    (tmp_path / "wide.csv").write_text(",".join(names) + "\n" + ",".join(map(str, range(900))) + "\n")
+    wide = read_csv_records(spark, str(tmp_path / "wide.csv"))
+    assert wide.columns == names and wide.first()[899] == "899"
+    (tmp_path / "empty.csv").write_bytes(b"")
+    assert read_csv_records(spark, str(tmp_path / "late.csv"), with_file=True).count() == 20_002
+
+
 def test_transfer_own_manager_slot_and_name_branch(spark):
     """A manager whose own, occupied slot fits keeps it; a blank id is found by an unambiguous name."""
     from decimal import Decimal
