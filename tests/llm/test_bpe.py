@@ -81,5 +81,15 @@ def test_decode_nulls_and_columns(spark, own):
     assert [bytes(r.decoded) for r in got.orderBy("a").collect()] == [own.decode(__import__("numpy").array([50, 51])), b"", b""]
 
 
+def test_ids_are_decoded_by_the_worker_that_made_them(spark, own):
+    """One Python pass, with the same bytes as the decoder of its own."""
+    df = frame(spark, edge_rows())
+    both = bpe.encode(df, own, decoded=True)
+    assert both.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(str, both.collect())) == sorted(map(str, bpe.decode(bpe.encode(df, own), own).collect()))
+    plan = bpe.tokens(df, PATH, public_tokenizers.PATTERN)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_query(spark, library):
     same(op2_byte_bpe(spark, SF).collect(), brute(library, [r[:2] for r in documents()]))
