@@ -156,7 +156,8 @@ def first_slot(c: DataFrame, positions: DataFrame, counts: DataFrame, key: str =
     on the hire date, as descriptive text (E9, D5, H3). ``counts``: head count per slot.
 
     A version holds from its date to the next one, so the candidate's own date picks the
-    version inside the equi-join; one row per candidate is kept before and after the shuffle.
+    version inside the equi-join. Slots are reduced to the first per combination and interval and
+    candidates to their combinations and days before they meet.
     """
     life = Window.partitionBy("position_nbr").orderBy("effdt")
     p = positions.withColumn("until", F.lead("effdt").over(life)).filter(F.col("eff_status") == "A")
@@ -175,10 +176,17 @@ def first_slot(c: DataFrame, positions: DataFrame, counts: DataFrame, key: str =
     own = c.filter(F.col("mgr_position_nbr") != "XXXXXXXX").withColumn("fpc", C.hours_category("std_hours", null_as="P"))
     own = own.withColumn("slot_shift", O.decode("shift", {"N": "1"}, F.col("shift")))
     own = own.withColumn("telework", O.decode("location", {"RMOTE": "Y"}, "N")).select(key, "hire_dt", *[a for a, _ in SLOT_FIELDS]).distinct()
-    met = [own[a] == p[f"__s{i}"] for i, (a, _) in enumerate(SLOT_FIELDS)]
-    met += [p["effdt"] <= own["hire_dt"], p["until"].isNull() | (own["hire_dt"] < p["until"])]
-    best = own.join(p, met).withColumn("__n", F.row_number().over(Window.partitionBy(key, "mgr_position_nbr").orderBy("position_nbr")))
-    best = best.filter("__n = 1").select(F.col(key).alias("__k"), F.col("mgr_position_nbr").alias("__m"), "post_chg_pos_use")
+    # slots of equal fields and days differ by number only: the first of them stands for all, so the pairs
+    # of a combination grow with its days, not with its hires times its slots
+    alike = [f"__s{i}" for i in range(len(SLOT_FIELDS))]
+    p = p.dropna(subset=alike).groupBy(*alike, "effdt", "until").agg(F.min(F.struct("position_nbr", "post_chg_pos_use")).alias("__slot"))
+    asked = [*[a for a, _ in SLOT_FIELDS], "hire_dt"]
+    days = own.select(*asked).distinct()
+    met = [days[a] == p[f"__s{i}"] for i, (a, _) in enumerate(SLOT_FIELDS)]
+    met += [p["effdt"] <= days["hire_dt"], p["until"].isNull() | (days["hire_dt"] < p["until"])]
+    fit = days.join(p, met).groupBy(*asked).agg(F.min("__slot").alias("__slot"))
+    best = own.join(fit, asked).groupBy(F.col(key).alias("__k"), F.col("mgr_position_nbr").alias("__m")).agg(F.min("__slot").alias("__slot"))
+    best = best.select("__k", "__m", "__slot.post_chg_pos_use")
     return c.join(best, (c[key] == best["__k"]) & (c["mgr_position_nbr"] == best["__m"]), "left").drop("__k", "__m")
 
 
